@@ -14,9 +14,11 @@ from waybill.operators import attachments as A, audit, envelope, failures, gate,
 from waybill.plans import delivery as P
 from waybill.schemas import COORDS, LOG, RECORD
 from waybill.sources.config import read_listing
-from waybill.sources.delivery_log import read_log, topic_matches
+from waybill.sources.delivery_log import read_log, stream_log, topic_matches
 from waybill.sources.stores import import_ids, read_back
 from waybill.storage import as_table, new_folder
+from waybill.streaming.gates import SeenTable
+from waybill.streaming.job import DeliveryJob, Settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -377,3 +379,18 @@ def dlq_entries(spark: SparkSession, sf: str) -> DataFrame:
     table = _staged(spark, sf)
     lost = P.quarantined(table, P.settle(table, D.event_seen(spark, sf)))
     return failures.dead_letters(lost, "waybill", F.lit(None)).drop("quarantinedAt", "replayedAt")
+
+
+@query
+def streamed_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole log through the streaming job, in several micro-batches, with its targets and dead letters."""
+    root = new_folder(spark, "job")
+    D.event_log(spark, sf).repartition(4, "partition").write.parquet(f"{root}/log")
+    gate = SeenTable(spark, root)
+    gate.mark(D.event_seen(spark, sf), "before")
+    job = DeliveryJob(
+        spark, "events", root, lambda s: stream_log(s, f"{root}/log", max_files=2), D.event_listing,
+        D.ENVELOPE_SCHEMA, Settings(D.DEFAULT_TARGET), gate=gate,
+    )
+    job.run_available()
+    return audit.outcome_counts(job.outcomes())

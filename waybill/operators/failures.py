@@ -146,3 +146,56 @@ def dead_letter_json(entries: DataFrame) -> DataFrame:
         F.col("originalKey").alias("key"),
         F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("value"),
     )
+
+
+# --- errors caught on the driver, when a whole target cannot be written ---------------------------------------
+
+# Which error type a Python error stands for.
+_PYTHON_ERRORS = [
+    (FileNotFoundError, "NoSuchFileException"), (ConnectionError, "ConnectException"), (OSError, "IOException"),
+]
+
+
+def error_lineages(error: BaseException) -> list[list[str]]:
+    """Type names, with supertypes, of an error and its causes, outermost first."""
+    found, current = [], error
+    while current is not None:
+        known = [name for kind, name in _PYTHON_ERRORS if isinstance(current, kind)]
+        found.append([type(current).__name__, *known])
+        java = getattr(current, "java_exception", None) or getattr(current, "_origin", None)
+        while java is not None:
+            names, cls = [], java.getClass()
+            while cls is not None:
+                names.append(cls.getSimpleName())
+                cls = cls.getSuperclass()
+            found.append(names)
+            java = java.getCause()
+        current = current.__cause__
+    return found
+
+
+def error_class(error: BaseException) -> str:
+    for lineage in error_lineages(error):
+        for name, verdict in RULES:
+            if name in lineage:
+                return verdict
+    return NON_RETRIABLE
+
+
+def error_label(error: BaseException) -> str:
+    if error_class(error) == RETRIABLE:
+        return RETRY_EXHAUSTED
+    names = {name for lineage in error_lineages(error) for name in lineage}
+    envelope = names & {"EnvelopeSchemaViolationException", "JsonProcessingException"}
+    return SCHEMA_VIOLATION if envelope else UNCLASSIFIED_FAILURE
+
+
+def error_root_message(error: BaseException) -> str:
+    while error.__cause__ is not None:
+        error = error.__cause__
+    java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    if java is None:
+        return str(error)
+    while java.getCause() is not None:
+        java = java.getCause()
+    return java.getMessage() or java.toString()

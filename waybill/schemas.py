@@ -57,3 +57,17 @@ DEAD_LETTER = _struct(
     originalPayload=_TEXT, errorType=_TEXT, errorMessage=_TEXT, failedAdapter=_TEXT,
     attemptCount=T.IntegerType(), quarantinedAt=_TEXT, replayed=T.BooleanType(), replayedAt=_TEXT,
 )
+
+# Staged deliveries (one row per delivery, with texts) and their outcomes (ids and findings only).
+_FINDINGS = [("contract_id", _TEXT), ("record_id", _TEXT), ("attachment_id", _TEXT), ("target", _TEXT), ("verdict", _TEXT)]
+STAGED = T.StructType(
+    [T.StructField(n, LOG[n].dataType) for n in COORDS]
+    + [T.StructField(n, t) for n, t in _FINDINGS]
+    + [T.StructField(n, _TEXT) for n in ["key", "value", "line", "header", "failure_type", "failure_text"]]
+)
+OUTCOMES = T.StructType(
+    [T.StructField(n, LOG[n].dataType) for n in COORDS]
+    + [T.StructField(n, t) for n, t in _FINDINGS]
+    + [T.StructField("outcome", _TEXT), T.StructField("error_type", _TEXT), T.StructField("error_message", _TEXT),
+       T.StructField("attempts", T.IntegerType())]
+)
