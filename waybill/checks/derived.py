@@ -46,9 +46,18 @@ EVENT_ATTACHMENTS = [
 ]
 
 
-def table(sf_dir: str, name: str) -> str:
-    """A given table inside a Spark SQL text."""
-    return f"parquet.`{sf_dir}/{name}.parquet`"
+def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; one that is read in fewer tasks than there are cores is spread over them first."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def _select(spark: SparkSession, sf_dir: str, name: str, sql: str) -> DataFrame:
+    """Runs a Spark SQL text over one given table, which it calls `given`."""
+    view = f"waybill_{name}_{abs(hash(sf_dir))}"
+    given(spark, sf_dir, name).createOrReplaceTempView(view)
+    return spark.sql(sql.replace("FROM given", f"FROM {view}"))
 
 
 def event_listing(spark: SparkSession) -> DataFrame:
@@ -106,11 +115,11 @@ def _event_values(events: str, duck: bool) -> str:
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event once on its topic; every tenth is delivered again, some also sit on the dead-letter topic."""
-    return spark.sql(f"""
+    return _select(spark, sf_dir, "events", f"""
 SELECT CASE WHEN c = 2 THEN 'dead-letter' ELSE concat(event_type, '.created') END AS topic,
        cast(event_id % 4 AS int) AS partition, event_id + CASE WHEN c = 1 THEN 1000000000 ELSE 0 END AS offset,
        concat('EV-', cast(event_id AS string)) AS key, value
-FROM ({_event_values(table(sf_dir, "events"), False)}) AS v
+FROM ({_event_values("given", False)}) AS v
 LATERAL VIEW explode(array_compact(array(0, IF(event_id % 10 = 0, 1, NULL), IF(event_id % 500 = 0, 2, NULL)))) AS c
 """)
 
@@ -136,11 +145,11 @@ _EVENT_ID_DUCK = uuid_of("concat('ev:', cast(event_id AS varchar))")
 
 
 def event_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_SEEN.format(id=_EVENT_ID_SPARK, events=table(sf_dir, "events")))
+    return _select(spark, sf_dir, "events", _SEEN.format(id=_EVENT_ID_SPARK, events="given"))
 
 
 def event_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_LEGACY.format(id=_EVENT_ID_SPARK, events=table(sf_dir, "events")))
+    return _select(spark, sf_dir, "events", _LEGACY.format(id=_EVENT_ID_SPARK, events="given"))
 
 
 EVENT_SEEN = "seen AS (" + _SEEN.format(id=_EVENT_ID_DUCK, events="events") + ")"
@@ -177,7 +186,7 @@ def _listing(customers: str, duck: bool, changed: bool) -> str:
 
 
 def customer_listing(spark: SparkSession, sf_dir: str, changed: bool = False) -> DataFrame:
-    return spark.sql(_listing(table(sf_dir, "customer"), False, changed))
+    return _select(spark, sf_dir, "customer", _listing("given", False, changed))
 
 
 CUSTOMER_LISTING = f"listing AS ({_listing('customer', True, False)})"
@@ -205,7 +214,7 @@ def _errors(orders: str, duck: bool) -> str:
 
 
 def order_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_errors(table(sf_dir, "orders"), False))
+    return _select(spark, sf_dir, "orders", _errors("given", False))
 
 
 ORDER_ERRORS = f"errors AS ({_errors('orders', True)})"
@@ -232,7 +241,7 @@ def _typed_values(orders: str, duck: bool) -> str:
 
 
 def intern_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_typed_values(table(sf_dir, "orders"), False))
+    return _select(spark, sf_dir, "orders", _typed_values("given", False))
 
 
 INTERN_LOG = f"interns AS ({_typed_values('orders', True)})"
@@ -251,7 +260,7 @@ def _times(events: str, duck: bool) -> str:
 
 
 def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_times(table(sf_dir, "events"), False))
+    return _select(spark, sf_dir, "events", _times("given", False))
 
 
 EVENT_TIMES = f"times AS ({_times('events', True)})"
@@ -261,24 +270,24 @@ EVENT_TIMES = f"times AS ({_times('events', True)})"
 
 def document_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a record whose `college` is the whole text."""
-    return spark.sql(f"""
+    return _select(spark, sf_dir, "documents", f"""
 SELECT 'interns.created' AS topic, cast(doc_id % 4 AS int) AS partition, doc_id AS offset, cast(doc_id AS string) AS key,
   to_json(named_struct('recordId', {uuid_of("concat('doc:', cast(doc_id AS string))")}, 'contractId', 'interns',
     'recordType', 'intern.created', 'schemaVersion', 1, 'naturalKey', cast(doc_id AS string), 'occurredAt', '2026-07-21T14:10:00Z',
     'payload', named_struct('internId', concat('D-', cast(doc_id AS string)), 'firstName', lang, 'lastName', source,
       'email', CASE WHEN doc_id % 3 = 0 THEN NULL ELSE concat('d', cast(doc_id AS string), '@x.org') END, 'college', text,
       'department', n_chars, 'startDate', '2026-09-01', 'status', 'ACTIVE'))) AS value
-FROM {table(sf_dir, "documents")}""")
+FROM given""")
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a record with its whole HTML."""
-    return spark.sql(f"""
+    return _select(spark, sf_dir, "pages", f"""
 SELECT 'pages.created' AS topic, cast(page_id % 4 AS int) AS partition, page_id AS offset, cast(page_id AS string) AS key,
   to_json(named_struct('recordId', {uuid_of("concat('page:', cast(page_id AS string))")}, 'contractId', 'pages',
     'recordType', 'page.created', 'schemaVersion', 1, 'naturalKey', cast(page_id AS string), 'occurredAt', '2026-07-21T14:10:00.25Z',
     'payload', named_struct('pageId', page_id, 'url', url, 'html', html))) AS value
-FROM {table(sf_dir, "pages")}""")
+FROM given""")
 
 
 def document_routing(spark: SparkSession, fmt: str):

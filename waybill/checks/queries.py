@@ -93,7 +93,7 @@ def attachments_active(spark: SparkSession, sf: str) -> DataFrame:
 def seen_import(spark: SparkSession, sf: str) -> DataFrame:
     path = new_folder(spark, "ids")
     padded = F.expr("CASE event_id % 3 WHEN 0 THEN concat('  ', upper(id), ' ') WHEN 1 THEN id ELSE concat(id, '\\n \\n') END")
-    events = spark.read.parquet(f"{sf}/events.parquet")
+    events = D.given(spark, sf, "events")
     events.select("event_id", F.expr(D.uuid_of("concat('ev:', cast(event_id AS string))")).alias("id")).select(
         padded.alias("value")
     ).write.text(path)
@@ -180,8 +180,7 @@ def target_path(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def format_route(spark: SparkSession, sf: str) -> DataFrame:
     return _configured(spark, sf).select(
-        "attachment_id", "format", P.default_formats().knows(F.col("format")).alias("known"),
-        P.default_formats().header(F.col("format")).alias("header"),
+        "attachment_id", "format", P.default_formats().knows(F.col("format")).alias("known"), "header"
     )
 
 
@@ -258,7 +257,7 @@ def canonical_time(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def xml_tags(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/pages.parquet").select(
+    return D.given(spark, sf, "pages").select(
         "page_id", xml_tag(F.col("url")).alias("url_tag"), xml_tag(F.col("page_id").cast("string")).alias("id_tag")
     )
 
@@ -327,7 +326,7 @@ def error_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _attempts(spark: SparkSession, sf: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    orders = D.given(spark, sf, "orders")
     failing = orders.select("o_orderkey", F.expr("cast(o_orderkey % 5 AS int)").alias("failures"))
     return failures.retry_schedule(failing, "failures")
 

@@ -1,10 +1,11 @@
 """Output formats as column builders, and the registry they are chosen from.
 
-A format turns one record into one line. `header` builds the first line of a target, or NULL when the format
-has none. Both are plain column expressions over the columns of a routed record:
+A format turns one record into one line. What depends on the attachment alone is worked out once per attachment,
+from its `columns array<struct<header,field>>`: the `header` line (NULL when the format has none) and the `cells`
+array<struct<role,label,field>> that the line is made of. The line is a plain column expression over
 
-    record_id, occurred_at, columns array<struct<header,field>>, payload map<string,string>,
-    kinds map<string,string> (JSON types of the payload fields; filled where `needs_kinds` is set)
+    record_id, occurred_at, cells, payload map<string,string>,
+    kinds map<string,string> (variant schemas of the payload fields; filled where `needs_kinds` is set)
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from waybill.functions.instants import canonical_instant
+from waybill.functions.instants import utc_text
 from waybill.functions.json_values import quote
 from waybill.functions.text import csv_field, xml_tag, xml_text
 
@@ -29,21 +30,29 @@ class Format:
     id: str
     line: Callable[[], Column]
     header: Callable[[], Column]
+    cells: Callable[[], Column]
     needs_kinds: bool = False
 
 
-def _texts() -> Column:
-    """Texts of the declared columns, in order; '' where the payload has none."""
-    return F.transform("columns", lambda c: F.coalesce(F.col("payload")[c["field"]], F.lit("")))
+def _cell(label: Column, field: Column, role: str = "field") -> Column:
+    return F.struct(F.lit(role).alias("role"), label.alias("label"), field.alias("field"))
 
 
 def _created_at() -> Column:
-    return canonical_instant(F.col("occurred_at"))
+    return utc_text(F.col("occurred_at"))
 
 
-def _csv_line() -> Column:
-    # An id and a timestamp never need quotes.
-    return F.concat_ws(",", F.col("record_id"), F.transform(_texts(), csv_field), _created_at())
+def _no_header() -> Column:
+    return F.lit(None).cast("string")
+
+
+def _plain_cells() -> Column:
+    return F.transform("columns", lambda c: _cell(c["header"], c["field"]))
+
+
+def _texts() -> Column:
+    """Texts of the cells, in order; '' where the payload has none."""
+    return F.transform("cells", lambda c: F.coalesce(F.col("payload")[c["field"]], F.lit("")))
 
 
 def _csv_header() -> Column:
@@ -52,6 +61,22 @@ def _csv_header() -> Column:
     )
 
 
+def _csv_line() -> Column:
+    # An id and a timestamp never need quotes.
+    return F.concat_ws(",", F.col("record_id"), F.transform(_texts(), csv_field), _created_at())
+
+
+def _json_cells() -> Column:
+    none = F.lit(None).cast("string")
+    cells = F.concat(
+        F.array(_cell(F.lit(ID_FIELD), none, "id")), _plain_cells(), F.array(_cell(F.lit(TIME_FIELD), none, "time"))
+    )
+    # A repeated name keeps its first place and its last value.
+    names = F.array_distinct(F.transform(cells, lambda c: c["label"]))
+    unique = F.transform(names, lambda n: F.element_at(F.filter(cells, lambda c: c["label"] == n), -1))
+    return F.transform(unique, lambda c: c.withField("label", F.concat(quote(c["label"]), F.lit(":"))))
+
+
 def _json_value(raw: Column, kind: Column) -> Column:
     # Without a type (payload with repeated nested keys) the text itself decides.
     literal = F.schema_of_variant(F.try_parse_json(raw))
@@ -59,38 +84,28 @@ def _json_value(raw: Column, kind: Column) -> Column:
     return F.when(raw.isNull(), "null").when(is_text, quote(raw)).otherwise(raw)
 
 
-def _member(name: Column, value: Column) -> Column:
-    return F.struct(name.alias("name"), value.alias("value"))
-
-
 def _json_line() -> Column:
-    found = F.transform("columns", lambda c: F.struct(
-        c["header"].alias("name"), F.col("payload")[c["field"]].alias("raw"), F.col("kinds")[c["field"]].alias("kind"),
+    def literal(text: Column) -> Column:
+        return F.concat(F.lit('"'), text, F.lit('"'))
+
+    found = F.transform("cells", lambda c: c.withField("raw", F.col("payload")[c["field"]]).withField(
+        "kind", F.col("kinds")[c["field"]]))
+    members = F.transform(found, lambda m: F.concat(
+        m["label"],
+        F.when(m["role"] == "field", _json_value(m["raw"], m["kind"]))
+        .when(m["role"] == "id", literal(F.col("record_id"))).otherwise(literal(_created_at())),
     ))
-    members = F.concat(
-        F.array(_member(F.lit(ID_FIELD), quote(F.col("record_id")))),
-        F.transform(found, lambda m: _member(m["name"], _json_value(m["raw"], m["kind"]))),
-        F.array(_member(F.lit(TIME_FIELD), quote(_created_at()))),
-    )
-    # A repeated name keeps its first place and its last value.
-    names = F.concat(
-        F.array(F.lit(ID_FIELD)), F.transform("columns", lambda c: c["header"]), F.array(F.lit(TIME_FIELD))
-    )
-    merged = F.transform(
-        F.array_distinct(names),
-        lambda n: _member(n, F.element_at(F.filter(members, lambda m: m["name"] == n), -1)["value"]),
-    )
-    unique = F.when(F.size(F.array_distinct(names)) < F.size(names), merged).otherwise(members)
-    body = F.transform(unique, lambda m: F.concat(quote(m["name"]), F.lit(":"), m["value"]))
-    return F.concat(F.lit("{"), F.array_join(body, ","), F.lit("}"))
+    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+
+
+def _xml_cells() -> Column:
+    return F.transform("columns", lambda c: _cell(xml_tag(c["header"]), c["field"]))
 
 
 def _xml_line() -> Column:
-    tagged = F.transform("columns", lambda c: F.struct(
-        xml_tag(c["header"]).alias("tag"), F.coalesce(F.col("payload")[c["field"]], F.lit("")).alias("text"),
-    ))
+    tagged = F.transform("cells", lambda c: c.withField("text", F.coalesce(F.col("payload")[c["field"]], F.lit(""))))
     fields = F.transform(tagged, lambda e: F.concat(
-        F.lit("<"), e["tag"], F.lit(">"), xml_text(e["text"]), F.lit("</"), e["tag"], F.lit(">"),
+        F.lit("<"), e["label"], F.lit(">"), xml_text(e["text"]), F.lit("</"), e["label"], F.lit(">"),
     ))
     return F.concat(
         F.lit(f"<record><{ID_FIELD}>"), F.col("record_id"), F.lit(f"</{ID_FIELD}>"), F.array_join(fields, ""),
@@ -98,10 +113,6 @@ def _xml_line() -> Column:
     )
 
 
-def _no_header() -> Column:
-    return F.lit(None).cast("string")
-
-
 class FormatRegistry:
     """Formats by id, in registration order; the first of a repeated id stays."""
 
@@ -119,8 +130,8 @@ class FormatRegistry:
     def knows(self, format_id: Column) -> Column:
         return format_id.isin(self.available())
 
-    def _choose(self, format_id: Column, build: Callable[[Format], Column]) -> Column:
-        chosen = F.lit(None).cast("string")
+    def _choose(self, format_id: Column, build: Callable[[Format], Column], kind: str = "string") -> Column:
+        chosen = F.lit(None).cast(kind)
         for f in reversed(list(self._by_id.values())):
             chosen = F.when(format_id == f.id, build(f)).otherwise(chosen)
         return chosen
@@ -131,13 +142,17 @@ class FormatRegistry:
     def header(self, format_id: Column) -> Column:
         return self._choose(format_id, lambda f: f.header())
 
+    def cells(self, format_id: Column) -> Column:
+        kind = "array<struct<role:string,label:string,field:string>>"
+        return self._choose(format_id, lambda f: f.cells().cast(kind), kind)
+
     def needs_kinds(self, format_id: Column) -> Column:
         return format_id.isin([f.id for f in self._by_id.values() if f.needs_kinds])
 
 
 def default_formats() -> FormatRegistry:
     return FormatRegistry([
-        Format("csv", _csv_line, _csv_header),
-        Format("json", _json_line, _no_header, needs_kinds=True),
-        Format("xml", _xml_line, _no_header),
+        Format("csv", _csv_line, _csv_header, _plain_cells),
+        Format("json", _json_line, _no_header, _json_cells, needs_kinds=True),
+        Format("xml", _xml_line, _no_header, _xml_cells),
     ])

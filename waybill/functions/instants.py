@@ -32,20 +32,25 @@ def _offset_minutes(text: Column) -> Column:
 
 def is_instant(text: Column) -> Column:
     """Whether a checked date-time is also an instant: at most 9 fraction digits, offset within 18 hours."""
-    zulu = F.upper(F.right(text, F.lit(1))) == "Z"
+    zulu = text.endswith("Z") | text.endswith("z")
     return (F.length(_fraction(text)) <= 9) & (zulu | (F.abs(_offset_minutes(text)) <= 18 * 60))
 
 
-def canonical_instant(text: Column) -> Column:
-    """UTC with 'Z'; seconds always shown; fraction absent or 3, 6 or 9 digits. NULL if not an instant."""
-    seconds = F.regexp_replace(F.upper(F.substring(text, 1, 19)), ":60$", ":59")
-    zulu = F.upper(F.right(text, F.lit(1))) == "Z"
+def utc_text(text: Column) -> Column:
+    """Canonical UTC text of a checked instant: seconds always shown, fraction absent or 3, 6 or 9 digits, 'Z'."""
+    seconds = F.upper(F.substring(text, 1, 19))
+    seconds = F.when(seconds.endswith(":60"), F.concat(F.substring(seconds, 1, 17), F.lit("59"))).otherwise(seconds)
     shifted = F.replace(
         F.timestamp_add("MINUTE", -_offset_minutes(text), seconds.try_cast("timestamp_ntz")).cast("string"),
         F.lit(" "), F.lit("T"),
     )
-    digits = F.rtrim(_fraction(text), F.lit("0"))
-    width = (F.ceil(F.length(digits) / 3) * 3).cast("int")
-    fraction = F.when(digits == "", "").otherwise(F.concat(F.lit("."), F.rpad(digits, width, F.lit("0"))))
-    whole = F.when(zulu, seconds).otherwise(shifted)
-    return F.when(is_date_time(text) & is_instant(text), F.concat(whole, fraction, F.lit("Z")))
+    whole = F.when(text.endswith("Z") | text.endswith("z"), seconds).otherwise(shifted)
+    # Without its trailing zeros and with two put at the end, the fraction begins with the groups of three to keep.
+    digits = F.rtrim(F.regexp_extract(text, r"\.\d+", 0), F.lit("0"))
+    fraction = F.regexp_extract(F.concat(digits, F.lit("00")), r"^(?:\.(?:\d{3})+)?", 0)
+    return F.concat(whole, fraction, F.lit("Z"))
+
+
+def canonical_instant(text: Column) -> Column:
+    """Canonical UTC text of any text; NULL if it is not an instant."""
+    return F.when(is_date_time(text) & is_instant(text), utc_text(text))

@@ -27,31 +27,27 @@ _TYPE_NAMES = {
 }
 
 
-def schema_word(v: Column) -> Column:
-    """STRING, BIGINT, DECIMAL, OBJECT, ...; NULL when there is no value at all."""
-    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
-
-
-def json_type(v: Column) -> Column:
-    """JSON type name of a variant; 'missing' when there is no value at all."""
+def type_name(kind: Column, number: Column) -> Column:
+    """JSON type name from a variant's schema and its value as a number; 'missing' without a value."""
     names = F.create_map(*[F.lit(x) for pair in _TYPE_NAMES.items() for x in pair])
-    return F.when(is_integer(v), "integer").otherwise(F.coalesce(names[schema_word(v)], F.lit("missing")))
+    return F.when(is_integer(kind, number), "integer").otherwise(
+        F.coalesce(names[F.regexp_extract(kind, "^[A-Z]+", 0)], F.lit("missing"))
+    )
 
 
-def is_integer(v: Column) -> Column:
+def is_integer(kind: Column, number: Column) -> Column:
     """A number without a fractional part is an integer, however it is written (1, 1.0, 1e3)."""
-    number = F.try_variant_get(v, "$", "double")
-    return schema_word(v).isin("BIGINT", "DECIMAL", "DOUBLE") & (number == F.floor(number))
+    return (kind == "BIGINT") | (
+        (kind.startswith("DECIMAL") | (kind == "DOUBLE")) & (number == F.floor(number))
+    )
 
 
 def scalar_text(v: Column) -> Column:
     """Text of a scalar; '' for a missing value, an object or an array, 'null' for an explicit null."""
-    word = schema_word(v)
+    kind, text = F.schema_of_variant(v), F.try_variant_get(v, "$", "string")
+    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     return (
-        F.when(word == "STRING", F.try_variant_get(v, "$", "string"))
-        .when(word.isNull() | word.isin("OBJECT", "ARRAY"), "")
-        .when(word == "VOID", "null")
-        .otherwise(F.try_variant_get(v, "$", "string"))
+        F.when(kind == "STRING", text).when(kind.isNull() | nested, "").when(kind == "VOID", "null").otherwise(text)
     )
 
 
@@ -67,17 +63,19 @@ def last_wins(m: Column) -> Column:
 
 
 def quote(text: Column) -> Column:
-    """A text as a JSON string literal."""
-    return F.btrim(F.to_json(F.array(text)), F.lit("[]"))
+    """A text as a JSON string literal; most texts need nothing escaped."""
+    escaped = F.btrim(F.to_json(F.array(text)), F.lit("[]"))
+    return F.when(text.rlike(r'["\\\x00-\x1f]'), escaped).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
 
 
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Adds a costly column so that it is computed a single time per row.
 
     A filter on the column, or on one made from it, would otherwise be moved below the projection together with a
-    copy of the whole expression. Spark moves no filter below a generator.
+    copy of the whole expression. The condition, which always holds, keeps Spark from that: it copies and moves
+    nothing that depends on where it runs.
     """
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    return df.withColumn(name, F.when(F.spark_partition_id() >= 0, value))
 
 
 def payload_kinds(value: Column) -> Column:

@@ -64,7 +64,8 @@ def target_path(path: Column, default_path: str) -> Column:
 
 
 def configured(attachments: DataFrame, default_path: str, formats: FormatRegistry | None = None) -> DataFrame:
-    """Adds path, format, columns, target and config_error (NULL when the attachment can be written)."""
+    """Adds path, format, columns, target, what the format makes of the columns (header, cells), and config_error
+    (NULL when the attachment can be written)."""
     formats = formats or default_formats()
     config = F.try_parse_json("config")
     return (
@@ -76,6 +77,8 @@ def configured(attachments: DataFrame, default_path: str, formats: FormatRegistr
         })
         .withColumns({
             "target": target_path(F.col("path"), default_path),
+            "header": formats.header(F.col("format")),
+            "cells": formats.cells(F.col("format")),
             "config_error": F.when(
                 F.size("columns") == 0,
                 F.concat(

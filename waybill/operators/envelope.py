@@ -20,41 +20,32 @@ def parse(log: DataFrame, extra_fields: list[str] = ()) -> DataFrame:
     """
     value = F.col("value")
     schema = J.envelope_type(extra_fields)
-    strict = J.once(log, "_strict", F.from_json(J.wrapped(value), T.ArrayType(schema), J.STRICT))
-    clean = (
-        (F.size("_strict") == 1)
-        & F.get("_strict", F.lit(0)).isNotNull()
-        & F.rtrim(value, F.lit(" \n\r\t")).endswith("}")
+    read = J.once(log, "_read", F.from_json(J.wrapped(value), T.ArrayType(schema), J.STRICT))
+    first = F.get(F.col("_read"), F.lit(0))
+    clean = F.coalesce(
+        (F.size("_read") == 1) & first.isNotNull() & F.rtrim(value, F.lit(" \n\r\t")).endswith("}"), F.lit(False)
     )
+    # The rest is looked at only where the text is not one object.
     loose = F.from_json(
         value, "contractId variant, _bad string", {**J.STRICT, "columnNameOfCorruptRecord": "_bad"}
     )
-    # A non-object root counts as unreadable above; it is still valid JSON if some other reading takes it.
+    # A non-object root counts as unreadable there; it is still valid JSON if some other reading takes it.
     readable = F.try_parse_json(value).isNotNull() | F.from_json(value, "array<string>", J.STRICT).isNotNull()
+    trailing = loose.isNotNull() & loose["_bad"].isNull()
     shape = (
         F.when(value.isNull(), "none")
-        .when(F.col("_clean"), "object")
-        .when(F.col("_loose").isNull(), "other")
-        .when(F.col("_loose")["_bad"].isNull(), "trailing")
+        .when(clean, "object")
+        .when(loose.isNull(), "other")
+        .when(trailing, "trailing")
         .when(readable, "other")
         .otherwise("broken")
     )
     # For a text with something after its object, only the contract is read.
-    none = F.lit(None)
     head = F.struct(*[
-        (F.col("_loose")["contractId"] if f.name == "contractId" else none.cast(f.dataType)).alias(f.name)
+        (loose["contractId"] if f.name == "contractId" else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema
     ])
-    return (
-        strict.withColumn("_clean", F.coalesce(clean, F.lit(False)))
-        .withColumn("_loose", F.when(~F.col("_clean"), loose))
-        .withColumn("shape", shape)
-        .withColumn(
-            "env",
-            F.when(F.col("_clean"), F.get("_strict", F.lit(0))).when(F.col("shape") == "trailing", head),
-        )
-        .drop("_strict", "_clean", "_loose")
-    )
+    return read.select(*log.columns, shape.alias("shape"), F.when(clean, first).when(trailing, head).alias("env"))
 
 
 def project(parsed: DataFrame) -> DataFrame:

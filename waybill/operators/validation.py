@@ -8,8 +8,9 @@ checked is worse than none.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,6 +27,12 @@ NOT_JSON = "not valid JSON"
 _ANNOTATIONS = {"$schema", "$id", "$comment", "title", "description", "default", "examples"}
 _FORMATS = {"uuid": lambda text: text.rlike(UUID), "date-time": is_date_time}
 
+# Fields whose text `envelope.project` has already read.
+_TEXT_COLUMNS = {
+    "contractId": "contract_id", "recordId": "record_id", "recordType": "record_type", "naturalKey": "natural_key",
+    "occurredAt": "occurred_at",
+}
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -42,7 +49,8 @@ class Rule:
             return F.lit(f" required property '{self.field}' not found")
         where = f"/{self.field} "
         if self.keyword == "type":
-            return F.concat(F.lit(where), _kind(self.field), F.lit(f" found, {' or '.join(self.types)} expected"))
+            found = J.type_name(self._kind(), self._number())
+            return F.concat(F.lit(where), found, F.lit(f" found, {' or '.join(self.types)} expected"))
         return F.lit(where + {
             "pattern": f"does not match the pattern {self.argument}",
             "minLength": f"must be at least {self.argument} characters long",
@@ -51,24 +59,44 @@ class Rule:
         }[self.keyword])
 
     def broken(self) -> Column:
-        kind, text = _kind(self.field), F.col("_text")[self.field] if self.field != "payload" else None
+        kind = self._kind()
         if self.keyword == "required":
-            return kind == "missing"
+            return kind.isNull()
         if self.keyword == "type":
-            allowed = set(self.types) | ({"integer"} if "number" in self.types else set())
-            return ~kind.isin(*allowed, "missing")
+            return kind.isNotNull() & ~reduce(or_, [self._is(t) for t in self.types])
         if self.keyword == "minimum":
-            return kind.isin("integer", "number") & (text.try_cast("double") < F.lit(self.argument))
+            return self._is("number") & (self._number() < F.lit(self.argument))
+        text = self._text()
         fails = {
             "pattern": lambda: ~text.rlike(str(self.argument)),
             "minLength": lambda: F.length(text) < F.lit(self.argument),
             "format": lambda: ~_FORMATS[self.argument](text),
         }[self.keyword]()
-        return (kind == "string") & fails
+        return self._is("string") & fails
+
+    def _kind(self) -> Column:
+        """The variant schema of the field; NULL when it is missing."""
+        return F.col("_kind")[self.field]
+
+    def _is(self, json_type: str) -> Column:
+        kind = self._kind()
+        if json_type == "integer":
+            return J.is_integer(kind, self._number())
+        if json_type == "number":
+            return (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
+        if json_type in ("object", "array"):
+            return kind.startswith(json_type.upper())
+        return kind == {"string": "STRING", "null": "VOID", "boolean": "BOOLEAN"}[json_type]
 
+    def _text(self) -> Column:
+        if self.field in _TEXT_COLUMNS:
+            return F.col(_TEXT_COLUMNS[self.field])
+        return F.try_variant_get(F.col("env")[self.field], "$", "string")
 
-def _kind(field: str) -> Column:
-    return F.col("_kind")[field]
+    def _number(self) -> Column:
+        if self.field == "payload":
+            return F.lit(None).cast("double")
+        return F.try_variant_get(F.col("env")[self.field], "$", "double")
 
 
 def compile_rules(schema_text: str) -> list[Rule]:
@@ -110,31 +138,28 @@ def extra_fields(rules: list[Rule]) -> list[str]:
     return sorted({r.field for r in rules} - set(ENVELOPE_FIELDS) - {"payload"})
 
 
-def _by_field(rules: list[Rule], value: Callable[[Column], Column], *more: Column) -> Column:
-    fields = sorted({r.field for r in rules} - {"payload"})
-    return F.struct(*[value(F.col("env")[name]).alias(name) for name in fields], *more)
-
-
-def validate(parsed: DataFrame, rules: list[Rule]) -> DataFrame:
+def validate(records: DataFrame, rules: list[Rule]) -> DataFrame:
     """Adds `violations`: every broken rule as '<location> <message>', sorted; empty when the record is valid.
 
-    Works row by row without a shuffle. Expects the columns of `envelope.parse`.
+    Works row by row without a shuffle. Expects the columns of `envelope.project`.
     """
     # The payload is read again only where it is not an object.
     again = F.get(F.from_json(J.wrapped(F.col("value")), "array<struct<payload:variant>>", J.STRICT), 0)
-    payload = F.when(F.col("env.payload").isNotNull(), "object").otherwise(J.json_type(again["payload"]))
-    found = F.array_sort(F.array_compact(F.array(*[F.when(r.broken(), r.message()) for r in rules])))
+    payload = F.when(F.col("env.payload").isNotNull(), "OBJECT").otherwise(F.schema_of_variant(again["payload"]))
+    kinds = F.struct(
+        *[F.schema_of_variant(F.col("env")[f]).alias(f) for f in sorted({r.field for r in rules} - {"payload"})],
+        payload.alias("payload"),
+    )
+    none = F.array().cast("array<string>")
+    broken = [F.coalesce(r.broken(), F.lit(False)) for r in rules]
+    found = F.array_sort(F.array_compact(F.array(*[F.when(b, r.message()) for b, r in zip(broken, rules)])))
     violations = (
-        F.when(F.col("shape") == "object", found)
+        F.when(F.col("shape") == "object", F.when(reduce(or_, broken, F.lit(False)), found).otherwise(none))
         .when(F.col("shape") == "other", F.array(F.lit(" the envelope is not an object")))
         .otherwise(F.array(F.lit(NOT_JSON)))
     )
-    is_object = F.col("shape") == "object"
-    typed = parsed.withColumns({
-        "_kind": F.when(is_object, _by_field(rules, J.json_type, payload.alias("payload"))),
-        "_text": F.when(is_object, _by_field(rules, lambda v: F.try_variant_get(v, "$", "string"))),
-    })
-    return J.once(typed, "violations", violations).drop("_kind", "_text")
+    typed = records.withColumn("_kind", F.when(F.col("shape") == "object", kinds))
+    return J.once(typed, "violations", violations).drop("_kind")
 
 
 def report(violations: Column) -> Column:

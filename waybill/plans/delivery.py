@@ -49,7 +49,7 @@ def parsed(log: DataFrame, rules: list[Rule]) -> DataFrame:
 def route(records: DataFrame, routing: Routing, how: str = "left") -> DataFrame:
     """Records with the attachment of their contract; `how='inner'` drops what is not attached."""
     settings = routing.attachments.select(
-        "contract_id", "attachment_id", "format", "target", "columns", "config_error"
+        "contract_id", "attachment_id", "format", "target", "columns", "header", "cells", "config_error"
     )
     return join_config(records, settings, ["contract_id"], COORDS, how, routing.broadcast)
 
@@ -73,13 +73,9 @@ def judge(log: DataFrame, routing: Routing, how: str = "left") -> DataFrame:
 
 
 def with_line(records: DataFrame, formats: FormatRegistry) -> DataFrame:
-    """Adds `line` and `header` (NULL for a format without one) to ready records."""
+    """Adds `line` to ready records."""
     kinds = F.when(formats.needs_kinds(F.col("format")), J.payload_kinds(F.col("value")))
-    return (
-        records.withColumn("kinds", kinds)
-        .withColumns({"line": formats.line(F.col("format")), "header": formats.header(F.col("format"))})
-        .drop("kinds")
-    )
+    return records.withColumn("kinds", kinds).withColumn("line", formats.line(F.col("format"))).drop("kinds")
 
 
 def failure_text() -> Column:
@@ -118,7 +114,7 @@ def staged(log: DataFrame, routing: Routing) -> DataFrame:
         F.when(ours, F.col("key")).alias("key"),
         F.when(ours, F.col("value")).alias("value"),
         F.when(ready, routing.formats.line(F.col("format"))).alias("line"),
-        F.when(ready, routing.formats.header(F.col("format"))).alias("header"),
+        F.when(ready, F.col("header")).alias("header"),
         failure_type().alias("failure_type"),
         failure_text().alias("failure_text"),
     )
@@ -209,7 +205,7 @@ def routed_lines(
     For a log that is read only for its lines; a job that also needs dead letters and outcomes uses `settle`.
     """
     ready = judge(log, routing, how="inner").where(F.col("verdict") == READY).select(
-        *COORDS, "value", *RECORD, "occurred_at", "payload", "format", "target", "columns"
+        *COORDS, "value", *RECORD, "occurred_at", "payload", "format", "target", "header", "cells"
     )
     first = gate.unseen(gate.first_delivery(ready), seen, inherited)
     return with_line(first, routing.formats).select(*COORDS, *RECORD, "target", "line", "header")
