@@ -5,7 +5,7 @@ from its `columns array<struct<header,field>>`: the `header` line (NULL when the
 array<struct<role,label,field>> that the line is made of. The line is a plain column expression over
 
     record_id, occurred_at, cells, payload map<string,string>,
-    kinds map<string,string> (variant schemas of the payload fields; filled where `needs_kinds` is set)
+    typed map<string,variant> (the payload once more, with JSON types; filled where `needs_types` is set)
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ class Format:
     line: Callable[[], Column]
     header: Callable[[], Column]
     cells: Callable[[], Column]
-    needs_kinds: bool = False
+    needs_types: bool = False
 
 
 def _cell(label: Column, field: Column, role: str = "field") -> Column:
@@ -77,23 +77,27 @@ def _json_cells() -> Column:
     return F.transform(unique, lambda c: c.withField("label", F.concat(quote(c["label"]), F.lit(":"))))
 
 
-def _json_value(raw: Column, kind: Column) -> Column:
+def _json_value(raw: Column, typed: Column) -> Column:
     # Without a type (payload with repeated nested keys) the text itself decides.
-    literal = F.schema_of_variant(F.try_parse_json(raw))
-    is_text = F.coalesce(kind == "STRING", ~raw.rlike(r"^[\[{]") & (literal.isNull() | (literal == "STRING")))
-    return F.when(raw.isNull(), "null").when(is_text, quote(raw)).otherwise(raw)
+    guess = F.schema_of_variant(F.try_parse_json(raw))
+    looks_like_text = ~raw.rlike(r"^[\[{]") & (guess.isNull() | (guess == "STRING"))
+    return (
+        F.when(raw.isNull(), "null")
+        .when(F.schema_of_variant(typed) == "STRING", quote(raw))
+        .when(typed.isNull() & looks_like_text, quote(raw))
+        .otherwise(raw)
+    )
 
 
 def _json_line() -> Column:
-    def literal(text: Column) -> Column:
-        return F.concat(F.lit('"'), text, F.lit('"'))
-
-    found = F.transform("cells", lambda c: c.withField("raw", F.col("payload")[c["field"]]).withField(
-        "kind", F.col("kinds")[c["field"]]))
+    found = F.transform("cells", lambda c: F.struct(
+        c["role"].alias("role"), c["label"].alias("label"), F.col("payload")[c["field"]].alias("raw"),
+        F.col("typed")[c["field"]].alias("typed"),
+    ))
     members = F.transform(found, lambda m: F.concat(
         m["label"],
-        F.when(m["role"] == "field", _json_value(m["raw"], m["kind"]))
-        .when(m["role"] == "id", literal(F.col("record_id"))).otherwise(literal(_created_at())),
+        F.when(m["role"] == "field", _json_value(m["raw"], m["typed"]))
+        .otherwise(F.concat(F.lit('"'), F.when(m["role"] == "id", F.col("record_id")).otherwise(_created_at()), F.lit('"'))),
     ))
     return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
@@ -103,7 +107,9 @@ def _xml_cells() -> Column:
 
 
 def _xml_line() -> Column:
-    tagged = F.transform("cells", lambda c: c.withField("text", F.coalesce(F.col("payload")[c["field"]], F.lit(""))))
+    tagged = F.transform("cells", lambda c: F.struct(
+        c["label"].alias("label"), F.coalesce(F.col("payload")[c["field"]], F.lit("")).alias("text")
+    ))
     fields = F.transform(tagged, lambda e: F.concat(
         F.lit("<"), e["label"], F.lit(">"), xml_text(e["text"]), F.lit("</"), e["label"], F.lit(">"),
     ))
@@ -146,13 +152,13 @@ class FormatRegistry:
         kind = "array<struct<role:string,label:string,field:string>>"
         return self._choose(format_id, lambda f: f.cells().cast(kind), kind)
 
-    def needs_kinds(self, format_id: Column) -> Column:
-        return format_id.isin([f.id for f in self._by_id.values() if f.needs_kinds])
+    def needs_types(self, format_id: Column) -> Column:
+        return format_id.isin([f.id for f in self._by_id.values() if f.needs_types])
 
 
 def default_formats() -> FormatRegistry:
     return FormatRegistry([
         Format("csv", _csv_line, _csv_header, _plain_cells),
-        Format("json", _json_line, _no_header, _json_cells, needs_kinds=True),
+        Format("json", _json_line, _no_header, _json_cells, needs_types=True),
         Format("xml", _xml_line, _no_header, _xml_cells),
     ])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_DATE_TIME = (
+DATE_TIME = (
     r"^\d{4}-\d{2}-\d{2}[Tt](?:(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d|23:59:60)"
     r"(?:\.\d+)?(?:[Zz]|[+-](?:[01]\d|2[0-3]):[0-5]\d)$"
 )
@@ -16,7 +16,7 @@ _DATE_TIME = (
 
 def is_date_time(text: Column) -> Column:
     """True for an RFC 3339 date-time with an existing calendar day."""
-    return text.rlike(_DATE_TIME) & F.substring(text, 1, 10).try_cast("date").isNotNull()
+    return text.rlike(DATE_TIME) & F.substring(text, 1, 10).try_cast("date").isNotNull()
 
 
 def _fraction(text: Column) -> Column:

@@ -21,27 +21,12 @@ def envelope_type(extra_fields: list[str] = ()) -> T.StructType:
 
 
 # JSON type names by the first word of a variant's schema.
-_TYPE_NAMES = {
+TYPE_NAMES = {
     "STRING": "string", "VOID": "null", "BOOLEAN": "boolean", "OBJECT": "object", "ARRAY": "array",
     "BIGINT": "integer", "DECIMAL": "number", "DOUBLE": "number",
 }
 
 
-def type_name(kind: Column, number: Column) -> Column:
-    """JSON type name from a variant's schema and its value as a number; 'missing' without a value."""
-    names = F.create_map(*[F.lit(x) for pair in _TYPE_NAMES.items() for x in pair])
-    return F.when(is_integer(kind, number), "integer").otherwise(
-        F.coalesce(names[F.regexp_extract(kind, "^[A-Z]+", 0)], F.lit("missing"))
-    )
-
-
-def is_integer(kind: Column, number: Column) -> Column:
-    """A number without a fractional part is an integer, however it is written (1, 1.0, 1e3)."""
-    return (kind == "BIGINT") | (
-        (kind.startswith("DECIMAL") | (kind == "DOUBLE")) & (number == F.floor(number))
-    )
-
-
 def scalar_text(v: Column) -> Column:
     """Text of a scalar; '' for a missing value, an object or an array, 'null' for an explicit null."""
     kind, text = F.schema_of_variant(v), F.try_variant_get(v, "$", "string")
@@ -78,7 +63,7 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.when(F.spark_partition_id() >= 0, value))
 
 
-def payload_kinds(value: Column) -> Column:
-    """map<field, JSON type of the payload field>; only the JSON output needs it."""
-    typed = F.get(F.from_json(wrapped(value), "array<struct<payload:map<string,variant>>>", STRICT), 0)
-    return F.transform_values(typed["payload"], lambda _, v: F.schema_of_variant(v))
+def typed_payload(value: Column) -> Column:
+    """The payload as map<field, variant>; only the JSON output needs the types."""
+    read = F.from_json(wrapped(value), "array<struct<payload:map<string,variant>>>", STRICT)
+    return F.get(read, F.lit(0))["payload"]

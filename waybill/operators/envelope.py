@@ -22,9 +22,8 @@ def parse(log: DataFrame, extra_fields: list[str] = ()) -> DataFrame:
     schema = J.envelope_type(extra_fields)
     read = J.once(log, "_read", F.from_json(J.wrapped(value), T.ArrayType(schema), J.STRICT))
     first = F.get(F.col("_read"), F.lit(0))
-    clean = F.coalesce(
-        (F.size("_read") == 1) & first.isNotNull() & F.rtrim(value, F.lit(" \n\r\t")).endswith("}"), F.lit(False)
-    )
+    ends = value.endswith("}") | F.rtrim(value, F.lit(" \n\r\t")).endswith("}")
+    clean = F.coalesce((F.size("_read") == 1) & first.isNotNull() & ends, F.lit(False))
     # The rest is looked at only where the text is not one object.
     loose = F.from_json(
         value, "contractId variant, _bad string", {**J.STRICT, "columnNameOfCorruptRecord": "_bad"}

@@ -9,13 +9,11 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waybill.functions import json_values as J
-from waybill.functions.instants import is_date_time
+from waybill.functions.instants import DATE_TIME
 from waybill.operators.envelope import UUID
 from waybill.schemas import ENVELOPE_FIELDS
 
@@ -25,7 +23,10 @@ REPORT_PREFIX = "message does not conform to the registered envelope schema: "
 NOT_JSON = "not valid JSON"
 
 _ANNOTATIONS = {"$schema", "$id", "$comment", "title", "description", "default", "examples"}
-_FORMATS = {"uuid": lambda text: text.rlike(UUID), "date-time": is_date_time}
+_FORMATS = {
+    "uuid": lambda text: f"{text} RLIKE {_literal(UUID)}",
+    "date-time": lambda text: f"{text} RLIKE {_literal(DATE_TIME)} AND try_cast(substring({text}, 1, 10) AS date) IS NOT NULL",
+}
 
 # Fields whose text `envelope.project` has already read.
 _TEXT_COLUMNS = {
@@ -44,59 +45,69 @@ class Rule:
     argument: object
     types: tuple[str, ...] = ()
 
-    def message(self) -> Column:
+    def message(self) -> str:
+        """SQL for the text of a violation."""
         if self.keyword == "required":
-            return F.lit(f" required property '{self.field}' not found")
+            return _literal(f" required property '{self.field}' not found")
         where = f"/{self.field} "
         if self.keyword == "type":
-            found = J.type_name(self._kind(), self._number())
-            return F.concat(F.lit(where), found, F.lit(f" found, {' or '.join(self.types)} expected"))
-        return F.lit(where + {
+            names = " ".join(f"WHEN {_literal(word)} THEN {_literal(name)}" for word, name in J.TYPE_NAMES.items())
+            kind = f"CASE WHEN {self._is('integer')} THEN 'integer' ELSE CASE regexp_extract({self._kind}, '^[A-Z]+', 0) {names} END END"
+            return f"concat({_literal(where)}, {kind}, {_literal(f' found, {self._expected()} expected')})"
+        return _literal(where + {
             "pattern": f"does not match the pattern {self.argument}",
             "minLength": f"must be at least {self.argument} characters long",
             "minimum": f"must have a minimum value of {self.argument}",
             "format": f"is not a valid {self.argument}",
         }[self.keyword])
 
-    def broken(self) -> Column:
-        kind = self._kind()
+    def broken(self) -> str:
+        """SQL for whether a record breaks the rule; NULL counts as no."""
         if self.keyword == "required":
-            return kind.isNull()
+            return f"{self._kind} IS NULL"
         if self.keyword == "type":
-            return kind.isNotNull() & ~reduce(or_, [self._is(t) for t in self.types])
+            return f"NOT ({' OR '.join(self._is(t) for t in self.types)})"
         if self.keyword == "minimum":
-            return self._is("number") & (self._number() < F.lit(self.argument))
-        text = self._text()
+            return f"{self._is('number')} AND {self._number} < {float(self.argument)}D"
         fails = {
-            "pattern": lambda: ~text.rlike(str(self.argument)),
-            "minLength": lambda: F.length(text) < F.lit(self.argument),
-            "format": lambda: ~_FORMATS[self.argument](text),
+            "pattern": lambda: f"NOT {self._text} RLIKE {_literal(str(self.argument))}",
+            "minLength": lambda: f"length({self._text}) < {int(self.argument)}",
+            "format": lambda: f"NOT ({_FORMATS[self.argument](self._text)})",
         }[self.keyword]()
-        return self._is("string") & fails
+        return f"{self._is('string')} AND {fails}"
+
+    def _expected(self) -> str:
+        return " or ".join(self.types)
 
-    def _kind(self) -> Column:
+    @property
+    def _kind(self) -> str:
         """The variant schema of the field; NULL when it is missing."""
-        return F.col("_kind")[self.field]
+        return f"_kind.`{self.field}`"
+
+    @property
+    def _number(self) -> str:
+        return "cast(NULL AS double)" if self.field == "payload" else f"try_variant_get(env.`{self.field}`, '$', 'double')"
+
+    @property
+    def _text(self) -> str:
+        return _TEXT_COLUMNS.get(self.field) or f"try_variant_get(env.`{self.field}`, '$', 'string')"
 
-    def _is(self, json_type: str) -> Column:
-        kind = self._kind()
-        if json_type == "integer":
-            return J.is_integer(kind, self._number())
-        if json_type == "number":
-            return (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
-        if json_type in ("object", "array"):
-            return kind.startswith(json_type.upper())
-        return kind == {"string": "STRING", "null": "VOID", "boolean": "BOOLEAN"}[json_type]
+    def _is(self, json_type: str) -> str:
+        kind = self._kind
+        number = f"({kind} = 'DOUBLE' OR startswith({kind}, 'DECIMAL'))"
+        return {
+            "integer": f"({kind} = 'BIGINT' OR {number} AND {self._number} % 1D = 0D)",
+            "number": f"({kind} = 'BIGINT' OR {number})",
+            "object": f"startswith({kind}, 'OBJECT')",
+            "array": f"startswith({kind}, 'ARRAY')",
+            "string": f"{kind} = 'STRING'",
+            "null": f"{kind} = 'VOID'",
+            "boolean": f"{kind} = 'BOOLEAN'",
+        }[json_type]
 
-    def _text(self) -> Column:
-        if self.field in _TEXT_COLUMNS:
-            return F.col(_TEXT_COLUMNS[self.field])
-        return F.try_variant_get(F.col("env")[self.field], "$", "string")
 
-    def _number(self) -> Column:
-        if self.field == "payload":
-            return F.lit(None).cast("double")
-        return F.try_variant_get(F.col("env")[self.field], "$", "double")
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def compile_rules(schema_text: str) -> list[Rule]:
@@ -144,22 +155,19 @@ def validate(records: DataFrame, rules: list[Rule]) -> DataFrame:
     Works row by row without a shuffle. Expects the columns of `envelope.project`.
     """
     # The payload is read again only where it is not an object.
-    again = F.get(F.from_json(J.wrapped(F.col("value")), "array<struct<payload:variant>>", J.STRICT), 0)
-    payload = F.when(F.col("env.payload").isNotNull(), "OBJECT").otherwise(F.schema_of_variant(again["payload"]))
-    kinds = F.struct(
-        *[F.schema_of_variant(F.col("env")[f]).alias(f) for f in sorted({r.field for r in rules} - {"payload"})],
-        payload.alias("payload"),
-    )
-    none = F.array().cast("array<string>")
-    broken = [F.coalesce(r.broken(), F.lit(False)) for r in rules]
-    found = F.array_sort(F.array_compact(F.array(*[F.when(b, r.message()) for b, r in zip(broken, rules)])))
-    violations = (
-        F.when(F.col("shape") == "object", F.when(reduce(or_, broken, F.lit(False)), found).otherwise(none))
-        .when(F.col("shape") == "other", F.array(F.lit(" the envelope is not an object")))
-        .otherwise(F.array(F.lit(NOT_JSON)))
-    )
-    typed = records.withColumn("_kind", F.when(F.col("shape") == "object", kinds))
-    return J.once(typed, "violations", violations).drop("_kind")
+    again = "from_json(concat('[', value, ']'), 'array<struct<payload:variant>>')"
+    fields = sorted({r.field for r in rules} - {"payload"})
+    kinds = ", ".join(f"'{f}', schema_of_variant(env.`{f}`)" for f in fields)
+    payload = f"CASE WHEN env.payload IS NOT NULL THEN 'OBJECT' ELSE schema_of_variant(get({again}, 0).payload) END"
+    found = ", ".join(f"CASE WHEN {r.broken()} THEN {r.message()} END" for r in rules)
+    any_broken = " OR ".join(f"({r.broken()})" for r in rules) or "false"
+    violations = f"""CASE
+        WHEN shape = 'object' AND coalesce({any_broken}, false) THEN array_sort(array_compact(array({found or "CAST(NULL AS string)"})))
+        WHEN shape = 'object' THEN cast(array() AS array<string>)
+        WHEN shape = 'other' THEN array(' the envelope is not an object')
+        ELSE array({_literal(NOT_JSON)}) END"""
+    typed = records.withColumn("_kind", F.expr(f"CASE WHEN shape = 'object' THEN named_struct({kinds}, 'payload', {payload}) END"))
+    return J.once(typed, "violations", F.expr(violations)).drop("_kind")
 
 
 def report(violations: Column) -> Column:

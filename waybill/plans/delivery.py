@@ -74,8 +74,12 @@ def judge(log: DataFrame, routing: Routing, how: str = "left") -> DataFrame:
 
 def with_line(records: DataFrame, formats: FormatRegistry) -> DataFrame:
     """Adds `line` to ready records."""
-    kinds = F.when(formats.needs_kinds(F.col("format")), J.payload_kinds(F.col("value")))
-    return records.withColumn("kinds", kinds).withColumn("line", formats.line(F.col("format"))).drop("kinds")
+    return _typed(records, formats, F.lit(True)).withColumn("line", formats.line(F.col("format"))).drop("typed")
+
+
+def _typed(records: DataFrame, formats: FormatRegistry, wanted: Column) -> DataFrame:
+    typed = F.when(wanted & formats.needs_types(F.col("format")), J.typed_payload(F.col("value")))
+    return records.withColumn("typed", typed)
 
 
 def failure_text() -> Column:
@@ -108,8 +112,7 @@ def staged(log: DataFrame, routing: Routing) -> DataFrame:
     judged = judge(log, routing)
     ready = F.col("verdict") == READY
     ours = F.col("verdict") != UNATTACHED
-    kinds = F.when(ready & routing.formats.needs_kinds(F.col("format")), J.payload_kinds(F.col("value")))
-    return judged.withColumn("kinds", kinds).select(
+    return _typed(judged, routing.formats, ready).select(
         *COORDS, *RECORD, "attachment_id", "target", "verdict",
         F.when(ours, F.col("key")).alias("key"),
         F.when(ours, F.col("value")).alias("value"),
