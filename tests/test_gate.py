@@ -1,9 +1,10 @@
 import random
 
+import pytest
 from conftest import COLUMNS, UUIDS, deliveries, envelope, listing, routing
 from pyspark.sql import functions as F
 
-from waybill.operators import attachments as A, audit, gate
+from waybill.operators import attachments as A, audit, gate, lookup
 from waybill.operators.lookup import fits_broadcast, join_config, spread_join
 from waybill.plans import delivery as P
 from waybill.schemas import COORDS, RECORD, SEEN
@@ -51,7 +52,24 @@ def brute_force(rows, seen):
     return outcomes
 
 
-def test_settle_equals_taking_one_delivery_after_the_other(spark):
+@pytest.mark.parametrize("hot, batch, threshold", [
+    (100_000, 1_000_000, 10 << 20),  # everything small
+    (500, 1_000_000, 10 << 20),  # some records are hot
+    (500, 10, -1),  # and nothing fits a broadcast: shuffle joins only
+])
+def test_settle_equals_taking_one_delivery_after_the_other(spark, monkeypatch, hot, batch, threshold):
+    monkeypatch.setattr(lookup, "HOT_COPIES", hot)
+    monkeypatch.setattr(gate, "BATCH_RECORDS", batch)
+    if threshold < 0:
+        monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        check_settle(spark)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def check_settle(spark):
     rng = random.Random(2)
     verdicts = [P.READY, P.READY, P.UNTIMED, P.MISCONFIGURED]
     rows = [
@@ -59,7 +77,7 @@ def test_settle_equals_taking_one_delivery_after_the_other(spark):
         for i in range(3000)
     ]
     seen = [("c", f"r{i}") for i in range(0, 400, 7)]
-    table = spark.createDataFrame(rows, READY + ", verdict string").withColumns({
+    table = spark.createDataFrame(rows, READY + ", verdict string").repartition(4).withColumns({
         "attachment_id": F.lit("a"), "target": F.lit("t"), "failure_type": F.lit("X")})
     settled = P.settle(table, spark.createDataFrame(seen, SEEN))
     got = {(r.topic, r.partition, r.offset): r.outcome for r in settled.collect()}
@@ -67,6 +85,19 @@ def test_settle_equals_taking_one_delivery_after_the_other(spark):
     assert got == brute_force(rows, seen)
 
 
+def test_seen_set_meets_each_record_once(spark):
+    """With a large seen-set the copies of a record are combined before they are shuffled to it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        ready = spark.createDataFrame([("c", "x", "t", 0, i) for i in range(9)], READY)
+        seen = spark.createDataFrame([("d", "x")], SEEN)
+        plan = plan_of(gate.applied_coords(ready, seen))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.index("SortMergeJoin") < plan.index("SortAggregate") < plan.index("partial_min")
+    assert plan.count("Exchange hashpartitioning") == 2  # one per side; the grouping's is used for the join
+
+
 def test_records_of_a_failed_target_are_not_writable(spark):
     rows = [("c", "a", "t", 0, 1), ("c", "a", "t", 0, 2), ("c", "b", "t", 0, 3), ("d", "a", "t", 0, 4)]
     table = spark.createDataFrame(rows, READY).withColumns({

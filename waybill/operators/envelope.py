@@ -52,7 +52,8 @@ def project(parsed: DataFrame) -> DataFrame:
     env = F.col("env")
 
     def text(name: str) -> Column:
-        return J.scalar_text(env[name])
+        # Never NULL, and known as such: no join adds a NULL check that would read the envelope once more.
+        return F.coalesce(J.scalar_text(env[name]), F.lit(""))
 
     return parsed.withColumns({
         "contract_id": text("contractId"),

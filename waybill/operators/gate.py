@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from waybill.operators.lookup import spread_join
+from waybill.operators.lookup import fits_broadcast, join_unique
 from waybill.schemas import COORDS, RECORD
 
 
@@ -48,6 +48,22 @@ def unseen(records: DataFrame, seen: DataFrame, inherited: Inherited | None = No
     return fresh
 
 
+# Up to this many records a batch is broadcast to the seen-set; their ids take some 60 bytes each.
+BATCH_RECORDS = 1_000_000
+BATCH_BYTES = 128 << 20
+
+
+def relevant(seen: DataFrame, records: DataFrame) -> DataFrame:
+    """The part of the seen-set that is about `records` (a table, each record once).
+
+    The seen-set grows for ever while a batch does not. A batch within the counted limits is broadcast, so that
+    the seen-set is read but never shuffled; otherwise all of it takes part in the shuffle joins that follow.
+    """
+    if fits_broadcast(records, BATCH_RECORDS, BATCH_BYTES):
+        return seen.join(F.broadcast(records), RECORD, "left_semi")
+    return seen
+
+
 def known(records: DataFrame, seen: DataFrame, inherited: Inherited | None = None) -> DataFrame:
     """Records that were applied before, with the store that knows them: own or inherited."""
     own = records.join(seen.select(*RECORD), RECORD, "left_semi").withColumn("store", F.lit("own"))
@@ -82,8 +98,8 @@ def settle_failing(
     """Adds `outcome` to valid records that cannot be written.
 
     Such a delivery is a duplicate if its record was applied earlier, in a former run or by an earlier delivery
-    of this one; otherwise it is quarantined. Whether a record was applied is looked up once per record; the
-    result is then spread over the deliveries, however many copies a record has.
+    of this one; otherwise it is quarantined. Whether a record was applied is looked up once per record and then
+    brought to its deliveries, however many there are.
     """
     records = failing.select(*RECORD).distinct()
     here = winners.join(records, RECORD, "left_semi").select(*RECORD, F.struct(*COORDS).alias("_first"))
@@ -91,7 +107,7 @@ def settle_failing(
     applied = here.union(before).withColumn("_applied", F.lit(True))
     duplicate = F.col("_applied") & (F.col("_first").isNull() | (F.struct(*COORDS) > F.col("_first")))
     return (
-        spread_join(failing, applied, RECORD, COORDS, "left")
+        join_unique(failing, applied, RECORD, COORDS)
         .withColumn("outcome", F.when(F.coalesce(duplicate, F.lit(False)), "duplicate").otherwise("quarantined"))
         .drop("_first", "_applied")
     )

@@ -8,14 +8,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 64 << 20
 
+# A key with at least this many rows is kept out of plain shuffles.
+HOT_COPIES = 100_000
+
 # How many ways a hot key is split by the spread shuffle.
 SPREAD = 64
 
 
-def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Counts at most `rows` + 1 rows and their text size; one small job."""
+def measure(table: DataFrame, rows: int) -> tuple[int, int]:
+    """Rows and bytes of text of a table, counted up to `rows` + 1 rows; one job."""
     text = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in table.columns])))
-    n, total = table.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first()
+    return tuple(table.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first())
+
+
+def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    n, total = measure(table, rows)
     return n <= rows and total <= size
 
 
@@ -47,3 +54,23 @@ def spread_join(
     left = large.withColumn("_part", part_of(spread, parts))
     right = small.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return left.join(right, [*keys, "_part"], how).drop("_part")
+
+
+def join_unique(large: DataFrame, unique: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """`large` left-joined with `unique` (one row per key), however many rows of `large` share a key.
+
+    Keys with very many rows are counted first, with partial counts per task. There are few of them, so what
+    `unique` knows about them is broadcast; all other keys are joined by a plain shuffle. Should the hot
+    keys be too many to broadcast, every key is spread. `large` is read twice and should be a table.
+    """
+    hot = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= HOT_COPIES).select(*keys)
+    n, size = measure(hot, BROADCAST_ROWS)
+    if n == 0:
+        return large.join(unique, keys, "left")
+    if n > BROADCAST_ROWS or size > BROADCAST_BYTES:
+        return spread_join(large, unique, keys, spread, "left")
+    marked = large.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
+    few = marked.where("_hot IS NULL").drop("_hot").join(unique, keys, "left")
+    about_hot = unique.join(F.broadcast(hot), keys, "left_semi")
+    many = marked.where("_hot").drop("_hot").join(F.broadcast(about_hot), keys, "left")
+    return few.unionByName(many)

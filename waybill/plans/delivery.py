@@ -150,6 +150,8 @@ def settle(
         F.col("verdict").isin(MISCONFIGURED, UNTIMED) | ((F.col("verdict") == READY) & lost_targets)
     )
     rest = narrow.where(F.col("verdict").isin(TOMBSTONE, BROKEN, UNATTACHED, INVALID))
+    checked = narrow.where(F.col("verdict").isin(READY, MISCONFIGURED, UNTIMED))
+    seen = gate.relevant(seen, checked.select(*RECORD).distinct())
     winners = gate.applied_coords(ready, seen, inherited)
     settled = (
         gate.settle_ready(ready, winners)
