@@ -11,7 +11,7 @@ from waybill.plans import delivery as P
 def line(spark, config, **change):
     r = routing(spark, ("interns", config))
     judged = P.judge(deliveries(spark, [envelope(**change)]), r)
-    return P.with_line(judged, r.formats).first()
+    return P.with_line(judged, r).first()
 
 
 def test_csv(spark):
@@ -54,7 +54,7 @@ def test_json_repeated_header_keeps_first_place_and_last_value(spark):
 def test_json_payload_with_repeated_nested_keys(spark):
     r = routing(spark, ("interns", {"columns": [{"header": k, "field": k} for k in "sno"], "format": "json"}))
     value = envelope(payload=...)[:-1] + ', "payload":{"s":"x","n":5,"o":{"y":1,"y":2}}}'
-    row = P.with_line(P.judge(deliveries(spark, [value]), r), r.formats).first()
+    row = P.with_line(P.judge(deliveries(spark, [value]), r), r).first()
     assert '"s":"x","n":5,"o":{"y":1,"y":2}' in row["line"]
 
 
@@ -114,5 +114,5 @@ def test_registry_order_duplicates_and_plug_ins(spark):
     formats.register(Format("csv", lambda: F.lit("never"), lambda: F.lit("never"), lambda: F.array()))
     assert formats.available() == ["csv", "json", "xml", "ids"]
     r = routing(spark, ("interns", {"columns": COLUMNS, "format": "ids"}), formats=formats)
-    row = P.with_line(P.judge(deliveries(spark, [envelope()]), r), formats).first()
+    row = P.with_line(P.judge(deliveries(spark, [envelope()]), r), r).first()
     assert (row["line"], row["header"]) == (UUIDS[0].upper(), "ids")

@@ -61,8 +61,8 @@ def _settled(spark: SparkSession, sf: str) -> DataFrame:
     return P.settle(_staged(spark, sf), D.event_seen(spark, sf))
 
 
-def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return P.routed_lines(_log(spark, sf), _routing(spark), D.event_seen(spark, sf))
+def _lines(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
+    return P.routed_lines(_log(spark, sf), _routing(spark), D.event_seen(spark, sf), None, *extra)
 
 
 def _listed(spark: SparkSession, sf: str) -> DataFrame:
@@ -241,8 +241,9 @@ def contract_anti(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dynamic_project(spark: SparkSession, sf: str) -> DataFrame:
-    judged = P.judge(_log(spark, sf), _routing(spark), "inner").where(F.size("violations") == 0)
-    return judged.select(*COORDS, "record_id", "payload", F.posexplode("columns").alias("pos", "c")).select(
+    routing = _routing(spark)
+    judged = P.judge(_log(spark, sf), routing, "inner").where(F.size("violations") == 0)
+    return routing.join(judged, "columns").select(*COORDS, "record_id", "payload", F.posexplode("columns").alias("pos", "c")).select(
         *COORDS, "record_id", "pos", F.col("c.header").alias("header"),
         F.coalesce(F.col("payload")[F.col("c.field")], F.lit("")).alias("value"),
     )
@@ -265,7 +266,7 @@ def xml_tags(spark: SparkSession, sf: str) -> DataFrame:
 def _document_lines(spark: SparkSession, log: DataFrame, fmt: str) -> DataFrame:
     routing = D.document_routing(spark, fmt)
     ready = P.judge(log, routing, "inner").where(F.col("verdict") == P.READY)
-    return P.with_line(ready, routing.formats).select(*RECORD, "line", "header")
+    return P.with_line(ready, routing).select(*RECORD, "line", "header")
 
 
 @query
@@ -350,7 +351,7 @@ def routed_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def target_headers(spark: SparkSession, sf: str) -> DataFrame:
-    return P.target_headers(_lines(spark, sf))
+    return P.target_headers(_lines(spark, sf, "header"))
 
 
 @query

@@ -15,15 +15,16 @@ HOT_COPIES = 100_000
 SPREAD = 64
 
 
-def measure(table: DataFrame, rows: int) -> tuple[int, int]:
-    """Rows and bytes of text of a table, counted up to `rows` + 1 rows; one job."""
+def measure(table: DataFrame) -> tuple[int, int]:
+    """Rows of a table and bytes of their text; one job, counted per task and added up."""
     text = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in table.columns])))
-    return tuple(table.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first())
+    return tuple(table.agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first())
 
 
-def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    n, total = measure(table, rows)
-    return n <= rows and total <= size
+def fits_broadcast(table: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
+    """Whether a table is within the limits given, or else within those for configuration."""
+    n, total = measure(table)
+    return n <= (BROADCAST_ROWS if rows is None else rows) and total <= (BROADCAST_BYTES if size is None else size)
 
 
 def join_config(
@@ -64,7 +65,7 @@ def join_unique(large: DataFrame, unique: DataFrame, keys: list[str], spread: li
     keys be too many to broadcast, every key is spread. `large` is read twice and should be a table.
     """
     hot = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= HOT_COPIES).select(*keys)
-    n, size = measure(hot, BROADCAST_ROWS)
+    n, size = measure(hot)
     if n == 0:
         return large.join(unique, keys, "left")
     if n > BROADCAST_ROWS or size > BROADCAST_BYTES:

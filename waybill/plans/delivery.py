@@ -8,6 +8,7 @@ once and settles from there, so that the JSON is read a single time.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,6 +35,16 @@ class Routing:
     formats: FormatRegistry = field(default_factory=default_formats)
     broadcast: bool | None = None  # None: the size is checked when it is needed
 
+    @cached_property
+    def small(self) -> bool:
+        """Whether the attachments may be broadcast; counted once."""
+        return fits_broadcast(self.attachments) if self.broadcast is None else self.broadcast
+
+    def join(self, records: DataFrame, *settings: str, how: str = "left") -> DataFrame:
+        """Records with some settings of their contract's attachment."""
+        chosen = self.attachments.select("contract_id", *settings)
+        return join_config(records, chosen, ["contract_id"], COORDS, how, self.small)
+
     @classmethod
     def from_listing(cls, listing: DataFrame, schema_text: str, default_path: str, **options) -> Routing:
         formats = options.get("formats") or default_formats()
@@ -47,11 +58,12 @@ def parsed(log: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def route(records: DataFrame, routing: Routing, how: str = "left") -> DataFrame:
-    """Records with the attachment of their contract; `how='inner'` drops what is not attached."""
-    settings = routing.attachments.select(
-        "contract_id", "attachment_id", "format", "target", "columns", "header", "cells", "config_error"
-    )
-    return join_config(records, settings, ["contract_id"], COORDS, how, routing.broadcast)
+    """Records with the attachment of their contract; `how='inner'` drops what is not attached.
+
+    Only short settings come along. What a line is made of is looked up where the line is made, so that it is
+    not carried through the steps between.
+    """
+    return routing.join(records, "attachment_id", "format", "target", "config_error", how=how)
 
 
 def judge(log: DataFrame, routing: Routing, how: str = "left") -> DataFrame:
@@ -72,14 +84,18 @@ def judge(log: DataFrame, routing: Routing, how: str = "left") -> DataFrame:
     return checked.withColumn("verdict", verdict)
 
 
-def with_line(records: DataFrame, formats: FormatRegistry) -> DataFrame:
-    """Adds `line` to ready records."""
-    return _typed(records, formats, F.lit(True)).withColumn("line", formats.line(F.col("format"))).drop("typed")
-
-
-def _typed(records: DataFrame, formats: FormatRegistry, wanted: Column) -> DataFrame:
-    typed = F.when(wanted & formats.needs_types(F.col("format")), J.typed_payload(F.col("value")))
-    return records.withColumn("typed", typed)
+def with_line(records: DataFrame, routing: Routing, wanted: Column | None = None) -> DataFrame:
+    """Adds `line` and `header` to ready records, or to those that `wanted` says are ready."""
+    formats = routing.formats
+    needs_types = formats.needs_types(F.col("format"))
+    ready = F.lit(True) if wanted is None else wanted
+    return (
+        routing.join(records, "cells", "header")
+        .withColumn("typed", F.when(ready & needs_types, J.typed_payload(F.col("value"))))
+        .withColumn("line", F.when(ready, formats.line(F.col("format"))))
+        .withColumn("header", F.when(ready, F.col("header")))
+        .drop("typed", "cells")
+    )
 
 
 def failure_text() -> Column:
@@ -109,15 +125,13 @@ def staged(log: DataFrame, routing: Routing) -> DataFrame:
 
     Deliveries of contracts that are not attached keep their coordinates only.
     """
-    judged = judge(log, routing)
-    ready = F.col("verdict") == READY
+    judged = with_line(judge(log, routing), routing, F.col("verdict") == READY)
     ours = F.col("verdict") != UNATTACHED
-    return _typed(judged, routing.formats, ready).select(
+    return judged.select(
         *COORDS, *RECORD, "attachment_id", "target", "verdict",
         F.when(ours, F.col("key")).alias("key"),
         F.when(ours, F.col("value")).alias("value"),
-        F.when(ready, routing.formats.line(F.col("format"))).alias("line"),
-        F.when(ready, F.col("header")).alias("header"),
+        "line", "header",
         failure_type().alias("failure_type"),
         failure_text().alias("failure_text"),
     )
@@ -203,17 +217,16 @@ def quarantined(table: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def routed_lines(
-    log: DataFrame, routing: Routing, seen: DataFrame, inherited: gate.Inherited | None = None
+    log: DataFrame, routing: Routing, seen: DataFrame, inherited: gate.Inherited | None = None, *extra: str
 ) -> DataFrame:
-    """The lines to write, in a single pass over the log: one wide shuffle, by record, for the first delivery.
+    """The lines to write, in a single pass over the log: one shuffle, by record, for the first delivery.
 
-    For a log that is read only for its lines; a job that also needs dead letters and outcomes uses `settle`.
+    The line is made before the shuffle, where it is all that is left of a record's texts. For a log that is read
+    only for its lines; a job that also needs dead letters and outcomes uses `settle`.
     """
-    ready = judge(log, routing, how="inner").where(F.col("verdict") == READY).select(
-        *COORDS, "value", *RECORD, "occurred_at", "payload", "format", "target", "header", "cells"
-    )
-    first = gate.unseen(gate.first_delivery(ready), seen, inherited)
-    return with_line(first, routing.formats).select(*COORDS, *RECORD, "target", "line", "header")
+    ready = judge(log, routing, how="inner").where(F.col("verdict") == READY)
+    lines = with_line(ready, routing).select(*COORDS, *RECORD, "target", "line", *extra)
+    return gate.unseen(gate.first_delivery(lines), seen, inherited)
 
 
 def target_headers(lines: DataFrame) -> DataFrame:
