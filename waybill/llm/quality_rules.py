@@ -81,7 +81,9 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         "dup_line_share": share(F.col("n_dup_lines"), lines),
         "repeat_share": share(F.col("n_repeat_words"), F.col("n_words")),
     })
-    return df.drop(*(c for c in df.columns if c.startswith("_q_")))
+    # A generator ends the chain: a filter on a statistic would else be pushed below it all, and each pushed copy takes copies of what it stands on.
+    made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *FEATURES)
+    return df.select(*kept, F.inline(F.array(F.struct(*made))))
 
 
 @dataclass(frozen=True)
