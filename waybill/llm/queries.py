@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import quality_rules, sharding
+from waybill.llm import quality_rules, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,3 +34,8 @@ def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard(table(spark, sf, "documents"))
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.remove(table(spark, sf, "documents")).drop("kept_text")
