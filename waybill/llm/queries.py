@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import quality_rules, sharding, substring_dedup
+from waybill.llm import quality_rules, sharding, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,3 +39,8 @@ def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.remove(table(spark, sf, "documents")).drop("kept_text")
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove(table(spark, sf, "documents")).drop("kept_bytes")
