@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontamination, quality_rules, sharding, substring_dedup, suffix_dedup
+from waybill.llm import decontamination, minhash, quality_rules, sharding, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,3 +49,8 @@ def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.check(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("spans", "items")
+
+
+@query
+def op8_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.groups(table(spark, sf, "documents"))
