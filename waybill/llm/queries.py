@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontamination, minhash, quality_rules, sharding, substring_dedup, suffix_dedup
+from waybill.llm import decontamination, minhash, packing, quality_rules, sharding, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +54,10 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op8_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.groups(table(spark, sf, "documents"))
+
+
+@query
+def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
