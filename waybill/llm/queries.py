@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontamination, minhash, packing, quality_rules, sharding, substring_dedup, suffix_dedup
+from waybill.llm import decontamination, minhash, packing, quality_rules, secrets, sharding, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,3 +61,8 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.scan(table(spark, sf, "documents"))
