@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontamination, minhash, packing, quality_rules, secrets, sharding, substring_dedup, suffix_dedup
+from waybill.llm import decontamination, html_extraction, minhash, packing, quality_rules, secrets, sharding, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,3 +66,8 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op5_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(table(spark, sf, "documents"))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf, "pages"))
