@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontamination, html_extraction, minhash, packing, quality_rules, secrets, sharding, substring_dedup, suffix_dedup
+from waybill.llm import chat, decontamination, html_extraction, minhash, packing, quality_rules, secrets, sharding, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,3 +71,11 @@ def op5_secrets(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op6_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf, "pages"))
+
+
+@query
+def op1_chat(spark: SparkSession, sf: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return chat.digests(chat.format_chats(rows))
