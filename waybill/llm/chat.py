@@ -14,10 +14,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from waybill.llm.text import BLOCK, raw
+from waybill.llm.text import raw
 
 _OPEN, _MIDDLE, _CLOSE = b"### ", b": ", b" </turn>\n"
 _SLASH = 0x5C
+#: Bytes of turns that are put together at once.
+_TOGETHER = 1 << 20
 #: What a backslash goes before, wherever it begins in a role or text.
 _CONTROL = (b"\\", b"###", b"</turn>")
 _TURN = re.compile(rb"### ((?:[^\\:]++|\\.)*+): ((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.DOTALL)
@@ -82,7 +84,7 @@ def _formatted(loss_role: str):
             ends = np.cumsum(sizes)
             lo = 0
             while lo < batch.num_rows:
-                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK, "right")))
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _TOGETHER, "right")))
                 rows = batch.slice(lo, hi - lo)
                 data, begins, text_at, text_end = assemble(rows.column("role"), rows.column("text"))
                 ids = rows.column("conv_id").to_pylist()

@@ -17,6 +17,8 @@ from waybill.llm.text import IN_PLAIN_WORD, LOWER, blocks, words
 
 #: Bytes of benchmark text that are searched for at once; a larger benchmark is searched for in as many passes as it takes.
 BLOCK_BYTES = 16 << 20
+#: Bytes of document text in a shard, which has an index of its own; a longer text is a shard.
+SHARD_BYTES = 1 << 20
 
 
 @dataclass
@@ -81,14 +83,13 @@ def search(hashes: np.ndarray, offsets: np.ndarray, p: Patterns) -> tuple[np.nda
     return at[index.locate(rows)], np.repeat(hit, n)
 
 
-_STATE = "spans array<struct<start:long,end:long>>, items array<string>"
-_RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+_RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start:long,end:long>>, items array<string>"
 
 
 def _verdicts(column: pa.Array, p: Patterns, spans: pa.Array | None, items: pa.Array | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, set[str]]]:
     """For every row: number of words, starts and ends of occurrences, items; with what earlier passes found."""
     row = 0
-    for _, data, offsets in blocks(column):
+    for _, data, offsets in blocks(column, SHARD_BYTES):
         w = words(data, offsets, IN_PLAIN_WORD)
         start, pattern = search(w.hashes(data, LOWER), w.offsets, p)
         order = np.argsort(start, kind="stable")
@@ -120,46 +121,48 @@ def _contaminated(n_hit: int, n_words: int) -> bool:
     return n_hit > 0 and 20 * n_hit >= n_words
 
 
-def _pass(load: Callable[[], Patterns], kind: str):
-    """kind: `more` adds to spans and items, `last` gives the results, `clean` lets clean rows through as they are."""
+def _pass(load: Callable[[], Patterns], state: tuple[str, str], kind: str):
+    """kind: `more` adds to spans and items (in the columns that state names), `last` gives the results, `clean` lets clean rows through as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = load()
         for batch in batches:
-            spans, items = (batch.column(c) if c in batch.schema.names else None for c in ("_spans", "_items"))
+            spans, items = (batch.column(c) if c in batch.schema.names else None for c in state)
             out = [(n, *_merged(n, a, b), sorted(names)) for n, a, b, names in _verdicts(batch.column("text"), p, spans, items)]
             n, hit, found, names = map(list, zip(*out)) if out else ([], [], [], [])
+            own = [c for c in batch.schema.names if c not in state]
             if kind == "clean":
                 keep = [not _contaminated(h, k) for h, k in zip(hit, n)]
-                yield batch.select([c for c in batch.schema.names if c not in ("_spans", "_items")]).filter(pa.array(keep, pa.bool_()))
+                yield batch.select(own).filter(pa.array(keep, pa.bool_()))
                 continue
-            columns = {c: batch.column(c) for c in batch.schema.names if c not in ("_spans", "_items")}
-            columns["_spans"] = pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-            columns["_items"] = pa.array(names, pa.list_(pa.string()))
-            if kind == "last":
-                columns = {"doc_id": columns["doc_id"]} | {c: pa.array(v, t) for c, v, t in (
-                    ("n_words", n, pa.int64()), ("n_hit", hit, pa.int64()), ("n_items", [len(x) for x in names], pa.int64()),
-                    ("items_sha256", [hashlib.sha256(",".join(x).encode()).hexdigest() for x in names], pa.string()),
-                    ("contaminated", [_contaminated(h, k) for h, k in zip(hit, n)], pa.bool_()),
-                )} | {"spans": columns["_spans"], "items": columns["_items"]}
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            found = pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+            listed = pa.array(names, pa.list_(pa.string()))
+            if kind == "more":
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), found, listed], [*own, *state])
+                continue
+            digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, hit, [len(x) for x in names])), pa.array(digests, pa.string()),
+                 pa.array([_contaminated(h, k) for h, k in zip(hit, n)], pa.bool_()), found, listed],
+                ["doc_id", *(c.split()[0] for c in _RESULT.split(", "))],
+            )
 
     return run
 
 
-def _searched(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int, last: str, schema: str | None) -> DataFrame:
+def _searched(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int, last: str, schema: str) -> DataFrame:
     spark = docs.sparkSession
     total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, math.ceil(total / block_bytes))
+    mark = "_" * (1 + max(len(c) for c in docs.columns))  # longer than any name that is there
+    state = (f"{mark}spans", f"{mark}items")
+    between = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{state[0]}` array<struct<start:long,end:long>>", f"`{state[1]}` array<string>"])
     for k in range(passes):
         part = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else benchmark
         # About block_bytes of text, whatever the benchmark's size: what the driver and the tasks hold of it has a bound.
         held = spark.sparkContext.broadcast(patterns_of([(r.item_id, r.text) for r in part.select("item_id", "text").collect()], window))
         final = k == passes - 1
-        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name not in ("_spans", "_items")]
-        state = [x.replace("spans", "_spans", 1).replace("items", "_items", 1) if not final else x for x in _STATE.split(", ")]
-        shape = ", ".join([*columns, *state]) if not final else schema or ", ".join(columns)
-        docs = docs.mapInArrow(_pass(lambda held=held: held.value, last if final else "more"), shape)
+        docs = docs.mapInArrow(_pass(lambda held=held: held.value, state, last if final else "more"), schema if final else between)
     return docs
 
 
@@ -173,9 +176,9 @@ def check(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_bytes:
     get equal results; other columns are ignored; empty tables are fine (no benchmark: no hits).
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return _searched(docs, benchmark, window, block_bytes, "last", f"doc_id long, {_RESULT}, {_STATE}")
+    return _searched(docs, benchmark, window, block_bytes, "last", f"doc_id long, {_RESULT}")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs that are not contaminated, with all their columns."""
-    return _searched(docs, benchmark, window, block_bytes, "clean", None)
+    return _searched(docs, benchmark, window, block_bytes, "clean", docs.schema)

@@ -45,19 +45,16 @@ def _sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n, one, sketch = [], [], []
-        for _, data, offsets in blocks(batch.column("text")):
-            for s in _sets(data, offsets):
-                n.append(len(s))
-                # Sums over a set do not depend on order: equal sets, equal numbers.
-                one.append(int(mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
-                sketch.append(s[:K].view(np.int64))
-        ends = np.cumsum([0, *map(len, sketch)]).astype(np.int32)
-        values = np.concatenate(sketch) if sketch else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-            ["doc_id", "text_hash", "n", "cid", "sketch"],
-        )
+        for first, data, offsets in blocks(batch.column("text")):
+            sets = list(_sets(data, offsets))
+            # Sums over a set do not depend on order: equal sets, equal numbers.
+            one = [int(mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)) for s in sets]
+            values = np.concatenate([s[:K] for s in sets]).view(np.int64)
+            ends = np.cumsum([0, *(min(K, len(s)) for s in sets)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k).slice(first, len(sets)) for k in KEY), pa.array([len(s) for s in sets], pa.int64()), pa.array(one, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
+                [*KEY, "n", "cid", "sketch"],
+            )
 
 
 def _posted(classes: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ _STEP = 1 << 16
 def ring(spark: SparkSession, n_shards: int, nodes: int, cells: int) -> list[tuple[int, int]]:
     """(cell, shard) of every virtual node, clockwise. Bounded by the parameters, whatever the input."""
     at = F.pmod(F.xxhash64(F.lit("node"), "id"), F.lit(cells))
-    found = spark.range(n_shards * nodes).select(at.alias("cell"), (F.col("id") % n_shards).alias("shard"))
+    # A shard's nodes are where they are however many shards there are.
+    found = spark.range(n_shards * nodes).select(at.alias("cell"), F.floor(F.col("id") / nodes).cast("int").alias("shard"))
     return sorted((r.cell, r.shard) for r in found.collect())
 
 

@@ -64,9 +64,9 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, R.Found]:
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spans = R.spans_of(batch.column("spans"), "start", "end")
-        n_words, n_removed, text, digest = [], [], [], []
-        for _, data, offsets in blocks(batch.column("text")):
+        for first, data, offsets in blocks(batch.column("text")):
             found = words(data, offsets)
+            n_words, n_removed, text, digest = [], [], [], []
             for d in range(len(offsets) - 1):
                 lo, hi = found.offsets[d : d + 2]
                 starts, ends = next(spans)
@@ -85,10 +85,10 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out = joined[:-1].tobytes()
                 text.append(out.decode())
                 digest.append(hashlib.sha256(out).hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(text), pa.array(digest)],
-            ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"],
-        )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(first, len(text)), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(text, pa.string()), pa.array(digest, pa.string())],
+                ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"],
+            )
 
 
 def remove(docs: DataFrame, window: int = 35) -> DataFrame:

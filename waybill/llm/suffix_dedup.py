@@ -118,18 +118,18 @@ def repeated_strings(docs: DataFrame, length: int) -> DataFrame:
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spans = R.spans_of(batch.column("spans"), "start", "end")
-        rows = []
-        for _, data, offsets in blocks(batch.column("text")):
+        for first, data, offsets in blocks(batch.column("text")):
+            rows = []
             for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
                 starts, ends = next(spans)
                 gone = R.covered_mask(hi - lo, starts, ends)
                 kept = data[lo:hi][~gone].tobytes()
                 rows.append((hi - lo, int(gone.sum()), int((gone & ~np.concatenate([[False], gone[:-1]])).sum()), kept, hashlib.sha256(kept).hexdigest()))
-        n, removed, n_spans, kept, digest = zip(*rows) if rows else ([], [], [], [], [])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary()), pa.array(digest, pa.string())],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_sha256"],
-        )
+            n, removed, n_spans, kept, digest = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(first, len(rows)), *(pa.array(x, pa.int64()) for x in (n, removed, n_spans)), pa.array(kept, pa.binary()), pa.array(digest, pa.string())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_sha256"],
+            )
 
 
 def remove(docs: DataFrame, length: int = 200) -> DataFrame:
