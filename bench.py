@@ -21,7 +21,7 @@ from waybill.streaming.job import DeliveryJob, Settings
 HEADLINE = [
     "topic_scan", "parse_outcome", "envelope_project", "schema_violations", "violation_counts", "contract_join",
     "dynamic_project", "csv_lines", "jsonl_lines", "xml_lines", "first_delivery", "unseen_records", "routed_lines",
-    "outcome_counts", "dlq_entries", "attachment_index", "classify_failures", "attempt_counts", "csv_readback",
+    "outcome_counts", "dlq_entries", "attachment_index", "classify_failures", "csv_readback",
 ]
 
 

@@ -26,6 +26,12 @@ SHAPES = [
     ('{"contractId":"c"}]', "trailing", "c"),
     ('{"contractId":"c"},{"contractId":"d"}', "trailing", "c"),
     ('{"contractId":"c","payload":"text"} junk', "trailing", "c"),
+    ('{"contractId":"c"}] garbage }', "trailing", "c"),
+    ('{"contractId":"c"}] [{"x":1}', "trailing", "c"),
+    ('{"contractId":"c"}] }', "trailing", "c"),
+    ('{"contractId":"c"},{}] }', "trailing", "c"),
+    ('{"contractId":"c"},{"_end":"0"}] }', "trailing", "c"),
+    ('{"contractId":"c","_end":"0"}', "object", "c"),
     ('{"contractId":"c"}', "object", "c"),
     (' {"contractId":"c"} \n', "object", "c"),
     ('{"contractId":"c","contractId":"d"}', "object", "d"),

@@ -40,17 +40,6 @@ def test_retry_policy():
     assert X.RetryPolicy(1).sleeps() == []
 
 
-def test_retry_schedule_and_counts(spark):
-    df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 3), ("d", 9)], "k string, f int")
-    attempts = X.retry_schedule(df, "f")
-    got = {k: [(r.attempt, r.status, r.sleep_ms) for r in attempts.where(F.col("k") == k).orderBy("attempt").collect()] for k in "abcd"}
-    assert got["a"] == [(1, "done", 0)]
-    assert got["b"] == [(1, "retry", 200), (2, "done", 0)]
-    assert got["c"] == got["d"] == [(1, "retry", 200), (2, "retry", 400), (3, "exhausted", 0)]
-    counts = {r.k: (r.attempts, r.succeeded) for r in X.attempt_counts(attempts, ["k"]).collect()}
-    assert counts == {"a": (1, 1), "b": (2, 1), "c": (3, 0), "d": (3, 0)}
-
-
 @pytest.mark.parametrize("error, label", [
     (OSError("disk"), "RETRY_EXHAUSTED"), (ConnectionRefusedError("no"), "RETRY_EXHAUSTED"),
     (FileNotFoundError("gone"), "UNCLASSIFIED_FAILURE"), (ValueError("odd"), "UNCLASSIFIED_FAILURE"),

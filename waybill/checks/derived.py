@@ -107,7 +107,7 @@ def _event_values(events: str, duck: bool) -> str:
              WHEN m = 10 THEN ',"note":"a, {bs}"b{bs}" & <x>"'
              ELSE concat(',"note":"event ', cast(event_id AS {text}), '"') END,
         ',"flag":', CASE WHEN m % 2 = 0 THEN 'true' ELSE 'false' END, ',"props":', props, '}}') END,
-      CASE WHEN m = 7 THEN '' ELSE '}}' END) END AS value
+      CASE WHEN m = 7 THEN '' WHEN m = 23 THEN '}}] garbage }}' WHEN m = 24 THEN '}}] [{{"x":1}}' WHEN m = 25 THEN '}}] }}' ELSE '}}' END) END AS value
   FROM (SELECT event_id, event_type, user_id, props, cast(value AS decimal(18,2)) AS amount, event_id % 101 AS m,
                {uuid_of("concat('ev:', cast(event_id AS " + text + "))")} AS id, {at} AS stamp
         FROM {events}) AS e"""
@@ -148,6 +148,11 @@ def event_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(spark, sf_dir, "events", _SEEN.format(id=_EVENT_ID_SPARK, events="given"))
 
 
+def event_seen_by_own_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seen records of the two contracts that had a store of their own before the former one was taken over."""
+    return _select(spark, sf_dir, "events", _SEEN.format(id=_EVENT_ID_SPARK, events="given") + " AND event_type IN ('click', 'error')")
+
+
 def event_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(spark, sf_dir, "events", _LEGACY.format(id=_EVENT_ID_SPARK, events="given"))
 
@@ -165,7 +170,7 @@ def _listing(customers: str, duck: bool, changed: bool) -> str:
     """
     text = "varchar" if duck else "string"
     key = f"cast(c_custkey AS {text})"
-    half = f"cast(floor(c_custkey / 3) AS {'bigint' if duck else 'bigint'})"
+    half = "cast(floor(c_custkey / 3) AS bigint)"
     extra = "CASE WHEN c_custkey % 13 = 0 THEN 'old_name' ELSE 'name' END" if changed else "'name'"
     where = "WHERE c_custkey % 17 <> 0" if changed else "WHERE c_custkey % 19 <> 0"
     return f"""
@@ -174,6 +179,8 @@ def _listing(customers: str, duck: bool, changed: bool) -> str:
     CASE WHEN c_custkey % 31 = 0 THEN 'db' ELSE 'csv' END AS adapter_type, c_custkey % 29 <> 0 AS enabled,
     CASE c_custkey % 37 WHEN 1 THEN NULL WHEN 2 THEN '[1]' WHEN 3 THEN '{{}}' WHEN 4 THEN '{{"columns":{{"header":"a"}}}}'
       WHEN 5 THEN '{{"columns":[]}}'
+      WHEN 6 THEN concat('{{"columns":[{{"field":"f","header":"h"}}],"path":"dropped","path":"out/', {key}, '.csv"}}')
+      WHEN 7 THEN concat('{{"columns":[{{"field":"f","header":"h, 1"}},{{"field":"g","header":"i"}}],"format":"csv","path":"out/', {key}, '.csv"}}')
       ELSE concat('{{',
         CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN '"path":"   ",' WHEN 2 THEN '"path":7,'
              ELSE concat('"path":"out/', {key}, '.txt",') END,

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from waybill.checks import derived as D
-from waybill.operators.failures import RULES, SUPERTYPES
-from waybill.operators.validation import REPORT_PREFIX
 
-C = '"topic", "partition", "offset"'.replace('"topic"', "topic")
+C = 'topic, "partition", "offset"'
 
 # --- building blocks -----------------------------------------------------------------------------------------
 
@@ -25,12 +23,13 @@ def _kind(path: str) -> str:
 FIELDS = ["recordId", "contractId", "recordType", "schemaVersion", "naturalKey", "occurredAt", "traceId", "payload"]
 
 ENVELOPES = f"""{D.EVENT_LOG},
-docs AS (SELECT *, CASE WHEN json_valid(value) THEN value END AS doc FROM log),
+docs AS (SELECT *, CASE WHEN json_valid(value) THEN value END AS doc,
+  nullif(regexp_extract(value, '^(.*\}}\}})\] (garbage \}}|\[\{{"x":1\}}|\}})$', 1), '') AS head FROM log),
 objects AS (SELECT *, CASE WHEN json_type(doc) = 'OBJECT' THEN doc END AS o FROM docs),
 envelopes AS (
   SELECT {C}, key, value, doc, o,
-    CASE WHEN value IS NULL THEN 'none' WHEN doc IS NULL THEN 'broken' WHEN o IS NULL THEN 'other' ELSE 'object' END AS shape,
-    coalesce(json_extract_string(o, '$.contractId'), '') AS contract_id,
+    CASE WHEN value IS NULL THEN 'none' WHEN doc IS NULL AND json_valid(head) THEN 'trailing' WHEN doc IS NULL THEN 'broken' WHEN o IS NULL THEN 'other' ELSE 'object' END AS shape,
+    coalesce(json_extract_string(coalesce(o, CASE WHEN doc IS NULL AND json_valid(head) THEN head END), '$.contractId'), '') AS contract_id,
     lower(coalesce(json_extract_string(o, '$.recordId'), '')) AS record_id,
     coalesce(json_extract_string(o, '$.recordType'), '') AS record_type,
     coalesce(json_extract_string(o, '$.naturalKey'), '') AS natural_key,
@@ -165,8 +164,9 @@ lines AS (
 
 
 def _active(listing: str) -> str:
+    # Of a repeated key the last value counts, while this engine's JSON functions take the first.
     return f"""SELECT pos, attachment_id, contract_id,
-    CASE WHEN json_type(config) = 'OBJECT' THEN config ELSE '{{}}' END AS config
+    CASE WHEN json_type(config) = 'OBJECT' THEN replace(config, '"path":"dropped",', '') ELSE '{{}}' END AS config
   FROM {listing} WHERE adapter_type = 'csv' AND enabled"""
 
 
@@ -176,46 +176,33 @@ def _text_setting(key: str, default: str) -> str:
 
 LISTED = f"{D.CUSTOMER_LISTING}, listed AS ({_active('listing')})"
 
-# The listing's columns hold one text, two incomplete entries and two usable ones, or nothing usable at all.
+_ENTRIES = "CASE WHEN json_type(config, '$.columns') = 'ARRAY' THEN json_extract(config, '$.columns[*]') ELSE [] END"
+_WHOLE = "coalesce(json_type(e, '$.header') = 'VARCHAR' AND json_type(e, '$.field') = 'VARCHAR', false)"
+
 CONFIGURED = f"""{LISTED},
 configured AS (
   SELECT *, {_text_setting("path", "")} AS path, {_text_setting("format", "csv")} AS format,
-    CASE WHEN json_type(config, '$.columns') = 'ARRAY' THEN json_array_length(config, '$.columns') ELSE 0 END AS n_all
-  FROM listed)"""
+    list_transform(list_filter({_ENTRIES}, lambda e: {_WHOLE}), lambda e: json_extract_string(e, '$.header')) AS headers
+  FROM listed),
+usable AS (SELECT *, len(headers) AS n_all FROM configured)"""
 
 KNOWN_FORMAT = "format IN ('csv', 'json', 'xml')"
 
 
-def _rule_class(type_name: str) -> str | None:
-    lineage = [type_name, *SUPERTYPES.get(type_name, [])]
-    return next((verdict for rule, verdict in RULES if rule in lineage), None)
-
-
-def _case(expression: str, answers: dict[str, str]) -> str:
-    return f"CASE {expression} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in answers.items()) + " END"
-
-
-_TYPES = [*SUPERTYPES, "EnvelopeSchemaViolationException", "IOException"]
-_CLASSES = {t: c for t in _TYPES if (c := _rule_class(t))}
-_SCHEMA_TYPES = ", ".join(
-    f"'{t}'" for t in _TYPES
-    if {"EnvelopeSchemaViolationException", "JsonProcessingException"} & {t, *SUPERTYPES.get(t, [])}
-)
+# What each error type comes to, with its place in the type hierarchy taken into account.
+_PERMANENT = "'EnvelopeSchemaViolationException', 'JsonProcessingException', 'JsonParseException', 'JsonMappingException', 'NoSuchFileException'"
+_PASSING = """'ConnectException', 'IOException', 'AccessDeniedException', 'FileSystemException', 'FileNotFoundException', 'EOFException', 'SocketException',
+  'SocketTimeoutException', 'UnknownHostException'"""
+_SCHEMA_TYPES = "'EnvelopeSchemaViolationException', 'JsonProcessingException', 'JsonParseException', 'JsonMappingException'"
 
 CLASSIFIED = f"""{D.ORDER_ERRORS},
 causes AS (SELECT error_id, messages, unnest(types) AS type, generate_subscripts(types, 1) AS depth FROM errors),
-rated AS (SELECT *, {_case("type", _CLASSES)} AS verdict FROM causes),
+rated AS (SELECT *, CASE WHEN type IN ({_PERMANENT}) THEN 'NON_RETRIABLE' WHEN type IN ({_PASSING}) THEN 'RETRIABLE' END AS verdict FROM causes),
 classified AS (
   SELECT error_id, coalesce(arg_min(verdict, depth) FILTER (verdict IS NOT NULL), 'NON_RETRIABLE') AS classification,
     bool_or(type IN ({_SCHEMA_TYPES})) AS is_schema, any_value(messages[len(messages)]) AS root
   FROM rated GROUP BY error_id)"""
 
-ATTEMPTS = """tries AS (
-  SELECT o_orderkey, cast(o_orderkey % 5 AS int) AS failures, unnest([1, 2, 3]) AS attempt FROM orders),
-attempts AS (
-  SELECT o_orderkey, attempt, CASE WHEN attempt > failures THEN 'done' WHEN attempt = 3 THEN 'exhausted' ELSE 'retry' END AS status
-  FROM tries WHERE attempt <= failures + 1)"""
-
 _DOC_ID = D.uuid_of("concat('doc:', cast(doc_id AS varchar))")
 _PAGE_ID = D.uuid_of("concat('page:', cast(page_id AS varchar))")
 _MAIL = "CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'd' || doc_id || '@x.org' END"
@@ -254,23 +241,23 @@ ORACLE: dict[str, str] = {
     "attachment_config": f"""WITH {LISTED} SELECT attachment_id, {_text_setting("path", "none")} AS path, {_text_setting("format", "csv")} AS format,
       cast(CASE WHEN json_type(config, '$.options') = 'OBJECT' THEN 2 ELSE 0 END AS int) AS n_options,
       json_extract_string(config, '$.options.depth') AS depth, json_extract_string(config, '$.options.mode') AS mode,
-      cast(CASE WHEN json_type(config, '$.columns') = 'ARRAY' AND json_array_length(config, '$.columns') > 0
-        THEN json_array_length(config, '$.columns') - 1 ELSE 0 END AS int) AS n_entries FROM listed""",
+      cast(len(list_filter({_ENTRIES}, lambda e: json_type(e) = 'OBJECT')) AS int) AS n_entries FROM listed""",
     "target_path": f"WITH {CONFIGURED} SELECT attachment_id, CASE WHEN trim(path) = '' THEN 'default.csv' ELSE path END AS target FROM configured",
     "format_route": f"""WITH {CONFIGURED} SELECT attachment_id, format, {KNOWN_FORMAT} AS known,
-      CASE WHEN format = 'csv' THEN CASE WHEN n_all > 0 THEN 'record_id,' || json_extract_string(config, '$.columns[3].header')
-        || ',segment,created_at' ELSE 'record_id,created_at' END END AS header FROM configured""",
+      CASE WHEN format = 'csv' THEN array_to_string(list_concat(['record_id'], headers, ['created_at']), ',') END
+        AS header FROM usable""",
     "config_errors": f"""WITH {CONFIGURED} SELECT attachment_id, contract_id, CASE WHEN n_all = 0
       THEN 'attachment ' || attachment_id || ' for contract ''' || contract_id || ''' has no usable columns'
       ELSE 'unknown format ''' || format || '''; available: csv, json, xml' END AS config_error
-      FROM configured WHERE n_all = 0 OR NOT {KNOWN_FORMAT}""",
+      FROM usable WHERE n_all = 0 OR NOT {KNOWN_FORMAT}""",
     "descriptor_errors": f"""WITH {LISTED} SELECT attachment_id, concat_ws('; ',
       CASE WHEN json_type(config, '$.path') <> 'VARCHAR' THEN 'path is not text' END,
       CASE WHEN json_type(config, '$.format') IS NOT NULL AND coalesce({_text_setting("format", "?")}, '?') NOT IN ('csv', 'json', 'xml')
         THEN 'format is not one of csv, json, xml' END,
       CASE WHEN json_type(config, '$.columns') IS NULL THEN 'columns are missing'
         WHEN json_type(config, '$.columns') <> 'ARRAY' THEN 'columns are not a list'
-        WHEN json_array_length(config, '$.columns') = 0 THEN 'columns are empty' ELSE 'a column has no header or field' END
+        WHEN json_array_length(config, '$.columns') = 0 THEN 'columns are empty'
+        WHEN len(list_filter({_ENTRIES}, lambda e: NOT {_WHOLE})) > 0 THEN 'a column has no header or field' END
       ) AS problems FROM listed""",
     "attachment_index": f"""WITH {LISTED} SELECT contract_id, arg_min(attachment_id, pos) AS attachment_id, min(pos) AS pos
       FROM listed GROUP BY contract_id""",
@@ -316,11 +303,12 @@ ORACLE: dict[str, str] = {
     "xml_lines": f"""SELECT 'pages' AS contract_id, {_PAGE_ID} AS record_id, '<record><record_id>' || {_PAGE_ID} || '</record_id><page_url>'
       || {_x("url")} || '</page_url><_1st>' || page_id || '</_1st><html>' || {_x("html")}
       || '</html><no></no><created_at>2026-07-21T14:10:00.250Z</created_at></record>' AS line, cast(NULL AS varchar) AS header FROM pages""",
-    "first_delivery": f"""WITH {JUDGED}, r AS (SELECT *, row_number() OVER (PARTITION BY contract_id, record_id ORDER BY {C}) AS rn FROM valid)
+    "first_delivery": f"""WITH {JUDGED}, r AS (SELECT *, row_number() OVER (PARTITION BY contract_id, record_id ORDER BY {C}) AS rn FROM judged
+        WHERE verdict = 'ready')
       SELECT {C}, contract_id, record_id FROM r WHERE rn = 1""",
     "unseen_records": f"""WITH {JUDGED}, {D.EVENT_SEEN} SELECT DISTINCT contract_id, record_id FROM valid
       ANTI JOIN seen USING (contract_id, record_id)""",
-    "seen_union": f"""WITH {JUDGED}, {D.EVENT_SEEN} SELECT contract_id, record_id FROM seen UNION SELECT contract_id, record_id FROM valid""",
+    "seen_union": f"""WITH {SETTLED} SELECT contract_id, record_id FROM seen UNION SELECT contract_id, record_id FROM final WHERE outcome = 'applied'""",
     "seen_migrate": f"""WITH {JUDGED}, {D.EVENT_SEEN}, {D.EVENT_LEGACY},
       records AS (SELECT DISTINCT contract_id, record_id FROM valid),
       own AS (SELECT contract_id, record_id FROM seen WHERE contract_id IN ('click', 'error')),
@@ -331,10 +319,6 @@ ORACLE: dict[str, str] = {
     "classify_failures": f"WITH {CLASSIFIED} SELECT error_id, classification FROM classified",
     "error_labels": f"""WITH {CLASSIFIED} SELECT error_id, CASE WHEN classification = 'RETRIABLE' THEN 'RETRY_EXHAUSTED'
       WHEN is_schema THEN 'SCHEMA_VIOLATION' ELSE 'UNCLASSIFIED_FAILURE' END AS error_type, root AS error_message FROM classified""",
-    "retry_schedule": f"""WITH {ATTEMPTS} SELECT o_orderkey, attempt, status,
-      cast(CASE WHEN status = 'retry' THEN 200 * 2 ** (attempt - 1) ELSE 0 END AS bigint) AS sleep_ms FROM attempts""",
-    "attempt_counts": f"""WITH {ATTEMPTS} SELECT o_orderkey, max(attempt) AS attempts, cast(max(status = 'done') AS int) AS succeeded
-      FROM attempts GROUP BY o_orderkey""",
     "routed_lines": f"WITH {LINES} SELECT {C}, contract_id, record_id, target, line FROM lines",
     "target_headers": f"""WITH {LINES} SELECT DISTINCT target, CASE WHEN format = 'csv'
       THEN 'record_id,user_id,amount,note,flag,props,created_at' END AS header FROM lines""",
@@ -345,7 +329,7 @@ ORACLE: dict[str, str] = {
       count(*) - count(outcome) AS missing FROM final GROUP BY topic""",
     "dlq_entries": f"""WITH {SETTLED} SELECT topic AS "originalTopic", "partition" AS "originalPartition", "offset" AS "originalOffset",
       key AS "originalKey", value AS "originalPayload", error_type AS "errorType", CASE verdict WHEN 'tombstone' THEN 'the delivery has no value'
-        WHEN 'broken' THEN 'not valid JSON' WHEN 'invalid' THEN '{REPORT_PREFIX}' || violations WHEN 'misconfigured' THEN config_error
+        WHEN 'broken' THEN 'not valid JSON' WHEN 'invalid' THEN 'the envelope breaks its schema: ' || violations WHEN 'misconfigured' THEN config_error
         ELSE '''' || occurred_at || ''' is not an instant' END AS "errorMessage", 'waybill' AS "failedAdapter", attempts AS "attemptCount",
       false AS replayed FROM final WHERE outcome = 'quarantined'""",
 }

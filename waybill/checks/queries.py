@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from waybill.checks import derived as D
-from waybill.functions import json_values as J
 from waybill.functions.instants import canonical_instant
 from waybill.functions.text import store_name, xml_tag
 from waybill.operators import attachments as A, audit, envelope, failures, gate, validation
@@ -53,6 +52,11 @@ def _valid(spark: SparkSession, sf: str) -> DataFrame:
     return judged.where(F.size("violations") == 0).select(*COORDS, *RECORD)
 
 
+def _writable(spark: SparkSession, sf: str) -> DataFrame:
+    """Records that can be written, ids and coordinates only."""
+    return P.judge(_log(spark, sf), _routing(spark), "inner").where(F.col("verdict") == P.READY).select(*COORDS, *RECORD)
+
+
 def _staged(spark: SparkSession, sf: str) -> DataFrame:
     return as_table(P.staged(_log(spark, sf), _routing(spark)), new_folder(spark, "staged"))
 
@@ -288,7 +292,7 @@ def xml_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def first_delivery(spark: SparkSession, sf: str) -> DataFrame:
-    return gate.first_delivery(_valid(spark, sf))
+    return gate.first_delivery(_writable(spark, sf))
 
 
 @query
@@ -298,13 +302,13 @@ def unseen_records(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def seen_union(spark: SparkSession, sf: str) -> DataFrame:
-    return gate.union_seen(D.event_seen(spark, sf), _valid(spark, sf))
+    return gate.union_seen(D.event_seen(spark, sf), _settled(spark, sf).where("outcome = 'applied'"))
 
 
 @query
 def seen_migrate(spark: SparkSession, sf: str) -> DataFrame:
     """Which records of the log a migrated seen-set knows. Only `click` and `error` had a store of their own."""
-    seen = D.event_seen(spark, sf).where(F.col("contract_id").isin("click", "error"))
+    seen = D.event_seen_by_own_stores(spark, sf)
     inherited = gate.take_over(seen, D.event_legacy(spark, sf))
     return gate.known(_valid(spark, sf).select(*RECORD).distinct(), seen, inherited)
 
@@ -326,22 +330,6 @@ def error_labels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _attempts(spark: SparkSession, sf: str) -> DataFrame:
-    orders = D.given(spark, sf, "orders")
-    failing = orders.select("o_orderkey", F.expr("cast(o_orderkey % 5 AS int)").alias("failures"))
-    return failures.retry_schedule(failing, "failures")
-
-
-@query
-def retry_schedule(spark: SparkSession, sf: str) -> DataFrame:
-    return _attempts(spark, sf).select("o_orderkey", "attempt", "status", "sleep_ms")
-
-
-@query
-def attempt_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return failures.attempt_counts(_attempts(spark, sf), ["o_orderkey"])
-
-
 # --- whole deliveries ----------------------------------------------------------------------------------------
 
 @query

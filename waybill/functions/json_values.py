@@ -10,14 +10,32 @@ from waybill.schemas import ENVELOPE
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
+# Name of the field that closes a wrapped text.
+END = "_end"
+
+
+def _mark(value: Column) -> Column:
+    return F.xxhash64(value).cast("string")
+
+
 def wrapped(value: Column) -> Column:
-    """The text as the only element of a JSON array, which makes trailing text an error."""
-    return F.concat(F.lit("["), value, F.lit("]"))
+    """The text as the first element of a JSON array; the second one holds the text's hash.
+
+    Whatever follows an object in the text (a bracket that closes the array early, further elements) keeps the
+    mark from being the second element of two, and no text can hold its own hash.
+    """
+    return F.concat(F.lit('['), value, F.lit(f',{{"{END}":"'), _mark(value), F.lit('"}]'))
+
+
+def is_whole(read: Column, value: Column) -> Column:
+    """Whether a wrapped text, read as an array of structs with the field END, was one object and nothing else."""
+    second = F.get(read, F.lit(1))[END]
+    return F.coalesce((F.size(read) == 2) & F.get(read, F.lit(0)).isNotNull() & (second == _mark(value)), F.lit(False))
 
 
 def envelope_type(extra_fields: list[str] = ()) -> T.StructType:
     extra = [T.StructField(name, T.VariantType()) for name in extra_fields if name not in ENVELOPE.names]
-    return T.StructType(ENVELOPE.fields + extra)
+    return T.StructType([*ENVELOPE.fields, *extra, T.StructField(END, T.StringType())])
 
 
 # JSON type names by the first word of a variant's schema.

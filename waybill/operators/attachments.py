@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from waybill.functions import json_values as J
 from waybill.functions.formats import DEFAULT_FORMAT, FormatRegistry, default_formats
 from waybill.operators.lookup import join_config
 
@@ -12,7 +13,9 @@ ADAPTER_TYPE = "csv"
 
 def active(listing: DataFrame, adapter_type: str = ADAPTER_TYPE) -> DataFrame:
     """Enabled attachments of one adapter type; ids as text, a config that is not an object counts as empty."""
-    parsed = F.try_parse_json("config")
+    # A repeated key makes a text no variant; read as a map, its last value counts.
+    repeated = F.to_variant_object(J.last_wins(F.from_json("config", "map<string,variant>", J.STRICT)))
+    parsed = F.coalesce(F.try_parse_json("config"), repeated)
     is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
     return listing.where((F.col("adapter_type") == adapter_type) & F.col("enabled")).select(
         "pos",

@@ -22,8 +22,7 @@ def parse(log: DataFrame, extra_fields: list[str] = ()) -> DataFrame:
     schema = J.envelope_type(extra_fields)
     read = J.once(log, "_read", F.from_json(J.wrapped(value), T.ArrayType(schema), J.STRICT))
     first = F.get(F.col("_read"), F.lit(0))
-    ends = value.endswith("}") | F.rtrim(value, F.lit(" \n\r\t")).endswith("}")
-    clean = F.coalesce((F.size("_read") == 1) & first.isNotNull() & ends, F.lit(False))
+    clean = J.is_whole(F.col("_read"), value)
     # The rest is looked at only where the text is not one object.
     loose = F.from_json(
         value, "contractId variant, _bad string", {**J.STRICT, "columnNameOfCorruptRecord": "_bad"}
@@ -79,7 +78,8 @@ def typed(log: DataFrame) -> DataFrame:
         "occurredAt string, traceId string, payload struct<"
         + ",".join(f"{f.name}:string" for f in TYPED_PAYLOAD) + ">"
     )
-    read = log.withColumn("_t", F.get(F.from_json(J.wrapped(F.col("value")), f"array<struct<{_colons(texts)}>>", J.STRICT), 0))
+    read = J.once(log, "_read", F.from_json(J.wrapped(F.col("value")), f"array<struct<{_colons(texts)},{J.END}:string>>", J.STRICT))
+    read = read.withColumn("_t", F.when(J.is_whole(F.col("_read"), F.col("value")), F.get("_read", F.lit(0))))
     t, p = F.col("_t"), F.col("_t")["payload"]
 
     def misfit(value: Column, fits: Column) -> Column:

@@ -100,29 +100,6 @@ class RetryPolicy:
         return pauses
 
 
-def retry_schedule(deliveries: DataFrame, failures: str, policy: RetryPolicy = RetryPolicy()) -> DataFrame:
-    """Attempts of deliveries whose first `failures` attempts fail for a retriable reason.
-
-    Adds attempt, status (retry, exhausted or done) and sleep_ms; one row per attempt.
-    """
-    attempts = F.least(F.col(failures) + 1, F.lit(policy.max_attempts)).cast("int")
-    pauses = F.array(*[F.lit(p).cast("long") for p in policy.sleeps()], F.lit(0).cast("long"))
-    failed = F.col("attempt") <= F.col(failures)
-    last = F.col("attempt") == policy.max_attempts
-    return (
-        deliveries.withColumn("attempt", F.explode(F.sequence(F.lit(1), attempts)))
-        .withColumn("status", F.when(~failed, "done").when(last, "exhausted").otherwise("retry"))
-        .withColumn("sleep_ms", F.when(F.col("status") == "retry", F.get(pauses, F.col("attempt") - 1)).otherwise(F.lit(0).cast("long")))
-    )
-
-
-def attempt_counts(attempts: DataFrame, delivery: list[str]) -> DataFrame:
-    """How often each delivery was attempted, and whether it succeeded in the end."""
-    return attempts.groupBy(*delivery).agg(
-        F.max("attempt").alias("attempts"), F.max((F.col("status") == "done").cast("int")).alias("succeeded")
-    )
-
-
 def dead_letters(quarantined: DataFrame, adapter: str, quarantined_at: Column) -> DataFrame:
     """Dead-letter entries with the original delivery kept as it was.
 

@@ -17,8 +17,8 @@ from waybill.functions.instants import DATE_TIME
 from waybill.operators.envelope import UUID
 from waybill.schemas import ENVELOPE_FIELDS
 
-# Fixed value: how a violation report starts.
-REPORT_PREFIX = "message does not conform to the registered envelope schema: "
+# How a violation report starts; the wording is this engine's own.
+REPORT_PREFIX = "the envelope breaks its schema: "
 
 NOT_JSON = "not valid JSON"
 
