@@ -299,6 +299,11 @@ FROM given""")
 
 def document_routing(spark: SparkSession, fmt: str):
     from waybill.plans.delivery import Routing
+
+    return Routing.from_listing(document_listing(spark, fmt), ENVELOPE_SCHEMA, DEFAULT_TARGET)
+
+
+def document_listing(spark: SparkSession, fmt: str) -> DataFrame:
     from waybill.schemas import ATTACHMENT, READBACK
 
     fields = ["internId", "firstName", "lastName", "email", "college", "department", "mentor", "startDate", "status"]
@@ -309,4 +314,4 @@ def document_routing(spark: SparkSession, fmt: str):
         (i, f"d{i}", contract, "csv", True, json.dumps({"format": fmt, "path": contract, "columns": columns}))
         for i, (contract, columns) in enumerate([("interns", interns), ("pages", pages)])
     ]
-    return Routing.from_listing(spark.createDataFrame(rows, ATTACHMENT), ENVELOPE_SCHEMA, DEFAULT_TARGET)
+    return spark.createDataFrame(rows, ATTACHMENT)

@@ -320,6 +320,8 @@ ORACLE: dict[str, str] = {
     "error_labels": f"""WITH {CLASSIFIED} SELECT error_id, CASE WHEN classification = 'RETRIABLE' THEN 'RETRY_EXHAUSTED'
       WHEN is_schema THEN 'SCHEMA_VIOLATION' ELSE 'UNCLASSIFIED_FAILURE' END AS error_type, root AS error_message FROM classified""",
     "routed_lines": f"WITH {LINES} SELECT {C}, contract_id, record_id, target, line FROM lines",
+    "delivered_lines": f"""WITH {LINES} SELECT target, topic, "partition",
+      cast(row_number() OVER (PARTITION BY target, topic, "partition" ORDER BY "offset") AS int) AS pos, contract_id, record_id, line FROM lines""",
     "target_headers": f"""WITH {LINES} SELECT DISTINCT target, CASE WHEN format = 'csv'
       THEN 'record_id,user_id,amount,note,flag,props,created_at' END AS header FROM lines""",
     "delivery_audit": f"WITH {LINES} SELECT contract_id, record_id, count(*) AS times FROM lines GROUP BY 1, 2",
@@ -334,3 +336,5 @@ ORACLE: dict[str, str] = {
       false AS replayed FROM final WHERE outcome = 'quarantined'""",
 }
 ORACLE["streamed_outcomes"] = ORACLE["outcome_counts"]
+ORACLE["streamed_dead_letters"] = ORACLE["dlq_entries"]
+ORACLE["single_file_export"] = ORACLE["csv_readback"]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from waybill.checks import derived as D
 from waybill.functions.instants import canonical_instant
@@ -104,14 +105,31 @@ def seen_import(spark: SparkSession, sf: str) -> DataFrame:
     return import_ids(spark, path)
 
 
+def _delivered_documents(spark: SparkSession, sf: str) -> tuple[DeliveryJob, str]:
+    """A job that has delivered every document as CSV, and its target."""
+    root = new_folder(spark, "documents-job")
+    D.document_log(spark, sf).write.parquet(f"{root}/log")
+    job = DeliveryJob(
+        spark, "documents", root, lambda s: stream_log(s, f"{root}/log"), lambda s: D.document_listing(s, "csv"), D.ENVELOPE_SCHEMA,
+        Settings(D.DEFAULT_TARGET),
+    )
+    job.run_available()
+    return job, "interns"
+
+
 @query
 def csv_readback(spark: SparkSession, sf: str) -> DataFrame:
-    lines = P.routed_lines(
-        D.document_log(spark, sf), D.document_routing(spark, "csv"), spark.createDataFrame([], "contract_id string, record_id string")
-    )
-    path = new_folder(spark, "csv")
-    lines.select("line").write.text(path)
-    return read_back(spark, path)
+    job, target = _delivered_documents(spark, sf)
+    return read_back(spark, job.target.path(target))
+
+
+@query
+def single_file_export(spark: SparkSession, sf: str) -> DataFrame:
+    """The delivered target as one file with its header line, read as a file with a header."""
+    job, target = _delivered_documents(spark, sf)
+    file = f"{job.folder.root}/export/interns.csv"
+    job.target.export_single_file(target, file)
+    return read_back(spark, file, header=True)
 
 
 # --- reading envelopes ---------------------------------------------------------------------------------------
@@ -337,14 +355,54 @@ def routed_lines(spark: SparkSession, sf: str) -> DataFrame:
     return _lines(spark, sf).select(*COORDS, *RECORD, "target", "line")
 
 
+def _job(spark: SparkSession, sf: str) -> DeliveryJob:
+    """A job that has delivered the whole event log, in several micro-batches."""
+    root = new_folder(spark, "job")
+    D.event_log(spark, sf).repartition(4, "partition").write.parquet(f"{root}/log")
+    gate = SeenTable(spark, root)
+    gate.mark(D.event_seen(spark, sf), "before")
+    job = DeliveryJob(
+        spark, "events", root, lambda s: stream_log(s, f"{root}/log", max_files=2), D.event_listing,
+        D.ENVELOPE_SCHEMA, Settings(D.DEFAULT_TARGET), gate=gate,
+    )
+    job.run_available()
+    return job
+
+
+def _delivered(job: DeliveryJob) -> DataFrame:
+    """Every line of every target as it was written: target, place in the target's files, line, and whose it is."""
+    at = F.struct("commit", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    targets = job.target.folder.names()
+    parts = [
+        job.spark.read.schema("value string, commit string").text(job.target.path(t), pathGlobFilter="part-*").select(F.lit(t).alias("target"), at.alias("at"), F.col("value").alias("line"))
+        for t in targets
+    ]
+    lines = functools.reduce(DataFrame.union, parts)
+    record = F.regexp_extract("line", "([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})", 1)
+    applied = job.outcomes().where("outcome = 'applied'").select(*COORDS, *RECORD, F.col("target").alias("_target"))
+    whose = (F.col("target") == F.col("_target")) & (record == F.col("record_id"))
+    return lines.join(applied, whose, "left").drop("_target")
+
+
+@query
+def delivered_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """What the targets hold after the job, and the place of each line among those of its topic partition there."""
+    order = Window.partitionBy("target", "topic", "partition").orderBy("at")
+    return _delivered(_job(spark, sf)).select("target", "topic", "partition", F.row_number().over(order).alias("pos"), "contract_id", "record_id", "line")
+
+
 @query
 def target_headers(spark: SparkSession, sf: str) -> DataFrame:
-    return P.target_headers(_lines(spark, sf, "header"))
+    """The header that each target was given by the first commit."""
+    job = _job(spark, sf)
+    rows = [(t, job.target.header(t)) for t in job.target.folder.names()]
+    return spark.createDataFrame(rows, "target string, header string")
 
 
 @query
 def delivery_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.delivery_audit(_lines(spark, sf))
+    """How often each record is in its target after the job."""
+    return audit.delivery_audit(_delivered(_job(spark, sf)))
 
 
 @query
@@ -371,14 +429,10 @@ def dlq_entries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def streamed_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole log through the streaming job, in several micro-batches, with its targets and dead letters."""
-    root = new_folder(spark, "job")
-    D.event_log(spark, sf).repartition(4, "partition").write.parquet(f"{root}/log")
-    gate = SeenTable(spark, root)
-    gate.mark(D.event_seen(spark, sf), "before")
-    job = DeliveryJob(
-        spark, "events", root, lambda s: stream_log(s, f"{root}/log", max_files=2), D.event_listing,
-        D.ENVELOPE_SCHEMA, Settings(D.DEFAULT_TARGET), gate=gate,
-    )
-    job.run_available()
-    return audit.outcome_counts(job.outcomes())
+    return audit.outcome_counts(_job(spark, sf).outcomes())
+
+
+@query
+def streamed_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """The dead letters of the job, as written."""
+    return _job(spark, sf).dead_letters().drop("quarantinedAt", "replayedAt", "commit")

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from waybill.operators.lookup import fits_broadcast, join_unique
 from waybill.schemas import COORDS, RECORD
 
 
@@ -48,22 +47,6 @@ def unseen(records: DataFrame, seen: DataFrame, inherited: Inherited | None = No
     return fresh
 
 
-# Up to this many records a batch is broadcast to the seen-set; their ids take some 60 bytes each.
-BATCH_RECORDS = 1_000_000
-BATCH_BYTES = 128 << 20
-
-
-def relevant(seen: DataFrame, records: DataFrame) -> DataFrame:
-    """The part of the seen-set that is about `records` (a table, each record once).
-
-    The seen-set grows for ever while a batch does not. A batch within the counted limits is broadcast, so that
-    the seen-set is read but never shuffled; otherwise all of it takes part in the shuffle joins that follow.
-    """
-    if fits_broadcast(records, BATCH_RECORDS, BATCH_BYTES):
-        return seen.join(F.broadcast(records), RECORD, "left_semi")
-    return seen
-
-
 def known(records: DataFrame, seen: DataFrame, inherited: Inherited | None = None) -> DataFrame:
     """Records that were applied before, with the store that knows them: own or inherited."""
     own = records.join(seen.select(*RECORD), RECORD, "left_semi").withColumn("store", F.lit("own"))
@@ -79,37 +62,34 @@ def applied_coords(ready: DataFrame, seen: DataFrame, inherited: Inherited | Non
     return unseen(first_coords(ready), seen, inherited).select(*RECORD, "first.*")
 
 
-def settle_ready(ready: DataFrame, winners: DataFrame) -> DataFrame:
-    """Adds `outcome` (applied or duplicate) to records that can be written.
+def by_record(rows: DataFrame, writable: Column) -> DataFrame:
+    """For every record its first writable delivery, or NULL, and how many deliveries it has; combined per task."""
+    first = F.min(F.when(writable, F.struct(*COORDS)))
+    return rows.groupBy(*RECORD).agg(first.alias("first"), F.count(F.lit(1)).alias("deliveries"))
+
+
+def decide(records: DataFrame, seen: DataFrame, inherited: Inherited | None = None) -> DataFrame:
+    """Adds `before`: whether a record was applied earlier. `records` (a table) has each record once.
 
-    Joined on the delivery's own coordinates, which are unique, so copies of one record never meet in one task.
+    The seen-set grows for ever while a batch does not: a batch that Spark finds small enough by its files is
+    broadcast, and the seen-set is only read. Else both are shuffled, each record once.
     """
-    marks = winners.select(*COORDS, F.lit(True).alias("_first"))
-    return (
-        ready.join(marks, COORDS, "left")
-        .withColumn("outcome", F.when(F.col("_first"), "applied").otherwise("duplicate"))
-        .drop("_first")
-    )
+    ids = records.select(*RECORD)
+    found = known(ids, seen.join(ids, RECORD, "left_semi"), inherited).select(*RECORD).distinct()
+    return records.join(found.withColumn("before", F.lit(True)), RECORD, "left").fillna(False, ["before"])
 
 
-def settle_failing(
-    failing: DataFrame, winners: DataFrame, seen: DataFrame, inherited: Inherited | None = None
-) -> DataFrame:
-    """Adds `outcome` to valid records that cannot be written.
+def outcome(writable: Column) -> Column:
+    """The outcome of a valid delivery, given `first` and `before` of its record.
 
-    Such a delivery is a duplicate if its record was applied earlier, in a former run or by an earlier delivery
-    of this one; otherwise it is quarantined. Whether a record was applied is looked up once per record and then
-    brought to its deliveries, however many there are.
+    Of the writable deliveries of a record that was not applied before, the first one is applied. One that cannot be
+    written is a duplicate if its record was applied before or by an earlier delivery; otherwise it is quarantined.
     """
-    records = failing.select(*RECORD).distinct()
-    here = winners.join(records, RECORD, "left_semi").select(*RECORD, F.struct(*COORDS).alias("_first"))
-    before = known(records, seen, inherited).select(*RECORD, F.lit(None).cast(here.schema["_first"].dataType))
-    applied = here.union(before).withColumn("_applied", F.lit(True))
-    duplicate = F.col("_applied") & (F.col("_first").isNull() | (F.struct(*COORDS) > F.col("_first")))
+    here = F.struct(*COORDS)
+    later = F.coalesce(F.col("before") | (here > F.col("first")), F.lit(False))
     return (
-        join_unique(failing, applied, RECORD, COORDS)
-        .withColumn("outcome", F.when(F.coalesce(duplicate, F.lit(False)), "duplicate").otherwise("quarantined"))
-        .drop("_first", "_applied")
+        F.when(writable & ~F.col("before") & (here == F.col("first")), "applied")
+        .when(writable | later, "duplicate").otherwise("quarantined")
     )
 
 

@@ -11,14 +11,20 @@ BROADCAST_BYTES = 64 << 20
 # A key with at least this many rows is kept out of plain shuffles.
 HOT_COPIES = 100_000
 
+_FLAT = {"string", "int", "bigint", "boolean"}
+
 # How many ways a hot key is split by the spread shuffle.
 SPREAD = 64
 
 
 def measure(table: DataFrame) -> tuple[int, int]:
-    """Rows of a table and bytes of their text; one job, counted per task and added up."""
-    text = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in table.columns])))
-    return tuple(table.agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first())
+    """Rows of a table and bytes of their text; starts one job, which counts per task and adds up."""
+    parts = [F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(1)) if f.dataType.simpleString() in _FLAT
+             else F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(1)) for f in table.schema.fields]
+    size = parts[0]
+    for part in parts[1:]:
+        size = size + part
+    return tuple(table.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first())
 
 
 def fits_broadcast(table: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
@@ -57,13 +63,19 @@ def spread_join(
     return left.join(right, [*keys, "_part"], how).drop("_part")
 
 
-def join_unique(large: DataFrame, unique: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+def join_unique(
+    large: DataFrame, unique: DataFrame, keys: list[str], spread: list[str], most: int | None = None
+) -> DataFrame:
     """`large` left-joined with `unique` (one row per key), however many rows of `large` share a key.
 
+    most: the rows of the most frequent key, if they are known already.
+
     Keys with very many rows are counted first, with partial counts per task. There are few of them, so what
     `unique` knows about them is broadcast; all other keys are joined by a plain shuffle. Should the hot
     keys be too many to broadcast, every key is spread. `large` is read twice and should be a table.
     """
+    if most is not None and most < HOT_COPIES:
+        return large.join(unique, keys, "left")
     hot = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= HOT_COPIES).select(*keys)
     n, size = measure(hot)
     if n == 0:

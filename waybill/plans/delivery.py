@@ -10,16 +10,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from waybill.functions import json_values as J
 from waybill.functions.formats import FormatRegistry, default_formats
 from waybill.functions.instants import is_instant
 from waybill.operators import attachments as A, envelope, gate, validation
 from waybill.operators.failures import SCHEMA_VIOLATION, UNCLASSIFIED_FAILURE
-from waybill.operators.lookup import fits_broadcast, join_config
+from waybill.operators.lookup import fits_broadcast, join_config, join_unique
 from waybill.operators.validation import Rule
 from waybill.schemas import COORDS, RECORD
+from waybill.storage import as_table, new_folder
 
 # What `judge` can find, in order of precedence. Ready records can be written.
 TOMBSTONE, BROKEN, UNATTACHED, INVALID = "tombstone", "broken", "unattached", "invalid"
@@ -147,64 +148,62 @@ class TargetFailure:
     message: str
 
 
+def _lost(spark: SparkSession, failures: list[TargetFailure]) -> DataFrame:
+    rows = [(f.target, f.error_type, f.attempts, f.message) for f in failures]
+    return spark.createDataFrame(rows, "target string, lost_type string, lost_attempts int, lost_message string")
+
+
 def settle(
     table: DataFrame, seen: DataFrame, inherited: gate.Inherited | None = None,
-    failures: list[TargetFailure] = (),
+    failures: list[TargetFailure] = (), work: str | None = None,
 ) -> DataFrame:
     """The outcome of every staged delivery: applied, duplicate, unattached or quarantined; exactly one each.
 
-    Adds outcome, error_type, error_message and attempts to the NARROW columns. `table` is read several
-    times, so it should be a written table; only narrow columns are shuffled. Records for a target in `failures`
-    count as not writable.
+    Adds outcome, error_type, error_message and attempts to the NARROW columns. `table` is read twice, so it should
+    be a written table: once for one row a record, written to the folder `work`, and once to give the outcomes back
+    to the deliveries. Only ids, coordinates and findings are shuffled. Records for a target in `failures` count as
+    not writable; failures are joined as a table, so their number is no matter.
     """
-    narrow = table.select(*NARROW)
-    lost_targets = F.col("target").isin([f.target for f in failures])
-    ready = narrow.where((F.col("verdict") == READY) & ~F.coalesce(lost_targets, F.lit(False)))
-    failing = narrow.where(
-        F.col("verdict").isin(MISCONFIGURED, UNTIMED) | ((F.col("verdict") == READY) & lost_targets)
-    )
-    rest = narrow.where(F.col("verdict").isin(TOMBSTONE, BROKEN, UNATTACHED, INVALID))
-    checked = narrow.where(F.col("verdict").isin(READY, MISCONFIGURED, UNTIMED))
-    seen = gate.relevant(seen, checked.select(*RECORD).distinct())
-    winners = gate.applied_coords(ready, seen, inherited)
-    settled = (
-        gate.settle_ready(ready, winners)
-        .unionByName(gate.settle_failing(failing, winners, seen, inherited))
-        .unionByName(rest.withColumn(
-            "outcome", F.when(F.col("verdict") == UNATTACHED, "unattached").otherwise("quarantined")
-        ))
-    )
-    lost = F.col("outcome") == "quarantined"
-    error_type, message, attempts = F.col("failure_type"), F.lit(None).cast("string"), F.lit(1)
-    for f in failures:
-        here = (F.col("verdict") == READY) & (F.col("target") == f.target)
-        error_type = F.when(here, f.error_type).otherwise(error_type)
-        message = F.when(here, f.message).otherwise(message)
-        attempts = F.when(here, f.attempts).otherwise(attempts)
+    spark = table.sparkSession
+    narrow = join_config(table.select(*NARROW), _lost(spark, failures), ["target"], COORDS)
+    checked = F.col("verdict").isin(READY, MISCONFIGURED, UNTIMED)
+    writable = (F.col("verdict") == READY) & F.col("lost_type").isNull()
+    seen_records = Observation()
+    per_record = gate.by_record(narrow.where(checked), writable).observe(seen_records, F.max("deliveries").alias("most"))
+    records = as_table(per_record, work or new_folder(spark, "records"))
+    decided = gate.decide(records.drop("deliveries"), seen, inherited)
+    valid = join_unique(narrow.where(checked), decided, RECORD, COORDS, seen_records.get["most"] or 0)
+    rest = narrow.where(~checked).withColumn("outcome", F.when(F.col("verdict") == UNATTACHED, "unattached").otherwise("quarantined"))
+    settled = valid.withColumn("outcome", gate.outcome(writable)).drop("first", "before").unionByName(rest)
+    quarantine = F.col("outcome") == "quarantined"
+    failed = (F.col("verdict") == READY) & F.col("lost_type").isNotNull()
     return settled.withColumns({
-        "error_type": F.when(lost, error_type),
-        "error_message": F.when(lost, message),
-        "attempts": F.when(lost, attempts),
-    }).drop("failure_type")
+        "error_type": F.when(quarantine, F.when(failed, F.col("lost_type")).otherwise(F.col("failure_type"))),
+        "error_message": F.when(quarantine & failed, F.col("lost_message")),
+        "attempts": F.when(quarantine, F.when(failed, F.col("lost_attempts")).otherwise(F.lit(1))),
+    }).drop("failure_type", "lost_type", "lost_attempts", "lost_message")
 
 
 def pick(table: DataFrame, outcomes: DataFrame, outcome: str, *extra: str) -> DataFrame:
-    """Staged deliveries with a given outcome, with their texts.
+    """Staged deliveries with a given outcome, with their texts; joined on the coordinates, which are unique.
 
-    Of the two ways to say which rows those are, by the deliveries to keep or by the ready ones to
-    drop, the shorter list is used; it is broadcast if its counted size allows, else joined on the
-    coordinates, which are unique.
+    Of a few outcomes the list is broadcast, if its counted size allows.
     """
     keep = outcomes.where(F.col("outcome") == outcome).select(*COORDS, *extra)
-    if outcome != "applied" or extra:
-        if fits_broadcast(keep):
-            return table.join(F.broadcast(keep), COORDS, "inner")
-        return table.join(keep, COORDS, "inner")
-    ready = table.where(F.col("verdict") == READY)
-    drop = outcomes.where((F.col("verdict") == READY) & (F.col("outcome") != "applied")).select(*COORDS)
+    return table.join(F.broadcast(keep) if fits_broadcast(keep) else keep, COORDS, "inner")
+
+
+def applied(table: DataFrame, outcomes: DataFrame, target: str) -> DataFrame:
+    """The deliveries to write to one target, with their lines. Both tables are laid out by target, and only that part of them is read.
+
+    Most ready deliveries are applied, so those to leave out are the shorter list.
+    """
+    ready = table.where((F.col("target") == target) & (F.col("verdict") == READY))
+    here = outcomes.where((F.col("target") == target) & (F.col("verdict") == READY))
+    drop = here.where("outcome <> 'applied'").select(*COORDS)
     if fits_broadcast(drop):
         return ready.join(F.broadcast(drop), COORDS, "left_anti")
-    return ready.join(keep, COORDS, "left_semi")
+    return ready.join(here.where("outcome = 'applied'").select(*COORDS), COORDS, "left_semi")
 
 
 def quarantined(table: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -219,14 +218,20 @@ def quarantined(table: DataFrame, outcomes: DataFrame) -> DataFrame:
 def routed_lines(
     log: DataFrame, routing: Routing, seen: DataFrame, inherited: gate.Inherited | None = None, *extra: str
 ) -> DataFrame:
-    """The lines to write, in a single pass over the log: one shuffle, by record, for the first delivery.
+    """The lines to write, straight from a log, for one that is read only for its lines. Starts jobs while it is planned.
 
-    The line is made before the shuffle, where it is all that is left of a record's texts. For a log that is read
-    only for its lines; a job that also needs dead letters and outcomes uses `settle`.
+    Which deliveries are first and new is settled from ids and coordinates; lines are made in another reading of the log. The copies to
+    leave out are broadcast if their counted size allows, so no line is shuffled; else lines are shuffled once, by their coordinates.
     """
     ready = judge(log, routing, how="inner").where(F.col("verdict") == READY)
+    narrow = ready.select(*COORDS, *RECORD)
+    path = new_folder(log.sparkSession, "winners")
+    winners = as_table(gate.applied_coords(narrow, seen, inherited).select(*COORDS), path)
     lines = with_line(ready, routing).select(*COORDS, *RECORD, "target", "line", *extra)
-    return gate.unseen(gate.first_delivery(lines), seen, inherited)
+    copies = narrow.select(*COORDS).join(winners, COORDS, "left_anti")
+    if fits_broadcast(copies):
+        return lines.join(F.broadcast(copies), COORDS, "left_anti")
+    return lines.join(winners, COORDS, "left_semi")
 
 
 def target_headers(lines: DataFrame) -> DataFrame:

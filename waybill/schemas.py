@@ -58,6 +58,9 @@ DEAD_LETTER = _struct(
     attemptCount=T.IntegerType(), quarantinedAt=_TEXT, replayed=T.BooleanType(), replayedAt=_TEXT,
 )
 
+# What a refresh of the attachments changed.
+CHANGES = _struct(contract_id=_TEXT, change=_TEXT, attachment_id=_TEXT, old_config=_TEXT, new_config=_TEXT)
+
 # Staged deliveries (one row per delivery, with texts) and their outcomes (ids and findings only).
 _FINDINGS = [("contract_id", _TEXT), ("record_id", _TEXT), ("attachment_id", _TEXT), ("target", _TEXT), ("verdict", _TEXT)]
 STAGED = T.StructType(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from waybill.operators.envelope import UUID
 from waybill.schemas import READBACK, RECORD, SEEN
+from waybill.storage import Folder
 
 
 def read_seen(spark: SparkSession, path: str, exists: bool = True, but_commit: str | None = None) -> DataFrame:
@@ -37,8 +38,10 @@ def read_back(spark: SparkSession, path: str, schema: T.StructType = READBACK, h
     """Delivered CSV lines as rows of text; an empty field stays ''.
 
     Lines end with a line feed only, and a quoted value may hold one, so the files are read in multi-line
-    mode; they are cut to size when written, not when read.
+    mode, one file a task. A target that is not there, or that holds nothing but its header, has no rows.
     """
+    if not Folder(spark, path).exists():
+        return spark.createDataFrame([], schema)
     return (
         spark.read.schema(schema)
         .option("header", header).option("quote", '"').option("escape", '"')

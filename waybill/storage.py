@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
+import functools
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,18 +14,23 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the session names it.
-
-    Where it is not set, a folder of this machine is used, but only if the session runs on this machine alone.
-    """
+    """The folder all executors can reach, as the session names it; where it names none, one in the warehouse, which is shared too."""
     named = spark.conf.get(_CHECKPOINT_DIR, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="waybill-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    return named.rstrip("/") if named else _own_folder(spark)
+
+
+@functools.cache
+def _own_folder(spark: SparkSession) -> str:
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/waybill-work"
+    folder = Folder(spark, root)
+    name = uuid.uuid4().hex
+    atexit.register(_quietly, folder.remove, name)
+    return folder.path(name)
+
+
+def _quietly(remove, name: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone already
+        remove(name)
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -35,11 +43,16 @@ def as_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unescape_path(name: str) -> str:
+    """A partition value from the name of its folder, where special characters are %XX."""
+    return unquote(name, errors="surrogateescape")
+
+
 class Folder:
     """Existence, removal and small text files below one root, on whatever file system the path names."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark._jvm
+        self.spark, self._jvm = spark, spark._jvm
         self._conf = spark._jsc.hadoopConfiguration()
         self.root = root.rstrip("/")
 
@@ -76,6 +89,21 @@ class Folder:
         finally:
             stream.close()
 
+    def concat(self, parts: list[tuple[str, ...]], destination: str) -> None:
+        """Writes files of this folder, one after the other, into one file."""
+        fs, handle = self._on(destination)
+        out = fs.create(handle, True)
+        try:
+            for part in parts:
+                source, place = self._on(self.path(*part))
+                stream = source.open(place)
+                try:
+                    self._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
+                finally:
+                    stream.close()
+        finally:
+            out.close()
+
     def write_text(self, text: str, *parts: str) -> None:
         fs, handle = self._on(self.path(*parts))
         stream = fs.create(handle, True)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from waybill.operators.gate import Inherited, take_over
 from waybill.schemas import RECORD
 from waybill.sources.stores import import_ids, read_seen
-from waybill.storage import Folder, as_table
+from waybill.storage import Folder, as_table, unescape_path
 
 
 class Gate(Protocol):
@@ -45,23 +45,39 @@ class SeenTable:
         )
 
     def forget(self, contract_id: str) -> None:
-        """Drops what is known of one contract, so that its records can be delivered again."""
-        self.folder.remove("seen", f"contract_id={contract_id}")
+        """Drops what is known of one contract, so that its records can be delivered again; an error if nothing is."""
+        folder = self._contract_folder(contract_id)
+        if folder is None and not self.folder.exists("inherited"):
+            raise KeyError(f"no record of contract {contract_id!r} was seen")
+        if folder is not None:
+            self.folder.remove("seen", folder)
         if self.folder.exists("inherited"):
             self._exempt({*self._exempted(), contract_id})
 
     def compact(self, contract_id: str, last_commit: str) -> None:
         """Merges the small files of a contract, except those of a commit that may be repeated."""
-        names = [n for n in self.folder.names("seen", f"contract_id={contract_id}") if n != f"commit={last_commit}"]
+        folder = self._contract_folder(contract_id)
+        names = [n for n in self.folder.names("seen", folder) if n != f"commit={last_commit}"] if folder else []
         if len(names) < 2:
             return
-        paths = [self.folder.path("seen", f"contract_id={contract_id}", n) for n in names]
+        paths = [self.folder.path("seen", folder, n) for n in names]
         merged = f"commit=merged-{len(names)}-{names[-1].removeprefix('commit=')}"
         ids = self.spark.read.schema("record_id string").parquet(*paths).distinct()
-        ids.write.mode("overwrite").parquet(self.folder.path("seen", f"contract_id={contract_id}", merged))
+        ids.write.mode("overwrite").parquet(self.folder.path("seen", folder, merged))
         # Until the old files are gone some ids are stored twice, which changes nothing in a set.
         for name in names:
-            self.folder.remove("seen", f"contract_id={contract_id}", name)
+            self.folder.remove("seen", folder, name)
+
+    def compact_all(self, last_commit: str) -> None:
+        """Compacts every contract, so that folders stay bounded by contracts and not by commits."""
+        for folder in self.folder.names("seen"):
+            if folder.startswith("contract_id="):
+                self.compact(unescape_path(folder.removeprefix("contract_id=")), last_commit)
+
+    def _contract_folder(self, contract_id: str) -> str | None:
+        """The folder of a contract, whose id may be escaped in its name."""
+        names = (n for n in self.folder.names("seen") if n.startswith("contract_id="))
+        return next((n for n in names if unescape_path(n.removeprefix("contract_id=")) == contract_id), None)
 
     def take_over(self, text_store: str) -> None:
         """Takes over a text store that knew no contracts; the store itself is left as it is. Done once."""

@@ -7,7 +7,9 @@ record reaches its target once, although marks come after writes.
 
 from __future__ import annotations
 
+import inspect
 import logging
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -23,15 +25,13 @@ from waybill.operators import attachments as A, failures
 from waybill.operators.failures import RetryPolicy
 from waybill.operators.validation import compile_rules
 from waybill.plans import delivery as P
-from waybill.schemas import OUTCOMES, STAGED
+from waybill.schemas import CHANGES, DEAD_LETTER, OUTCOMES, STAGED
 from waybill.storage import Folder
 from waybill.streaming.gates import Gate, SeenTable
-from waybill.streaming.targets import FileTarget, Target
+from waybill.streaming.targets import DeadLetters, FileTarget, Target
 
 log = logging.getLogger("waybill")
 
-# Up to this many targets the staged table is split by target without a shuffle.
-_UNSHUFFLED_TARGETS = 64
 
 
 @dataclass
@@ -42,6 +42,7 @@ class Settings:
     retry: RetryPolicy = field(default_factory=RetryPolicy)
     refresh_seconds: float = 30.0
     parallel_targets: int = 8
+    compact_every: int = 16
 
 
 class DeliveryJob:
@@ -55,6 +56,7 @@ class DeliveryJob:
         self, spark: SparkSession, name: str, root: str, source: Callable[[SparkSession], DataFrame],
         listing: Callable[[SparkSession], DataFrame], schema_text: str, settings: Settings,
         target: Target | None = None, gate: Gate | None = None, formats: FormatRegistry | None = None,
+        dead_letters: DeadLetters | None = None,
     ):
         self.spark, self.name, self.source, self.listing = spark, name, source, listing
         self.schema_text, self.settings = schema_text, settings
@@ -62,11 +64,12 @@ class DeliveryJob:
         self.target = target or FileTarget(spark, self.folder.path("targets"))
         self.gate = gate or SeenTable(spark, root)
         self.formats = formats or default_formats()
+        self.dead_letter_sink = dead_letters
         self.rules = compile_rules(schema_text)
         self.query: StreamingQuery | None = None
         self.job_id = self._job_id()
         self._snapshot: DataFrame | None = None
-        self._snapshot_no, self._loaded_at, self._targets = 0, 0.0, 0
+        self._snapshot_no, self._loaded_at = 0, 0.0
         self.refresh()
 
     def _job_id(self) -> str:
@@ -92,19 +95,19 @@ class DeliveryJob:
             path = self.folder.path("attachments", f"{self.job_id}-{self._snapshot_no + 1}")
             rows.write.mode("overwrite").parquet(path)
             fresh = self.spark.read.schema(rows.schema).parquet(path)
-            targets = fresh.select("target").distinct().count()
+            none = fresh.limit(1).count() == 0
         except Exception as error:  # noqa: BLE001 - whatever went wrong, the last good snapshot stays
             if self._snapshot is None:
                 raise
             log.warning("attachments could not be refreshed, the last ones stay: %s", error)
             self._loaded_at = time.monotonic()
             return
-        if targets == 0:
+        if none:
             log.warning("no contract is attached: every record will be skipped")
         if self._snapshot is not None:
-            for change in A.changes(self._snapshot, fresh).groupBy("change").count().collect():
-                log.info("attachments %s: %d", change["change"], change["count"])
-        self._snapshot, self._targets, self._loaded_at = fresh, targets, time.monotonic()
+            report = self.folder.path("attachment_changes", f"snapshot={self.job_id}-{self._snapshot_no + 1:06d}")
+            A.changes(self._snapshot, fresh).write.mode("overwrite").parquet(report)
+        self._snapshot, self._loaded_at = fresh, time.monotonic()
         self._snapshot_no += 1
         self.folder.remove("attachments", f"{self.job_id}-{self._snapshot_no - 2}")
 
@@ -127,40 +130,47 @@ class DeliveryJob:
             outcomes = self._outcomes(table, commit, lost)
         now = datetime.now(timezone.utc).isoformat().replace("+00:00", "Z")
         entries = failures.dead_letters(P.quarantined(table, outcomes), self.settings.adapter, F.lit(now))
-        entries.write.mode("overwrite").parquet(self.folder.path("dead_letters", f"commit={commit}"))
+        path = self.folder.path("dead_letters", f"commit={commit}")
+        entries.write.mode("overwrite").parquet(path)
+        if self.dead_letter_sink is not None:
+            written = self.spark.read.schema(DEAD_LETTER).parquet(path)
+            self.dead_letter_sink.write(failures.dead_letter_json(written), commit)
         self.gate.mark(outcomes.where("outcome = 'applied'"), commit)
         if batch_id > 0:
             # The stream has committed the batch before this one: it will not be repeated.
             self.folder.remove("staged", f"commit={self.commit_of(batch_id - 1)}")
+        if batch_id % self.settings.compact_every == self.settings.compact_every - 1 and hasattr(self.gate, "compact_all"):
+            self.gate.compact_all(commit)
 
     def _stage(self, batch: DataFrame, commit: str) -> DataFrame:
         place = ("staged", f"commit={commit}")
         if not self.folder.complete(*place):
             rows = P.staged(batch, self._routing())
-            if self._targets > _UNSHUFFLED_TARGETS:
-                rows = rows.hint("rebalance", "target")
             rows.write.mode("overwrite").partitionBy("target").parquet(self.folder.path(*place))
         return batch.sparkSession.read.schema(STAGED).parquet(self.folder.path(*place))
 
     def _outcomes(self, table: DataFrame, commit: str, lost: list[P.TargetFailure] = ()) -> DataFrame:
         place = ("outcomes", f"commit={commit}")
         if lost or not self.folder.complete(*place):
-            rows = P.settle(table, self.gate.seen(commit), self.gate.inherited(), lost)
-            rows.write.mode("overwrite").parquet(self.folder.path(*place))
+            work = self.folder.path("work", f"commit={commit}")
+            rows = P.settle(table, self.gate.seen(commit), self.gate.inherited(), lost, work)
+            rows.write.mode("overwrite").partitionBy("target").parquet(self.folder.path(*place))
+            self.folder.remove("work", f"commit={commit}")
         return table.sparkSession.read.schema(OUTCOMES).parquet(self.folder.path(*place))
 
     def _write(self, table: DataFrame, outcomes: DataFrame, commit: str) -> list[P.TargetFailure]:
-        """Writes every target with bounded retry; a target that fails does not stop the others."""
-        lines = P.pick(table, outcomes, "applied")
-        headers = P.target_headers(lines).collect()  # one row per target: configuration-sized
+        """Writes every target with bounded retry; a target that fails does not stop the others.
+
+        The targets of a batch come one by one from an iterator; there are at most as many as attachments.
+        """
+        targets = outcomes.where("outcome = 'applied'").select("target").distinct()
         with ThreadPoolExecutor(self.settings.parallel_targets) as pool:
-            tried = [
-                pool.submit(self._write_one, lines.where(F.col("target") == h.target), h.target, h.header, commit)
-                for h in headers
-            ]
+            tried = [pool.submit(self._write_one, table, outcomes, t.target, commit) for t in targets.toLocalIterator()]
             return [t.result() for t in tried if t.result() is not None]
 
-    def _write_one(self, lines: DataFrame, target: str, header: str | None, commit: str) -> P.TargetFailure | None:
+    def _write_one(self, table: DataFrame, outcomes: DataFrame, target: str, commit: str) -> P.TargetFailure | None:
+        lines = P.applied(table, outcomes, target)
+        header = P.target_headers(lines).first().header
         pauses = self.settings.retry.sleeps()
         for attempt in range(1, self.settings.retry.max_attempts + 1):
             try:
@@ -208,19 +218,36 @@ class DeliveryJob:
     def replay(self, topic: str) -> DeliveryJob:
         """A job that delivers one topic from its start once more, under a name and commits of its own.
 
+        A source that takes a topic pattern is asked for that topic only; what another one gives is filtered.
         Use it after the gate was told to forget the contract; records of other contracts stay duplicates.
         """
         return DeliveryJob(
             self.spark, f"{self.name}-replay-{uuid.uuid4().hex[:8]}", self.folder.root,
-            lambda spark: self.source(spark).where(F.col("topic") == topic), self.listing, self.schema_text,
-            self.settings, self.target, self.gate, self.formats,
+            lambda spark: self.source_of(spark, topic), self.listing, self.schema_text,
+            self.settings, self.target, self.gate, self.formats, self.dead_letter_sink,
         )
 
+    def source_of(self, spark: SparkSession, topic: str) -> DataFrame:
+        if "pattern" in inspect.signature(self.source).parameters:
+            return self.source(spark, pattern=re.escape(topic))
+        return self.source(spark).where(F.col("topic") == topic)
+
     # --- what happened -----------------------------------------------------------------------------------------
 
     def outcomes(self) -> DataFrame:
         """The outcome of every delivery so far, with the commit that handled it."""
-        return self.spark.read.schema(T.StructType([*OUTCOMES, T.StructField("commit", T.StringType())])).parquet(self.folder.path("outcomes"))
+        return self._kept("outcomes", OUTCOMES)
 
     def dead_letters(self) -> DataFrame:
-        return self.spark.read.parquet(self.folder.path("dead_letters"))
+        return self._kept("dead_letters", DEAD_LETTER)
+
+    def attachment_changes(self) -> DataFrame:
+        """Which contracts each refresh attached, changed or detached."""
+        return self._kept("attachment_changes", CHANGES)
+
+    def _kept(self, name: str, schema: T.StructType) -> DataFrame:
+        key = "snapshot" if name == "attachment_changes" else "commit"
+        layout = T.StructType([*schema, T.StructField(key, T.StringType())])
+        if not self.folder.exists(name):
+            return self.spark.createDataFrame([], layout)
+        return self.spark.read.schema(layout).parquet(self.folder.path(name))

@@ -15,17 +15,21 @@ class Target(Protocol):
         """Writes `line` of all rows to `target`; repeating a commit must not add lines."""
 
 
+class DeadLetters(Protocol):
+    def write(self, entries: DataFrame, commit: str) -> None:
+        """Publishes the dead letters of a commit, `key` and `value` each; repeating a commit must not add any."""
+
+
 class FileTarget:
     """A directory per target: `_header`, and `commit=<id>/part-*` with one record per line.
 
-    The header is settled by the first commit and never written again. `cat _header commit=*/part-*` gives the
-    target as one file. Lines are in delivery order within each part file; with `ordered` they are in delivery
-    order throughout a commit, at the price of a range shuffle.
+    The header is settled by the first commit and never written again. Lines are in delivery order throughout a commit: by topic,
+    partition and offset, also from one part file to the next. So `cat _header commit=*/part-*` gives the target as one file,
+    and `export_single_file` makes that file. Order costs one range shuffle of the lines of a commit.
     """
 
-    def __init__(self, spark: SparkSession, root: str, ordered: bool = False):
+    def __init__(self, spark: SparkSession, root: str):
         self.folder = Folder(spark, root)
-        self.ordered = ordered
 
     def path(self, target: str) -> str:
         return target if target.startswith("/") or "://" in target else self.folder.path(target)
@@ -36,5 +40,36 @@ class FileTarget:
             return
         if not place.exists("_header"):
             place.write_text("" if header is None else header + "\n", "_header")
-        rows = lines.orderBy(*COORDS) if self.ordered else lines.sortWithinPartitions(*COORDS)
+        rows = lines.orderBy(*COORDS)
         rows.select("line").write.mode("overwrite").option("lineSep", "\n").text(place.path(f"commit={commit}"))
+
+    def header(self, target: str) -> str | None:
+        """The header line of a target, if it was written to and has one."""
+        return (Folder(self.folder.spark, self.path(target)).read_text("_header") or "").removesuffix("\n") or None
+
+    def export_single_file(self, target: str, destination: str) -> None:
+        """Header and lines in order as one file, streamed through the driver; nothing is held whole. A target that was never written to gives an empty file."""
+        place = Folder(self.folder.spark, self.path(target))
+        commits = [n for n in place.names() if n.startswith("commit=") and place.complete(n)]
+        parts = [(c, n) for c in commits for n in place.names(c) if n.startswith("part-")]
+        place.concat([("_header",), *parts] if place.exists("_header") else parts, destination)
+
+
+class JsonDeadLetters:
+    """Dead letters as JSON lines, a folder per commit."""
+
+    def __init__(self, root: str):
+        self.root = root.rstrip("/")
+
+    def write(self, entries: DataFrame, commit: str) -> None:
+        entries.select("value").write.mode("overwrite").text(f"{self.root}/commit={commit}")
+
+
+class TopicDeadLetters:
+    """Dead letters to a topic, by Spark's Kafka connector. A commit that is repeated after a crash sends them again."""
+
+    def __init__(self, servers: str, topic: str):
+        self.servers, self.topic = servers, topic
+
+    def write(self, entries: DataFrame, commit: str) -> None:
+        entries.write.format("kafka").option("kafka.bootstrap.servers", self.servers).option("topic", self.topic).save()
