@@ -52,14 +52,13 @@ def brute_force(rows, seen):
     return outcomes
 
 
-@pytest.mark.parametrize("hot, batch, threshold", [
-    (100_000, 1_000_000, 10 << 20),  # everything small
-    (500, 1_000_000, 10 << 20),  # some records are hot
-    (500, 10, -1),  # and nothing fits a broadcast: shuffle joins only
+@pytest.mark.parametrize("hot, threshold", [
+    (100_000, 10 << 20),  # everything small
+    (500, 10 << 20),  # some records are hot
+    (500, -1),  # and nothing fits a broadcast: shuffle joins only
 ])
-def test_settle_equals_taking_one_delivery_after_the_other(spark, monkeypatch, hot, batch, threshold):
+def test_settle_equals_taking_one_delivery_after_the_other(spark, monkeypatch, hot, threshold):
     monkeypatch.setattr(lookup, "HOT_COPIES", hot)
-    monkeypatch.setattr(gate, "BATCH_RECORDS", batch)
     if threshold < 0:
         monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
@@ -110,6 +109,15 @@ def test_records_of_a_failed_target_are_not_writable(spark):
     assert got == {1: lost, 2: lost, 3: ("duplicate", None, None, None), 4: ("applied", None, None, None)}
 
 
+def test_very_many_failed_targets(spark):
+    rows = [("c", f"r{i}", "t", 0, i) for i in range(2500)]
+    table = spark.createDataFrame(rows, READY).withColumns({
+        "attachment_id": F.lit("a"), "target": F.concat(F.lit("t"), F.col("offset")), "verdict": F.lit(P.READY), "failure_type": F.lit(None).cast("string")})
+    failures = [P.TargetFailure(f"t{i}", "RETRY_EXHAUSTED", 3, f"disk {i}") for i in range(2000)]
+    got = {r.offset: (r.outcome, r.attempts, r.error_message) for r in P.settle(table, spark.createDataFrame([], SEEN), failures=failures).collect()}
+    assert got == {i: ("quarantined", 3, f"disk {i}") if i < 2000 else ("applied", None, None) for i in range(2500)}
+
+
 def test_outcome_precedence(spark):
     r = routing(spark, ("interns", {"columns": COLUMNS}), ("broken", {"columns": []}), ("odd", {"columns": COLUMNS, "format": "CSV"}))
     values = [

@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as registry
 from check import rows_of
+from waybill.checks.queries import QUERIES
 
 from pathlib import Path
 
@@ -20,10 +21,10 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(QUERIES) <= set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_same_rows(spark, duck, name):
     got = registry.queries()[name](spark, SF).toPandas()
     want = duck.sql(registry.oracle_sql()[name]).df()

@@ -1,3 +1,4 @@
+import json
 import time
 from pathlib import Path
 
@@ -13,7 +14,7 @@ from waybill.sources.delivery_log import stream_log
 from waybill.sources.stores import import_ids, read_back
 from waybill.streaming.gates import SeenTable
 from waybill.streaming.job import DeliveryJob, Settings
-from waybill.streaming.targets import FileTarget
+from waybill.streaming.targets import FileTarget, JsonDeadLetters
 
 CSV = {"columns": COLUMNS, "path": "interns.csv"}
 
@@ -280,6 +281,93 @@ def test_read_back_gives_what_was_delivered(spark, tmp_path):
 def test_ordered_target(spark, tmp_path):
     rows = spark.range(1000).repartition(8).select(
         F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.col("id").cast("string").alias("line"))
-    FileTarget(spark, str(tmp_path), ordered=True).write(rows, "x", None, "c")
+    target = FileTarget(spark, str(tmp_path))
+    target.write(rows, "x", "head", "c")
+    target.write(rows.withColumn("line", F.lit("more")).limit(2), "x", "another head", "d")
     files = sorted(Path(tmp_path, "x", "commit=c").glob("part-*"))
     assert [int(v) for f in files for v in f.read_text().split()] == list(range(1000))
+    target.export_single_file("x", f"{tmp_path}/one.txt")
+    assert Path(tmp_path, "one.txt").read_text().split("\n") == ["head", *map(str, range(1000)), "more", "more", ""]
+    target.export_single_file("never written", f"{tmp_path}/none.txt")
+    assert Path(tmp_path, "none.txt").read_text() == "" and target.header("x") == "head" and target.header("y") is None
+
+
+def test_order_within_a_topic_partition_across_files(setup, spark):
+    """Files of one partition are packed into tasks by size; lines still come by offset."""
+    later, earlier = [envelope(i) for i in range(3, 60)], [envelope(i) for i in range(3)]
+    setup.sent = 3
+    setup.send(*later)
+    setup.sent = 0
+    setup.send(*earlier)
+    setup.job().run_available()
+    assert setup.lines() == [line(i) for i in range(60)]
+
+
+def test_read_back_without_a_target(spark, tmp_path):
+    assert read_back(spark, f"{tmp_path}/nothing").count() == 0
+    (tmp_path / "only-header.csv").write_text(",".join(READBACK.names) + "\n")
+    assert read_back(spark, f"{tmp_path}/only-header.csv", header=True).count() == 0
+
+
+def test_nothing_kept_before_the_first_batch(setup):
+    job = setup.job()
+    assert job.outcomes().count() == job.dead_letters().count() == job.attachment_changes().count() == 0
+    assert job.dead_letters().columns[-1] == "commit"
+
+
+def test_forget_finds_escaped_ids(setup, spark):
+    gate = SeenTable(spark, setup.root)
+    ids = ["a:b", "purchase/orders", "100%", "plain"]
+    gate.mark(spark.createDataFrame([(c, UUIDS[0]) for c in ids], "contract_id string, record_id string"), "c0")
+    for c in ids[:3]:
+        gate.forget(c)
+    assert [r.contract_id for r in gate.seen().collect()] == ["plain"]
+    with pytest.raises(KeyError):
+        gate.forget("a:b")
+
+
+def test_upkeep_bounds_the_folders_of_the_seen_set(setup, spark):
+    gate = SeenTable(spark, setup.root)
+    for i in range(6):
+        gate.mark(spark.createDataFrame([("a:b", UUIDS[i]), ("c", UUIDS[i])], "contract_id string, record_id string"), f"c{i}")
+        gate.compact_all(f"c{i}")
+    assert all(len(gate.folder.names("seen", n)) <= 2 for n in gate.folder.names("seen") if n.startswith("contract_id="))
+    assert gate.seen().count() == 12
+
+
+def test_replay_asks_the_source_for_one_topic(setup):
+    asked = []
+
+    def source(spark, pattern=r".*\.created"):
+        asked.append(pattern)
+        return stream_log(spark, f"{setup.root}/log", pattern)
+
+    setup.send(envelope(0))
+    setup.send(envelope(1, "other"), topic="other.created")
+    job = setup.job()
+    job.source = source
+    job.run_available()
+    job.gate.forget("interns")
+    job.replay("interns.created").run_available()
+    assert asked[-1] == r"interns\.created" and sorted(setup.lines()) == [line(0), line(0)]
+
+
+def test_dead_letter_sink_and_refresh_report(setup):
+    setup.send(envelope(0), "{")
+    job = setup.job(dead_letters=JsonDeadLetters(f"{setup.root}/letters"))
+    job.run_available()
+    letters = [json.loads(x) for f in Path(setup.root, "letters").glob("commit=*/part-*") for x in f.read_text().splitlines()]
+    assert [(x["originalOffset"], x["originalPayload"], x["replayedAt"]) for x in letters] == [(1, "{", None)]
+    setup.rows = (("interns", {**CSV, "path": "moved.csv"}), ("new", CSV))
+    job.refresh()
+    assert sorted((r.contract_id, r.change) for r in job.attachment_changes().collect()) == [("interns", "changed"), ("new", "attached")]
+
+
+def test_a_topic_that_appears_later_is_found(setup):
+    setup.rows = (("interns", CSV), ("other", {"columns": COLUMNS, "path": "other.csv"}))
+    setup.send(envelope(0))
+    job = setup.job()
+    job.run_available()
+    setup.send(envelope(1, "other"), topic="brand-new.created")
+    job.run_available()
+    assert setup.lines("other.csv") == [line(1)]

@@ -22,9 +22,12 @@ def _kind(path: str) -> str:
 
 FIELDS = ["recordId", "contractId", "recordType", "schemaVersion", "naturalKey", "occurredAt", "traceId", "payload"]
 
+# A text that goes on after its envelope: what comes before the bracket is one.
+_HEAD = r"^(.*\}\})\] (garbage \}|\[\{" + '"x":1' + r"\}|\})$"
+
 ENVELOPES = f"""{D.EVENT_LOG},
 docs AS (SELECT *, CASE WHEN json_valid(value) THEN value END AS doc,
-  nullif(regexp_extract(value, '^(.*\}}\}})\] (garbage \}}|\[\{{"x":1\}}|\}})$', 1), '') AS head FROM log),
+  nullif(regexp_extract(value, '{_HEAD}', 1), '') AS head FROM log),
 objects AS (SELECT *, CASE WHEN json_type(doc) = 'OBJECT' THEN doc END AS o FROM docs),
 envelopes AS (
   SELECT {C}, key, value, doc, o,
