@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import heapq
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,37 +17,57 @@ from waybill.storage import as_table, new_folder
 
 END = 1
 _END = END.to_bytes(4, "little")
-#: Words whose ids a task remembers; beyond that it starts anew.
-_REMEMBERED = 400_000
+#: Words whose ids a worker remembers, twice: those met lately, and those met before.
+_REMEMBERED = 250_000
+#: White space and letters that a tokenizer has to treat as `_Ids` does.
+_PROBE = "Ab\u00a0c\u2003D\u0085e 'S 12\tIt's\n\u00c9\u0130 x-Y,"
 #: Pieces of one length that are numbered in one place.
 _RANKED = 50_000
 
 
 class _Ids:
-    """Ids of texts as bytes. The vocabulary never joins what ASCII white space parts, so words are encoded once and looked up."""
+    """Ids of texts as bytes, for vocabularies that drop white space and case, so that words can be encoded once and looked up.
+
+    One of these serves all tasks of a worker. Words are looked up in lower case, but for texts that may hold a special token's string.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, bytes] = {}
+        whole = self._tokenizer.encode(_PROBE, add_special_tokens=False).ids
+        # White space is dropped when words are found; making it plain before that is half of the work for nothing.
+        self._tokenizer.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self._lately: dict[bytes, bytes] = {}
+        self._before: dict[bytes, bytes] = {}
+        if self(_PROBE) != b"".join(i.to_bytes(4, "little") for i in whole) + _END:
+            raise ValueError(f"{path} does not drop white space and case")
 
     def __call__(self, text: str | None) -> bytes:
-        parts = (text or "").encode().split()
-        new = list({p for p in parts if p not in self._known})
+        data = (text or "").encode()
+        parts = (data if b"<|" in data else data.lower()).split()
+        lately = self._lately
+        new = {p for p in parts if p not in lately}
         if new:
-            if len(self._known) + len(new) > _REMEMBERED:
-                self._known = {}
-                new = list(set(parts))
-            found = self._tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)
-            self._known.update((p, b"".join(i.to_bytes(4, "little") for i in e.ids)) for p, e in zip(new, found))
-        return b"".join(map(self._known.__getitem__, parts)) + _END
+            lately.update({p: self._before[p] for p in new if p in self._before})
+            unknown = [p for p in new if p not in lately]
+            found = self._tokenizer.encode_batch_fast([p.decode() for p in unknown], add_special_tokens=False)
+            lately.update({p: array("I", e.ids).tobytes() for p, e in zip(unknown, found)})
+        out = b"".join(map(lately.__getitem__, parts)) + _END
+        if len(lately) > _REMEMBERED:
+            self._lately, self._before = {}, lately
+        return out
+
+
+@functools.cache
+def _ids(path: str) -> _Ids:
+    return _Ids(path)
 
 
 def _pieces(path: str, size: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _Ids(path)
+        ids_of = _ids(path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
