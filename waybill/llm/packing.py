@@ -18,7 +18,7 @@ from waybill.storage import as_table, new_folder
 END = 1
 _END = END.to_bytes(4, "little")
 #: Words whose ids a worker remembers, twice: those met lately, and those met before.
-_REMEMBERED = 250_000
+_REMEMBERED = 450_000
 #: White space and letters that a tokenizer has to treat as `_Ids` does.
 _PROBE = "Ab\u00a0c\u2003D\u0085e 'S 12\tIt's\n\u00c9\u0130 x-Y,"
 #: Pieces of one length that are numbered in one place.
