@@ -25,8 +25,9 @@ def test_repeated_words_go(spark, corpus, window):
     same(rows(substring_dedup.remove(frame(spark, corpus), window), *WORDS), plain.word_dedup(corpus, window))
 
 
-@pytest.mark.parametrize("length", [64, 200])
-def test_repeated_bytes_go(spark, corpus, length):
+@pytest.mark.parametrize(("length", "hot"), [(64, 1000), (200, 1000), (64, 3), (200, 0)])
+def test_repeated_bytes_go(spark, corpus, length, hot, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", hot)
     same(rows(suffix_dedup.remove(frame(spark, corpus), length), *BYTES), plain.byte_dedup(corpus, length))
 
 

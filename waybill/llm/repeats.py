@@ -24,6 +24,8 @@ from waybill.storage import Folder, as_table, new_folder
 
 #: What tells a document's rows: the id may be null or repeated, so a hash of the text goes with it. Equal rows share their spans.
 KEY = ("doc_id", "text_hash")
+#: Different stretches of an anchor from which on they are not brought together.
+HOT = 1000
 STRETCH = "doc_id long, text_hash long, start long, n int, off int, anchor long, whole long"
 
 
@@ -79,7 +81,10 @@ def batch_of(rows: pa.RecordBatch, first: int, found: Stretches) -> pa.RecordBat
 
 @dataclass
 class Found:
-    """covered: KEY, start, end of runs of symbols that are repeated as they are; open: KEY, start, n, off, anchor, alone of stretches to look into."""
+    """covered: KEY, start, end of runs of symbols that are repeated as they are; open: KEY, start, n, off, anchor, alone, hot of stretches to look into.
+
+    hot: the anchor has very many different stretches, as where many documents share a passage and go on in their own ways.
+    """
 
     covered: DataFrame
     open: DataFrame
@@ -97,7 +102,7 @@ def compare(found: DataFrame, length: int) -> Found:
     Joins are between plain exchanges, so that a key with very many rows is split; counting combines before it shuffles.
     """
     spark = found.sparkSession
-    folders = [new_folder(spark, f"repeats-{k}") for k in ("stretches", "anchors", "candidates", "wholes")]
+    folders = [new_folder(spark, f"repeats-{k}") for k in ("stretches", "anchors", "candidates", "wholes", "varied")]
     rows = as_table(found, folders[0])
     anchors = as_table(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("anchor"), folders[1])
     candidates = as_table(rows.join(anchors.hint("merge"), "anchor", "left_semi"), folders[2])
@@ -110,11 +115,24 @@ def compare(found: DataFrame, length: int) -> Found:
     covered = candidates.join(copied.hint("merge"), ["anchor", "whole"]).select(
         *KEY, "start", (F.col("start") + F.col("n") + (length - 1)).alias("end")
     )
-    varied = wholes.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.min("copies").alias("least")).where("k > 1 AND least = 1").select("anchor")
-    opened = wholes.join(varied, "anchor", "left_semi").select("one.*", "anchor", (F.col("copies") == 1).alias("alone"))
+    varied = wholes.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.min("copies").alias("least")).where("k > 1 AND least = 1")
+    varied = as_table(varied.select("anchor", (F.col("k") > HOT).alias("hot")), folders[4])
+    opened = wholes.join(varied.hint("merge"), "anchor").select("one.*", "anchor", (F.col("copies") == 1).alias("alone"), "hot")
     return Found(covered, opened, folders[1:])
 
 
+def counted(hashed: DataFrame, window: int, folders: list[str], *hashes: str) -> DataFrame:
+    """KEY, start, end of the lone windows of `hashed` whose hashes come up twice in it. Counting combines before it shuffles, so no window is too frequent.
+
+    Of stretches that are there several times only one is in `hashed`: a count says whether a window is repeated, not how often.
+    """
+    folders += [new_folder(hashed.sparkSession, "windows"), new_folder(hashed.sparkSession, "repeated")]
+    hashed = as_table(hashed, folders[-2])
+    twice = as_table(hashed.groupBy(*hashes).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(*hashes), folders[-1])
+    lone = hashed.where("alone").join(twice.hint("merge"), list(hashes), "left_semi")
+    return lone.select(*KEY, "start", (F.col("start") + window).alias("end"))
+
+
 def by_document(docs: DataFrame, spans: DataFrame, how: str, *columns: str) -> DataFrame:
     """docs with an array of a document's rows of spans. A document has no more of them than symbols."""
     grouped = spans.groupBy(*KEY).agg(F.collect_list(F.struct(*columns)).alias("spans"))

@@ -50,15 +50,8 @@ def repeated_windows(docs: DataFrame, window: int) -> tuple[DataFrame, R.Found]:
     """KEY, start, end (in words) of runs that repeated windows cover; they may overlap. The tables below stay until clear()."""
     found = R.compare(docs.mapInArrow(_stretches(window), R.STRETCH), window)
     opened = R.by_document(docs, found.open, "inner", "start", "n", "alone")
-    path = R.new_folder(docs.sparkSession, "window-hashes")
-    hashed = R.as_table(opened.select(*R.KEY, "text", "spans").mapInArrow(_window_hashes(window), "doc_id long, text_hash long, start long, hash long, alone boolean"), path)
-    found.folders.append(path)
-    # Windows of whole copies are counted with one of them only, so a count is no number of places, but above one it means repeated.
-    counted = hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("hash")
-    twice = R.as_table(counted, path + "-counted")
-    found.folders.append(path + "-counted")
-    single = hashed.where("alone").join(twice.hint("merge"), "hash", "left_semi")
-    return found.covered.union(single.select(*R.KEY, "start", (F.col("start") + window).alias("end"))), found
+    hashed = opened.select(*R.KEY, "text", "spans").mapInArrow(_window_hashes(window), "doc_id long, text_hash long, start long, hash long, alone boolean")
+    return found.covered.union(R.counted(hashed, window, found.folders, "hash")), found
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from waybill.llm import repeats as R
 from waybill.llm.suffix_sort import Suffixes
-from waybill.llm.text import BYTES, SYMBOLS, blocks, mixed, raw
+from waybill.llm.text import BYTES, SYMBOLS, WORDS, blocks, mixed, raw
 
 #: Bytes of the runs that anchor strings.
 _GRAM = 48
@@ -61,6 +61,25 @@ def _slices(length: int):
     return run
 
 
+def _strings(length: int):
+    """Two hashes of every string of the open stretches: of hot anchors, whose strings are counted and not sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, (start, n, alone) in enumerate(R.spans_of(batch.column("spans"), "start", "n", "alone")):
+                row = batch.slice(k, 1)
+                data, offsets = raw(row.column("text"))
+                symbols = BYTES[data[offsets[0] : offsets[1]]]
+                at = np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                hashes = [mixed(p.windows(p.prefixes(symbols), length))[at].view(np.int64) for p in (SYMBOLS, WORDS)]
+                take = pa.array(np.zeros(len(at), np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [*(row.column(c).take(take) for c in R.KEY), pa.array(at), *map(pa.array, hashes), pa.array(np.repeat(alone, n))], [*R.KEY, "start", "hash", "check", "alone"]
+                )
+
+    return run
+
+
 def _sorted_spans(length: int):
     """Runs that repeated strings cover, from slices in order of their core."""
 
@@ -107,12 +126,18 @@ def _sorted_spans(length: int):
 
 
 def repeated_strings(docs: DataFrame, length: int) -> DataFrame:
-    """KEY, start, end (in bytes) of runs that repeated strings cover; they may overlap."""
+    """KEY, start, end (in bytes) of runs that repeated strings cover; they may overlap.
+
+    Suffixes are sorted where an anchor has few different surroundings. Where very many texts share a passage, slices with one core would meet in one place, so
+    each string is on its own there, counted by 128 bits of hashes.
+    """
     found = R.compare(docs.mapInArrow(_stretches(length), R.STRETCH), length)
-    opened = R.by_document(docs, found.open, "inner", "start", "n", "off", "alone")
+    hot = R.by_document(docs, found.open.where("hot"), "inner", "start", "n", "alone").select(*R.KEY, "text", "spans")
+    frequent = R.counted(hot.mapInArrow(_strings(length), "doc_id long, text_hash long, start long, hash long, check long, alone boolean"), length, found.folders, "hash", "check")
+    opened = R.by_document(docs, found.open.where("NOT hot"), "inner", "start", "n", "off", "alone")
     slices = opened.select(*R.KEY, "text", "spans").mapInArrow(_slices(length), _SLICES)
     sorted_ = slices.repartition("core").sortWithinPartitions("core").mapInArrow(_sorted_spans(length), "doc_id long, text_hash long, start long, end long")
-    return found.covered.union(sorted_)
+    return found.covered.union(frequent).union(sorted_)
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
