@@ -24,8 +24,6 @@ _SHARED = 8
 _ESTIMATE = 10
 #: Members that are compared with a copy of their leader's set in one place.
 _MEMBERS = 500
-#: Values in longer lists are looked at in pairs.
-_LONG = 200
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
@@ -147,14 +145,47 @@ def _leaders(lists: DataFrame) -> DataFrame:
     return lists.join(least.hint("merge"), "key").where("cid <> a").select("a", F.col("cid").alias("b")).distinct()
 
 
-def _rest(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a list's members that are not in one component yet. One side leaves out the list's largest component."""
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every shingle of every class."""
+    for batch in batches:
+        for first, data, offsets in blocks(batch.column("text")):
+            sets = list(_sets(data, offsets))
+            whose = np.repeat(np.arange(first, first + len(sets)), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([batch.column("cid").take(pa.array(whose)), pa.array(np.concatenate(sets).view(np.int64))], ["cid", "shingle"])
+
+
+def _held_in_common(few: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """cid, n, common: how many of a class's shingles any other of these classes (a table of cid) has too.
+
+    No set shares more with one other set than it shares with all of them. So a much edited copy, most of whose partners share the same part of it, is known to have no
+    link without looking at its partners one by one. Counting combines before it shuffles.
+    """
+    spark = docs.sparkSession
+    wanted = few.join(classes.select("cid", "n", "one").hint("merge"), "cid")
+    asked = as_table(wanted.select("cid", "n", *(F.col(f"one.{k}").alias(f"_{k}") for k in KEY)), new_folder(spark, "asked"))
+    found = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")))
+    # A row that is there twice gives its shingles twice.
+    members = as_table(found.select("cid", "text").mapInArrow(_members, "cid long, shingle long").distinct(), new_folder(spark, "members"))
+    twice = as_table(members.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("shingle"), new_folder(spark, "common"))
+    common = members.join(twice.hint("merge"), "shingle", "left_semi").groupBy("cid").agg(F.count(F.lit(1)).alias("common"))
+    return asked.select("cid", "n").join(common, "cid")
+
+
+def _rest(lists: DataFrame, labels: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of a list's members that are not in one component yet, and that have enough in common with others to be linked.
+
+    One side leaves out the list's largest component. A pair at the threshold shares 3/7 of the sum of its sizes.
+    """
+    spark = lists.sparkSession
     labelled = lists.join(labels.hint("merge"), F.col("cid") == F.col("node"), "left").select("key", "cid", F.coalesce("label", "cid").alias("label"))
     sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
     mixed_ = sizes.groupBy("key").agg(F.max(F.struct("k", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select("key", "most")
-    labelled = as_table(labelled.join(mixed_.hint("merge"), "key"), new_folder(lists.sparkSession, "mixed"))
-    few = labelled.where("label <> most").select("key", F.col("cid").alias("x"), F.col("label").alias("lx"))
-    met = few.join(labelled.hint("merge"), "key").where("lx <> label AND (label = most OR x < cid)")
+    labelled = as_table(labelled.join(mixed_.hint("merge"), "key"), new_folder(spark, "mixed"))
+    common = _held_in_common(labelled.select("cid").distinct(), docs, classes).where("4 * common >= 3 * n")
+    able = as_table(labelled.join(as_table(common, new_folder(spark, "able")).hint("merge"), "cid"), new_folder(spark, "able"))
+    few = able.where("label <> most").select("key", F.col("cid").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), F.col("common").alias("cx"))
+    enough = "7 * least(common, cx) >= 3 * (n + nx)"
+    met = few.join(able.hint("merge"), "key").where(f"lx <> label AND (label = most OR x < cid) AND {enough}")
     return met.select(F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct()
 
 
@@ -181,7 +212,7 @@ def groups(docs: DataFrame) -> DataFrame:
     lists = as_table(_posted(classes), new_folder(spark, "lists"))
     first = as_table(_estimated(_leaders(lists), classes), new_folder(spark, "pairs"))
     links = _links(first, docs, classes)
-    second = _estimated(_rest(lists, as_table(components(links), new_folder(spark, "labels"))), classes)
+    second = _estimated(_rest(lists, as_table(components(links), new_folder(spark, "labels")), docs, classes), classes)
     second = as_table(second.join(first.hint("merge"), ["a", "b"], "left_anti"), new_folder(spark, "pairs"))
     labels = as_table(components(links.union(_links(second, docs, classes))), new_folder(spark, "labels"))
     named = classes.select("cid", "least").join(labels.hint("merge"), F.col("cid") == F.col("node"), "left").select("cid", "least", F.coalesce("label", "cid").alias("label"))
