@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from helpers import frame, rows, sentence
 
@@ -53,6 +54,24 @@ def test_rows_that_repeat_or_lack_ids(spark):
     assert got.count((1, 86, 1, True)) == 2 and (None, 86, 1, False) in got and (None, 0, None, True) in got
 
 
+def test_a_row_that_is_there_very_often(spark, monkeypatch):
+    """Its array of spans stays within its own symbols, and one copy a task is compared with other texts."""
+    rng = random.Random(8)
+    text, other = sentence(rng, 350), sentence(rng, 60)
+    shared = " ".join(text.split()[100:180])
+    docs = [(None, text)] * 300 + [(1, f"{other} {shared} {sentence(rng, 60)}"), (2, sentence(rng, 90))]
+    made, compared, by_document = [], [], repeats.by_document
+    monkeypatch.setattr(repeats, "by_document", lambda *a: made.append((a[2], by_document(*a))) or made[-1][1])
+    same(rows(substring_dedup.remove(frame(spark, docs)), *WORDS), plain.word_dedup(docs, 35))
+    same(rows(suffix_dedup.remove(frame(spark, docs)), *BYTES), plain.byte_dedup(docs, 200))
+    sizes = [max(len(r.spans or ()) for r in table.select("spans").collect()) for how, table in made if how == "left"]
+    assert len(sizes) == 2 and sizes[0] <= 350 and sizes[1] <= 350
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([None, 1, None, 1], pa.int64()), "text_hash": pa.array([5, 5, 5, 6], pa.int64())})
+    for part in repeats.once(iter([batch, batch])):
+        compared += zip(*(part.column(c).to_pylist() for c in repeats.KEY))
+    assert compared == [(None, 5), (1, 5), (1, 6)]
+
+
 def test_no_rows(spark):
     for op in (substring_dedup.remove, suffix_dedup.remove, minhash.groups, minhash.representatives):
         assert op(frame(spark, [])).count() == 0

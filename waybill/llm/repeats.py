@@ -133,8 +133,13 @@ def counted(hashed: DataFrame, window: int, folders: list[str], *hashes: str) ->
     return lone.select(*KEY, "start", (F.col("start") + window).alias("end"))
 
 
+def widest(spans: DataFrame) -> DataFrame:
+    """Of the runs of a document that begin together the longest: of KEY, start, end. Copies of a row combine before they are shuffled."""
+    return spans.groupBy(*KEY, "start").agg(F.max("end").alias("end"))
+
+
 def by_document(docs: DataFrame, spans: DataFrame, how: str, *columns: str) -> DataFrame:
-    """docs with an array of a document's rows of spans. A document has no more of them than symbols."""
+    """docs with an array of a document's rows of spans, which begin at different symbols: so there are no more of them than symbols, however many copies of a row there are."""
     grouped = spans.groupBy(*KEY).agg(F.collect_list(F.struct(*columns)).alias("spans"))
     grouped = grouped.withColumnsRenamed({k: f"_{k}" for k in KEY})
     return docs.join(grouped, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")), how).drop(*(f"_{k}" for k in KEY))
@@ -151,6 +156,19 @@ def spans_of(column: pa.Array, *names: str) -> Iterator[list[np.ndarray]]:
         yield [p[order] for p in part]
 
 
+def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows without those whose KEY was there before in this task: copies of a row have the same stretches, and one of them tells what there is to compare."""
+    seen: set[tuple[int | None, int]] = set()
+    for batch in batches:
+        first = []
+        for k, key in enumerate(zip(*(batch.column(c).to_pylist() for c in KEY))):
+            if key not in seen:
+                seen.add(key)
+                first.append(k)
+        if first:
+            yield batch if len(first) == batch.num_rows else batch.take(pa.array(first))
+
+
 def covered_mask(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which of n symbols lie in any of the runs."""
     steps = np.zeros(n + 1, np.int64)

@@ -31,7 +31,7 @@ def _window_hashes(window: int):
     """The Rabin-Karp hash of every window of the open stretches, with where it is if it may need a verdict."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in R.once(batches):
             for k, (start, n, alone) in enumerate(R.spans_of(batch.column("spans"), "start", "n", "alone")):
                 row = batch.slice(k, 1)
                 for _, data, offsets in blocks(row.column("text")):
@@ -96,5 +96,5 @@ def remove(docs: DataFrame, window: int = 35) -> DataFrame:
     """
     docs = R.keyed(docs)
     spans, _ = repeated_windows(docs, window)
-    merged = R.by_document(docs, spans, "left", "start", "end")
+    merged = R.by_document(docs, R.widest(spans), "left", "start", "end")
     return merged.select("doc_id", "text", "spans").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")

@@ -35,7 +35,7 @@ def _slices(length: int):
     """Open stretches cut by distance from the anchor. All strings of a slice hold its core, so equal strings are in slices with one core."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in R.once(batches):
             for k, (start, n, off, alone) in enumerate(R.spans_of(batch.column("spans"), "start", "n", "off", "alone")):
                 row = batch.slice(k, 1)
                 data, offsets = raw(row.column("text"))
@@ -65,7 +65,7 @@ def _strings(length: int):
     """Two hashes of every string of the open stretches: of hot anchors, whose strings are counted and not sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in R.once(batches):
             for k, (start, n, alone) in enumerate(R.spans_of(batch.column("spans"), "start", "n", "alone")):
                 row = batch.slice(k, 1)
                 data, offsets = raw(row.column("text"))
@@ -168,6 +168,6 @@ def remove(docs: DataFrame, length: int = 200) -> DataFrame:
     The result reads tables in the shared folder that stay until the session's folder is cleared.
     """
     docs = R.keyed(docs)
-    merged = R.by_document(docs, repeated_strings(docs, length), "left", "start", "end")
+    merged = R.by_document(docs, R.widest(repeated_strings(docs, length)), "left", "start", "end")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_bytes binary, kept_sha256 string"
     return merged.select("doc_id", "text", "spans").mapInArrow(_kept, schema)
