@@ -141,6 +141,48 @@ def test_keys_and_tokens_are_confirmed():
         assert not [s for s in secrets.spans(text) if s[2] in ("key", "jwt")], text
 
 
+def _ssh(*parts):
+    return b"".join(len(p).to_bytes(4, "big") + p for p in parts)
+
+
+def _openssh(cipher=b"none", marks=b"abcdabcd"):
+    public = _ssh(b"ssh-ed25519", b"p" * 32)
+    private = marks + _ssh(b"ssh-ed25519", b"p" * 32, b"s" * 64, b"me")
+    private += bytes(range(1, 1 + -len(private) % 8))
+    return b"openssh-key-v1\0" + _ssh(cipher, b"none" if cipher == b"none" else b"bcrypt", b"") + (1).to_bytes(4, "big") + _ssh(public, private)
+
+
+PASSWORD = _der(0x30, _der(6, bytes.fromhex("2a864886f70d01050d")) + _der(0x30, _der(0x30, _der(6, b"\x2a") + _der(0x30, _der(4, b"salt") + _der(2, b"\x08\x00"))) + _der(0x30, _der(6, b"\x2b") + _der(4, b"i" * 16))))
+LOCKED = _der(0x30, PASSWORD + _der(4, b"\x9c" * 320))
+DIGEST = _der(0x30, _der(0x30, _der(6, bytes.fromhex("608648016503040201")) + _der(5, b"")) + _der(4, b"d" * 32))
+WITH_PUBLIC = _der(0x30, _der(2, b"\1") + _der(0x30, _der(6, b"\x2b\x65\x70")) + _der(4, _der(4, b"s" * 32)) + _der(0x81, b"\0" + b"p" * 32))
+
+
+@pytest.mark.parametrize("key", [RSA, EC, LOCKED, WITH_PUBLIC, _openssh(), _openssh(b"aes256-ctr", b"encrypt!")])
+@pytest.mark.parametrize("feed", ["", "\n", "\r\n", "\n    ", "\n\t", "\\n", "\\r\\n", "\\\\n", '\\n"\n    "', "',\n  '"])
+def test_forms_of_keys(key, feed):
+    """In one piece, in lines, indented (YAML), with escaped line feeds (JSON, once or twice), and in literals."""
+    plain_text = base64.b64encode(key).decode()
+    size = 64 if feed else len(plain_text)
+    body = feed.join(plain_text[k : k + size] for k in range(0, len(plain_text), size))
+    for before, after in ((f"-----BEGIN PRIVATE KEY-----{feed}", f"{feed}-----END PRIVATE KEY-----"), ("é M ", " tail"), ("M" + "x" * 40 + "\n", "\nMore text")):
+        if before.endswith("-") and not feed:
+            continue
+        text = before + body + after
+        assert [text[a:b] for a, b, k in secrets.spans(text) if k == "key"] == [body], text
+    escaped = body.replace("/", "\\/")
+    assert [t for a, b, k in secrets.spans(f"'{escaped}'") if k == "key" for t in [f"'{escaped}'"[a:b]]] == [escaped]
+    assert [k for _, _, k in secrets.spans(key.hex()) if k == "key"] == ["key"]
+    for text in (body[:-40], body[:20] + " " + body[20:]):
+        assert not [s for s in secrets.spans(text) if s[2] == "key"], text
+
+
+def test_what_is_no_key():
+    for data in (DIGEST, _openssh(marks=b"abcdabce"), _openssh()[:-1], b"openssh-key-v1\0" + b"\xff" * 60):
+        for text in (base64.b64encode(data).decode(), data.hex()):
+            assert not [s for s in secrets.spans(text) if s[2] == "key"], text
+
+
 def test_base_patterns():
     text = 'PassWord = "abcdefghijkl" secret=short api-key: x apikey:abcdefghijkl/+= AKIA1234567890ABCD AKIA123 deadbeefdeadbeef0 \u017fecret=abcdefghijklm'
     got = [(k, text[a:b]) for a, b, k in secrets.spans(text)]

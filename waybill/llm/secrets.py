@@ -7,7 +7,8 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -18,13 +19,23 @@ KINDS = ("assign", "access", "hex", "key", "jwt")
 _ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-#: Base64 of either alphabet in one piece or in lines, as encoded keys begin with a sequence (0x30) of some length.
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-Za-z0-9+/_-]{31,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
-_LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{46,}(?![0-9A-Fa-f])")
+#: Where base64 of a key may begin, with a sequence (0x30) of some length or with OpenSSH's mark. The letter of an escaped line feed may stand before it.
+_BEGIN = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))(?:M|b3BlbnNzaC1rZXktdjE)(?=(?:[A-Za-z0-9+/_-]|\\+/){24})")
+#: Base64 of either alphabet in lines, slashes escaped or not. Between lines there are line feeds, escaped (once or more) or not, with indentation, quotes and commas of literals.
+_GAP = r"""(?:[\x20\t"',]|\\+["'t])*(?:\r?\n|\r|\\+[rn])(?:[\x20\t\r\n"',]|\\+[rnt"'])*"""
+_RUN = r"(?:[A-Za-z0-9+/_-]++|\\+/)++"
+_BODY = re.compile(rf"{_RUN}(?:{_GAP}{_RUN})*+")
+_BETWEEN = re.compile(rf"{_GAP}|\\+(?=/)")
+_GOES_ON = re.compile(r"[A-Za-z0-9+/_-]|\\+/")
+_PADDING = re.compile(r"(?:=|\\+u003[dD]){0,2}")
+_LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:30|6[Ff]70656[Ee]7373682[Dd]6[Bb]65792[Dd]7631)[0-9A-Fa-f]{46,}(?![0-9A-Fa-f])")
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-#: Tags of the values that a private key is made of: integer, bit string, octet string, null, object identifier, sequence, set; explicit fields from 0xA0 on.
-_INTEGER, _OCTETS, _SEQUENCE, _CONSTRUCTED = 0x02, 0x04, 0x30, 0x20
-_TAGS = {0x02, 0x03, 0x04, 0x05, 0x06, 0x30, 0x31}
+#: Tags of the values that a private key is made of: integer, bit string, octet string, null, object identifier, sequence, set, a public key beside the private one; explicit fields from 0xA0 on.
+_INTEGER, _OCTETS, _OBJECT, _SEQUENCE, _CONSTRUCTED = 0x02, 0x04, 0x06, 0x30, 0x20
+_TAGS = {0x02, 0x03, 0x04, 0x05, 0x06, 0x30, 0x31, 0x81}
+#: Identifiers of encryption by password begin so (PKCS#5, PKCS#12). A digest's encoding is a sequence and octets too, with other identifiers.
+_BY_PASSWORD = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+_OPENSSH = b"openssh-key-v1\0"
 _DEPTH = 16
 
 
@@ -54,19 +65,67 @@ def _elements(data: bytes, depth: int = 0) -> list[tuple[int, bytes]] | None:
 
 
 def is_private_key(data: bytes) -> bool:
-    """One sequence that fills the data: a small version, then an algorithm and octets, or octets, or at least five more integers."""
+    """One sequence that fills the data: a small version, then an algorithm and octets, or octets, or at least five more integers; or an encryption by password and octets."""
     outer = _elements(data)
     if not outer or len(outer) != 1 or outer[0][0] != _SEQUENCE:
         return False
     fields = _elements(outer[0][1])
-    if not fields or len(fields) < 2 or fields[0][0] != _INTEGER or fields[0][1] not in (b"\0", b"\1"):
+    if not fields or len(fields) < 2:
         return False
     tags = [t for t, _ in fields]
+    if tags == [_SEQUENCE, _OCTETS]:
+        how = _elements(fields[0][1])
+        return [t for t, _ in how] == [_OBJECT, _SEQUENCE] and how[0][1].startswith(_BY_PASSWORD)
+    if tags[0] != _INTEGER or fields[0][1] not in (b"\0", b"\1"):
+        return False
     return tags[1:3] == [_SEQUENCE, _OCTETS] or tags[1] == _OCTETS or (len(tags) >= 6 and all(t == _INTEGER for t in tags[:6]))
 
 
+def _openssh_size(read: Callable[[int, int], bytes]) -> int:
+    """Bytes of the OpenSSH private key that begins where read(place, n) counts from; 0 if there is none. Of a key that is not encrypted the inner marks have to agree too."""
+
+    def string(at: int) -> tuple[int, int]:
+        """Place and length of what a 32-bit length stands before; it has to be there to its end."""
+        head = read(at, 4)
+        n = int.from_bytes(head, "big")
+        if len(head) < 4 or (n and not read(at + 3 + n, 1)):
+            raise ValueError(at)
+        return at + 4, n
+
+    if read(0, len(_OPENSSH)) != _OPENSSH:
+        return 0
+    try:
+        at, names = len(_OPENSSH), []
+        for _ in range(3):  # cipher, derivation of its key, options of that
+            at, n = string(at)
+            names.append(read(at, n) if n <= 64 else b"")
+            at += n
+        keys, kinds = int.from_bytes(read(at, 4), "big"), []
+        at += 4
+        for _ in range(keys):
+            start, n = string(at)
+            kind, size = string(start)
+            if not size or size > 64 or size + 4 > n:
+                return 0
+            kinds.append(read(kind, size))
+            at = start + n
+        start, n = string(at)
+        if not kinds or not names[0] or not names[1] or not n or n % 8:
+            return 0
+        if names[0] == b"none":
+            kind, size = string(start + 8)
+            if read(start, 4) != read(start + 4, 4) or size != len(kinds[0]) or read(kind, size) != kinds[0]:
+                return 0
+        return start + n
+    except ValueError:
+        return 0
+
+
+_PLAIN = str.maketrans("-_", "+/")
+
+
 def _decoded(text: str) -> bytes:
-    plain = text.replace("\r", "").replace("\n", "").rstrip("=").translate(str.maketrans("-_", "+/"))
+    plain = text.rstrip("=").translate(_PLAIN)
     try:
         return base64.b64decode(plain + "=" * (-len(plain) % 4), validate=True)
     except (binascii.Error, ValueError):
@@ -83,19 +142,70 @@ def _sequence_size(data: bytes) -> int:
     return 2 + more + int.from_bytes(data[2 : 2 + more], "big") if 1 <= more <= 4 else 0
 
 
-def _key_end(text: str) -> int:
-    """Where in base64 text the private key ends that it begins with; 0 if there is none. What follows may be other text, from a new line on."""
-    size = _sequence_size(_decoded(re.sub(r"\s", "", text)[:8]))
-    wanted = -(-4 * size // 3)
-    if not size or wanted > len(text):
-        return 0
-    places = [i for i, c in enumerate(text) if c not in "\r\n="]
-    if wanted > len(places):
-        return 0
-    end = places[wanted - 1] + 1
-    if text[end : end + 1] not in ("", "\r", "\n", "=") or not is_private_key(_decoded(text[:end])[:size]):
+class _Body:
+    """The base64 text from a place on, without what stands between its lines."""
+
+    def __init__(self, text: str, at: int) -> None:
+        self.text, self.end = text, _BODY.match(text, at).end()
+        self.starts, self.firsts, parts, n = [], [], [], 0  # of each piece: place in the text, number of its first symbol
+        for gap in (*_BETWEEN.finditer(text, at, self.end), None):
+            to = gap.start() if gap else self.end
+            if to > at:
+                self.starts.append(at)
+                self.firsts.append(n)
+                parts.append(text[at:to])
+                n += to - at
+            at = gap.end() if gap else to
+        self.symbols = "".join(parts).translate(_PLAIN)
+
+    def number(self, place: int) -> int:
+        """Of the symbol at a place of the text."""
+        k = bisect_right(self.starts, place) - 1
+        return self.firsts[k] + place - self.starts[k]
+
+    def after(self, number: int) -> int:
+        """The place after a symbol."""
+        k = bisect_right(self.firsts, number) - 1
+        return self.starts[k] + number - self.firsts[k] + 1
+
+    def read(self, first: int, at: int, n: int) -> bytes:
+        """n bytes, or as many as there are, from byte `at` on of what begins at symbol `first`."""
+        lo, hi = at // 3, -(-(at + n) // 3)
+        return _decoded(self.symbols[first + 4 * lo : first + 4 * hi])[at - 3 * lo :][:n]
+
+
+def _key_size(body: _Body, first: int) -> int:
+    """Bytes of the private key that begins at a symbol; 0 if there is none."""
+    head = body.read(first, 0, 16)
+    size = _sequence_size(head)
+    if not size:
+        return _openssh_size(lambda at, n: body.read(first, at, n))
+    inner = 2 if head[1] < 0x80 else 2 + head[1] - 0x80
+    if head[inner] not in (_INTEGER, _SEQUENCE) or first - (-4 * size // 3) > len(body.symbols):
         return 0
-    return end + len(text[end:]) - len(text[end:].lstrip("="))
+    return size if is_private_key(body.read(first, 0, size)) else 0
+
+
+def _keys(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of private keys in base64. The encoding tells where one ends; what follows may be other text, from a new line on."""
+    body, done = None, 0
+    for m in _BEGIN.finditer(text):
+        if m.start() < done:
+            continue
+        if body is None or m.start() >= body.end:
+            body = _Body(text, m.start())
+        first = body.number(m.start())
+        size = _key_size(body, first)
+        if not size:
+            continue
+        end = body.after(first - (-4 * size // 3) - 1)
+        if not _GOES_ON.match(text, end):
+            done = _PADDING.match(text, end).end()
+            yield m.start(), done
+
+
+def _is_key(data: bytes) -> bool:
+    return is_private_key(data) or _openssh_size(lambda at, n: data[at : at + n]) == len(data)
 
 
 def is_signed_token(header: str, payload: str) -> bool:
@@ -112,8 +222,8 @@ def spans(text: str) -> list[tuple[int, int, str]]:
     out = [(m.start(), m.end(), "assign") for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 12]
     out += [(m.start(), m.end(), "access") for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18]
     out += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
-    out += [(m.start(), m.start() + n, "key") for m in _BASE64.finditer(text) if (n := _key_end(m[0]))]
-    out += [(m.start(), m.end(), "key") for m in _LONG_HEX.finditer(text) if len(m[0]) % 2 == 0 and is_private_key(bytes.fromhex(m[0]))]
+    out += [(start, end, "key") for start, end in _keys(text)]
+    out += [(m.start(), m.end(), "key") for m in _LONG_HEX.finditer(text) if len(m[0]) % 2 == 0 and _is_key(bytes.fromhex(m[0]))]
     out += [(m.start(), m.end(), "jwt") for m in _SIGNED.finditer(text) if is_signed_token(m[1], m[2])]
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
@@ -150,7 +260,9 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, comma-joined, in code points).
 
-    The base kinds go by pattern alone. A `key` is base64 or hex that decodes to a private key's encoding, all nested lengths included; a `jwt` is a signed token whose
+    The base kinds go by pattern alone. A `key` is base64 or hex that decodes to a private key's encoding, all nested lengths included: PKCS#1, SEC1, DSA, PKCS#8, encrypted
+    PKCS#8 and OpenSSH, in lines or not, indented, with escaped line feeds or in string literals. Not taken are keys whose text has no such structure or another one: PEM bodies
+    encrypted the old way (Proc-Type), PKCS#12, PGP, PuTTY, JWK, and lines with other marks before them (comments, quoted mail). A `jwt` is a signed token whose
     header and payload decode to JSON objects, with an algorithm in the header. A null or empty text has no spans; nothing else of a row matters; an empty
     table gives no rows.
     """
