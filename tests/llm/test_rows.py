@@ -12,6 +12,7 @@ import plain
 import pyarrow as pa
 import pytest
 from helpers import frame, rows, sentence
+from pyspark.core.broadcast import Broadcast
 
 from waybill.llm import block_labeller, chat, decontamination, html_extraction, quality_rules, secrets
 from waybill.llm.fm_index import FMIndex, suffix_order
@@ -89,6 +90,18 @@ def test_benchmark_passages_are_found(spark, corpus, block_bytes):
     assert sorted((repr(r.doc_id) for r in clean.collect())) == sorted(repr(r[0]) for r in want if not r[5])
 
 
+@pytest.mark.parametrize("op", [decontamination.check, decontamination.clean])
+def test_passes_do_not_pile_up(spark, corpus, monkeypatch, op):
+    """One pass's patterns at a time: the plan holds the last one only, and the broadcasts of the others are gone."""
+    ended, destroy = [], Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: ended.append(1) or destroy(self, *a))
+    bench = spark.createDataFrame(_benchmark(corpus) * 2, "item_id long, text string")
+    made = op(frame(spark, [*corpus, *corpus[:9]]), bench, block_bytes=400)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1 and len(ended) > 2
+    if op is decontamination.check:
+        assert rows(made, *RESULT) == sorted(plain.hits([*corpus, *corpus[:9]], _benchmark(corpus)), key=repr)
+
+
 def test_empty_benchmark_and_documents(spark, corpus):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.check(frame(spark, corpus), none).where("n_hit > 0").count() == 0

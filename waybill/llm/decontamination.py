@@ -6,6 +6,7 @@ import hashlib
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from waybill.llm.fm_index import FMIndex
 from waybill.llm.repeats import covered_mask
 from waybill.llm.text import IN_PLAIN_WORD, LOWER, blocks, words
+from waybill.storage import as_table, new_folder
 
 #: Bytes of benchmark text that are searched for at once; a larger benchmark is searched for in as many passes as it takes.
 BLOCK_BYTES = 16 << 20
@@ -83,7 +85,8 @@ def search(hashes: np.ndarray, offsets: np.ndarray, p: Patterns) -> tuple[np.nda
     return at[index.locate(rows)], np.repeat(hit, n)
 
 
-_RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start:long,end:long>>, items array<string>"
+_FOUND = "spans array<struct<start:long,end:long>>, items array<string>"
+_RESULT = f"n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, {_FOUND}"
 
 
 def _verdicts(column: pa.Array, p: Patterns, spans: pa.Array | None, items: pa.Array | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, set[str]]]:
@@ -122,7 +125,7 @@ def _contaminated(n_hit: int, n_words: int) -> bool:
 
 
 def _pass(load: Callable[[], Patterns], state: tuple[str, str], kind: str):
-    """kind: `more` adds to spans and items (in the columns that state names), `last` gives the results, `clean` lets clean rows through as they are."""
+    """kind: `more` gives key, spans and items of the rows with hits, `last` the results, `clean` lets clean rows through as they are. state: columns with what earlier passes found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = load()
@@ -138,7 +141,8 @@ def _pass(load: Callable[[], Patterns], state: tuple[str, str], kind: str):
             found = pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             listed = pa.array(names, pa.list_(pa.string()))
             if kind == "more":
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), found, listed], [*own, *state])
+                hits = pa.RecordBatch.from_arrays([batch.column("key"), found, listed], ["key", "spans", "items"])
+                yield hits.filter(pa.array([h > 0 for h in hit], pa.bool_()))
                 continue
             digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]
             yield pa.RecordBatch.from_arrays(
@@ -156,21 +160,33 @@ def _searched(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: i
     passes = max(1, math.ceil(total / block_bytes))
     mark = "_" * (1 + max(len(c) for c in docs.columns))  # longer than any name that is there
     state = (f"{mark}spans", f"{mark}items")
-    between = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{state[0]}` array<struct<start:long,end:long>>", f"`{state[1]}` array<string>"])
+    if passes > 1:
+        benchmark = benchmark.select("item_id", "text").distinct()
+    key, earlier = F.md5(F.col("text").cast("binary")), []  # what is found depends on the text alone
     for k in range(passes):
         part = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else benchmark
-        # About block_bytes of text, whatever the benchmark's size: what the driver and the tasks hold of it has a bound.
+        # About block_bytes of text, whatever the benchmark's size: a pass is over, its hits written and its patterns given up before the next one begins.
         held = spark.sparkContext.broadcast(patterns_of([(r.item_id, r.text) for r in part.select("item_id", "text").collect()], window))
-        final = k == passes - 1
-        docs = docs.mapInArrow(_pass(lambda held=held: held.value, state, last if final else "more"), schema if final else between)
-    return docs
+        load = lambda held=held: held.value
+        if k < passes - 1:
+            hits = docs.select(key.alias("key"), "text").mapInArrow(_pass(load, state, "more"), f"key string, {_FOUND}")
+            once = hits.groupBy("key").agg(F.first("spans").alias("spans"), F.first("items").alias("items"))
+            earlier.append(as_table(once, new_folder(spark, "hits")))
+            held.destroy()
+    if earlier:
+        hits = reduce(DataFrame.union, earlier).groupBy("key").agg(*(F.flatten(F.collect_list(c)).alias(n) for c, n in zip(("spans", "items"), state)))
+        found = docs.withColumn(f"{mark}key", key).join(hits.withColumnRenamed("key", f"{mark}key"), f"{mark}key", "left")
+        docs = found.select(*(f"`{c}`" for c in docs.columns), *(F.coalesce(n, F.array().cast(hits.schema[n].dataType)).alias(n) for n in state))
+    return docs.mapInArrow(_pass(load, state, last), schema)
 
 
 def check(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans (of words, merged), items (sorted).
 
     Words are runs of digits, letters and characters beyond ASCII, with A-Z lower-cased. A window is `window` consecutive words of a benchmark item, or all
-    of an item with fewer. Every shard (a run of rows of a task) is indexed on its own and searched for all windows; nothing is shuffled.
+    of an item with fewer. Every shard (a run of rows of a task) is indexed on its own and searched for all windows; nothing is shuffled if one pass does.
+    Passes are jobs of their own, each over docs; the last one joins what the others found by a hash of the text, which shuffles docs once.
+    The tables with that stay in the shared folder until the session's folder is cleared.
 
     A null or empty text has no words and no hits; an item without id or words has no windows; items with one id count once; repeated rows
     get equal results; other columns are ignored; empty tables are fine (no benchmark: no hits).
