@@ -48,6 +48,16 @@ def test_one_hot_row(spark):
     assert all(n == 1875 and top == 1874 for n, top in counts.values()) and len(counts) == 16
 
 
+def test_an_id_with_very_many_texts(spark):
+    """Its rows are ranked in parts, in the order that a sort gives, and no range of checksums has very many of them."""
+    docs = spark.range(4_000).select(F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    kinds = docs.select(F.lit(3).alias("cell"), "doc_id", F.octet_length("text").alias("size"), F.crc32("text").alias("text_crc32"), F.lit(2).alias("n"))
+    found = sorted(sharding._ranked(kinds).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text_crc32, r["size"]))
+    assert [r["first"] for r in found] == list(range(0, 8_000, 2))
+    plan = sharding._ranked(kinds)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 2 and max(Counter((r.doc_id, r.text_crc32 >> 22) for r in found).values()) < 20
+
+
 def test_overflow_goes_on_clockwise():
     nodes = [(10, 0), (20, 1), (30, 2)]
     assert sharding.allocate({5: 6, 15: 1, 25: 2}, nodes, [3, 3, 3]) == [(5, 0, 3, 0, 0), (15, 0, 1, 1, 0), (25, 0, 2, 2, 0), (5, 3, 5, 1, 1), (5, 5, 6, 2, 2)]
@@ -55,6 +65,24 @@ def test_overflow_goes_on_clockwise():
 
 # --- packs ----------------------------------------------------------------------------------------------------
 
+def test_a_piece_that_is_there_very_often(spark, monkeypatch):
+    """Its copies are ranked in several places, and every place of a sequence is still taken once."""
+    monkeypatch.setattr(packing, "_COPIES", 50)
+    most, blocked = [], packing._blocked
+
+    def seen(pieces, total):
+        out = blocked(pieces, total)
+        most.append(max(r["count"] for r in out.groupBy(*packing._BLOCK).count().collect()))
+        return out
+
+    monkeypatch.setattr(packing, "_blocked", seen)
+    docs = [(None, None)] * 600 + [(k % 7, f"word {k % 40}") for k in range(300)]
+    got = packing.pack(frame(spark, docs), TOKENIZER, 64, with_ids=True).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in docs) and most[0] < 150
+    taken = sorted((r.sequence_id, r.offset, r.length) for r in got)
+    assert all(a[0] < b[0] or a[1] + a[2] == b[1] for a, b in zip(taken, taken[1:])) and len({t[:2] for t in taken}) == len(docs)
+
+
 @pytest.mark.parametrize("size", [64, 2048])
 def test_packing(spark, corpus, size):
     docs = [*corpus, (None, "none"), (500, "<|endoftext|> a\u00a0b\u2003c 'S 12 Σς"), (501, "two\x0brows"), (501, "two\x0brows")]

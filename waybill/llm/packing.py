@@ -10,7 +10,7 @@ from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from waybill.storage import as_table, new_folder
@@ -23,6 +23,8 @@ _REMEMBERED = 450_000
 _PROBE = "Ab\u00a0c\u2003D\u0085e 'S 12\tIt's\n\u00c9\u0130 x-Y,"
 #: Pieces of one length that are numbered in one place.
 _RANKED = 50_000
+#: Copies of one piece from which on they are ranked apart, in blocks of about so many. More of them where there are very many pieces, so that such pieces are 10,000 at most.
+_COPIES = 1_000
 
 
 class _Ids:
@@ -143,6 +145,25 @@ def slots(found: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int,
     return out
 
 
+def _blocked(pieces: DataFrame, total: int) -> DataFrame:
+    """pieces, a written table, with the block in which a piece's rank within its length is counted, so that neither a length nor a piece very many documents have is numbered in one place.
+
+    Blocks go by what a piece is; copies of a piece that is there very often have blocks of their own (`copied`), parted by their place in the table (`part`). Only copies change places by that.
+    """
+    kind = ("length", "doc_id", "start", "ids_crc32", "doc_tokens")
+    many = max(_COPIES, total // 10_000)
+    often = pieces.groupBy(*kind).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > many)
+    parts = often.select(*(F.col(c).alias(f"_{c}") for c in kind), F.xxhash64(*kind).alias("_copied"), F.floor(F.col("n") / many + 1).alias("_parts"))
+    same = functools.reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in kind))
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    block = F.pmod(F.xxhash64(*kind[1:]), F.lit(max(16, total // _RANKED)))
+    found = pieces.select("*", place.alias("_place")).join(F.broadcast(parts), same, "left")
+    return found.select(*pieces.columns, block.alias("block"), F.coalesce("_copied", F.lit(0)).alias("copied"), F.coalesce(F.pmod("_place", "_parts"), F.lit(0)).alias("part"))
+
+
+_BLOCK = ("length", "block", "copied", "part")
+
+
 def pack(docs: DataFrame, tokenizer: str, size: int = 2048, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and with_ids: the ids, little-endian 32-bit).
 
@@ -158,15 +179,12 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, with_ids: bool = Fal
     pieces = as_table(made if with_ids else made.drop("ids"), new_folder(spark, "pieces"))
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     places = spark.createDataFrame(slots(patterns(histogram, size)), "of long, lo long, hi long, first long, offset long")
-    # Ranks within a length are counted in blocks, so that a length very many documents have is not numbered in one place.
-    n_blocks = max(16, sum(histogram.values()) // _RANKED)
-    block = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(n_blocks))
-    blocked = pieces.withColumn("block", block)
-    sizes = blocked.groupBy("length", "block").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sizes.select("length", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
-    own = Window.partitionBy("length", "block").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
-    ranked = blocked.withColumn("nth", F.row_number().over(own) - 1).join(begins, ["length", "block"]).withColumn("rank", F.col("nth") + F.col("begin"))
+    blocked = _blocked(pieces, sum(histogram.values()))
+    sizes = blocked.groupBy(*_BLOCK).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy(*_BLOCK[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select(*_BLOCK, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    own = Window.partitionBy(*_BLOCK).orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
+    ranked = blocked.withColumn("nth", F.row_number().over(own) - 1).join(begins, list(_BLOCK)).withColumn("rank", F.col("nth") + F.col("begin"))
     # At most a few entries for each length: the table has a bound that comes of `size`.
     placed = ranked.join(F.broadcast(places), (F.col("length") == F.col("of")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
     extra = ["ids"] if with_ids else []

@@ -48,6 +48,18 @@ def allocate(demand: dict[int, int], nodes: list[tuple[int, int]], room: list[in
     return out
 
 
+def _ranked(kinds: DataFrame) -> DataFrame:
+    """kinds with `first`, the rows of the cell before them by doc_id, checksum and size. Rows are counted within 1,024 ranges of a document id's checksums first: an id may have very many texts."""
+    kinds = kinds.withColumn("part", F.shiftright("text_crc32", 22))
+    sums = kinds.groupBy("cell", "doc_id", "part").agg(F.sum("n").alias("rows"))
+    before = Window.partitionBy("cell").orderBy("doc_id", "part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sums.select(F.col("cell").alias("_cell"), F.col("doc_id").alias("_doc_id"), F.col("part").alias("_part"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("begin"))
+    within = Window.partitionBy("cell", "doc_id", "part").orderBy("text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    counted = kinds.withColumn("first", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    own = (F.col("cell") == F.col("_cell")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("part") == F.col("_part"))
+    return counted.join(begins, own).withColumn("first", F.col("first") + F.col("begin")).drop("part", "begin", "_cell", "_doc_id", "_part")
+
+
 def shard(docs: DataFrame, n_shards: int = 16, nodes: int = 512, cells: int = 1 << 16) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
@@ -70,8 +82,7 @@ def shard(docs: DataFrame, n_shards: int = 16, nodes: int = 512, cells: int = 1
     kinds = docs.groupBy(
         cell, "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text).alias("text_crc32")
     ).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("cell").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = kinds.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    ranked = _ranked(kinds)
     end = F.col("first") + F.col("n") - 1
     # The few thousand ranges have a size fixed by cells and nodes; a row meets those of its own cell only.
     placed = ranked.join(F.broadcast(places), "cell").where("first < hi AND first + n > lo").withColumns({
