@@ -18,9 +18,9 @@ from waybill.storage import as_table, new_folder
 SHINGLE = 5
 #: Retained values of a document: the least hashes of its set, or all of a smaller one.
 K = 32
-#: Values that sketches of linked documents share at least: of 32 values the mean is 24 at the threshold, and fewer than 8 come up once in 10^9 times.
+#: Values that sketches of linked documents share at least: of 32 values the mean is 24 at the threshold, and fewer than 8 come up 4.4 times in 10^10.
 _SHARED = 8
-#: The estimate below which a pair is dropped, in values of K: fewer than 10 of 32 come up once in 10^8 times at the threshold.
+#: The estimate below which a pair is dropped, in values of K: fewer than 10 of 32 come up 3.4 times in 10^8 at the threshold.
 _ESTIMATE = 10
 #: Members that are compared with a copy of their leader's set in one place.
 _MEMBERS = 500
