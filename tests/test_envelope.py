@@ -1,5 +1,5 @@
 import pytest
-from conftest import UUIDS, deliveries, envelope
+from core import UUIDS, deliveries, envelope
 
 from waybill.checks.derived import ENVELOPE_SCHEMA
 from waybill.operators import envelope as E, validation as V

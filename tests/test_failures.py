@@ -1,5 +1,5 @@
 import pytest
-from conftest import deliveries
+from core import deliveries
 from pyspark.sql import functions as F
 
 from waybill.operators import failures as X

@@ -1,4 +1,4 @@
-from conftest import COLUMNS, UUIDS, deliveries, envelope, routing
+from core import COLUMNS, UUIDS, deliveries, envelope, routing
 from pyspark.sql import functions as F
 
 from waybill.functions.formats import Format, default_formats

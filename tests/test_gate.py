@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import COLUMNS, UUIDS, deliveries, envelope, listing, routing
+from core import COLUMNS, UUIDS, deliveries, envelope, listing, routing
 from pyspark.sql import functions as F
 
 from waybill.operators import attachments as A, audit, gate, lookup

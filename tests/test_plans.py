@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import COLUMNS, deliveries, envelope, routing
+from core import COLUMNS, deliveries, envelope, routing
 
 import __spark_entry__ as registry
 from waybill.checks.queries import QUERIES

@@ -3,7 +3,7 @@ import time
 from pathlib import Path
 
 import pytest
-from conftest import COLUMNS, UUIDS, deliveries, envelope, listing
+from core import COLUMNS, UUIDS, deliveries, envelope, listing
 from pyspark.sql import functions as F
 
 from waybill.checks.derived import ENVELOPE_SCHEMA
