@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import chat, collocations, decontamination, html_extraction, minhash, packing, prefix_trie, quality_rules, secrets, sharding, substring_dedup, suffix_dedup
+from waybill.llm import chat, collocations, decontamination, fingerprints, html_extraction, minhash, packing, prefix_trie, quality_rules, secrets, sharding, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,3 +154,8 @@ whole AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
 FROM whole QUALIFY rank <= 2000
 """
+
+
+@query
+def op12_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf, "documents"))
