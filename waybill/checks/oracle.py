@@ -311,6 +311,8 @@ ORACLE: dict[str, str] = {
       SELECT {C}, contract_id, record_id FROM r WHERE rn = 1""",
     "unseen_records": f"""WITH {JUDGED}, {D.EVENT_SEEN} SELECT DISTINCT contract_id, record_id FROM valid
       ANTI JOIN seen USING (contract_id, record_id)""",
+    "unseen_indexed": f"""WITH {JUDGED}, {D.EVENT_SEEN} SELECT DISTINCT contract_id, record_id FROM valid
+      ANTI JOIN seen USING (contract_id, record_id)""",
     "seen_union": f"""WITH {SETTLED} SELECT contract_id, record_id FROM seen UNION SELECT contract_id, record_id FROM final WHERE outcome = 'applied'""",
     "seen_migrate": f"""WITH {JUDGED}, {D.EVENT_SEEN}, {D.EVENT_LEGACY},
       records AS (SELECT DISTINCT contract_id, record_id FROM valid),

@@ -17,8 +17,8 @@ from waybill.sources.config import read_listing
 from waybill.sources.delivery_log import read_log, stream_log, topic_matches
 from waybill.sources.stores import import_ids, read_back
 from waybill.storage import as_table, new_folder
-from waybill.streaming.gates import SeenTable
 from waybill.streaming.job import DeliveryJob, Settings
+from waybill.streaming.seen_index import IndexedSeenTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -318,6 +318,18 @@ def unseen_records(spark: SparkSession, sf: str) -> DataFrame:
     return gate.applied_coords(_valid(spark, sf), D.event_seen(spark, sf)).select(*RECORD)
 
 
+@query
+def unseen_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a seen-set with buckets and Bloom blocks, marked by two commits; a third one's own marks do not count."""
+    store = IndexedSeenTable(spark, new_folder(spark, "seen"))
+    seen, half = D.event_seen(spark, sf), F.pmod(F.xxhash64("record_id"), F.lit(2))
+    for commit in (0, 1):
+        store.mark(seen.where(half == commit), f"c{commit}")
+    records = as_table(_valid(spark, sf).select(*RECORD).distinct(), new_folder(spark, "asked"))
+    store.mark(records, "own")
+    return gate.unseen(records, store.known_among(records, "own"))
+
+
 @query
 def seen_union(spark: SparkSession, sf: str) -> DataFrame:
     return gate.union_seen(D.event_seen(spark, sf), _settled(spark, sf).where("outcome = 'applied'"))
@@ -359,7 +371,7 @@ def _job(spark: SparkSession, sf: str) -> DeliveryJob:
     """A job that has delivered the whole event log, in several micro-batches."""
     root = new_folder(spark, "job")
     D.event_log(spark, sf).repartition(4, "partition").write.parquet(f"{root}/log")
-    gate = SeenTable(spark, root)
+    gate = IndexedSeenTable(spark, root)
     gate.mark(D.event_seen(spark, sf), "before")
     job = DeliveryJob(
         spark, "events", root, lambda s: stream_log(s, f"{root}/log", max_files=2), D.event_listing,

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from waybill.schemas import COORDS, RECORD
 
+#: All records applied before, or what finds those among the records of a batch.
+Seen = DataFrame | Callable[[DataFrame], DataFrame]
+
 
 def first_delivery(ready: DataFrame) -> DataFrame:
     """The first delivery of every record, whole rows.
@@ -68,14 +72,16 @@ def by_record(rows: DataFrame, writable: Column) -> DataFrame:
     return rows.groupBy(*RECORD).agg(first.alias("first"), F.count(F.lit(1)).alias("deliveries"))
 
 
-def decide(records: DataFrame, seen: DataFrame, inherited: Inherited | None = None) -> DataFrame:
+def decide(records: DataFrame, seen: Seen, inherited: Inherited | None = None) -> DataFrame:
     """Adds `before`: whether a record was applied earlier. `records` (a table) has each record once.
 
     The seen-set grows for ever while a batch does not: a batch that Spark finds small enough by its files is
-    broadcast, and the seen-set is only read. Else both are shuffled, each record once.
+    broadcast, and the seen-set is only read. Else both are shuffled, each record once. A seen-set with an index is
+    asked for the batch's records instead.
     """
     ids = records.select(*RECORD)
-    found = known(ids, seen.join(ids, RECORD, "left_semi"), inherited).select(*RECORD).distinct()
+    own = seen(ids) if callable(seen) else seen.join(ids, RECORD, "left_semi")
+    found = known(ids, own, inherited).select(*RECORD).distinct()
     return records.join(found.withColumn("before", F.lit(True)), RECORD, "left").fillna(False, ["before"])
 
 

@@ -154,7 +154,7 @@ def _lost(spark: SparkSession, failures: list[TargetFailure]) -> DataFrame:
 
 
 def settle(
-    table: DataFrame, seen: DataFrame, inherited: gate.Inherited | None = None,
+    table: DataFrame, seen: gate.Seen, inherited: gate.Inherited | None = None,
     failures: list[TargetFailure] = (), work: str | None = None,
 ) -> DataFrame:
     """The outcome of every staged delivery: applied, duplicate, unattached or quarantined; exactly one each.
@@ -193,13 +193,15 @@ def pick(table: DataFrame, outcomes: DataFrame, outcome: str, *extra: str) -> Da
     return table.join(F.broadcast(keep) if fits_broadcast(keep) else keep, COORDS, "inner")
 
 
-def applied(table: DataFrame, outcomes: DataFrame, target: str) -> DataFrame:
-    """The deliveries to write to one target, with their lines. Both tables are laid out by target, and only that part of them is read.
+def applied(table: DataFrame, outcomes: DataFrame, target: str | None = None) -> DataFrame:
+    """The deliveries to write, with their lines: all, or those of one target. Both tables are laid out by target, and only that part of them is read.
 
     Most ready deliveries are applied, so those to leave out are the shorter list.
     """
-    ready = table.where((F.col("target") == target) & (F.col("verdict") == READY))
-    here = outcomes.where((F.col("target") == target) & (F.col("verdict") == READY))
+    wanted = F.col("verdict") == READY
+    if target is not None:
+        wanted = (F.col("target") == target) & wanted
+    ready, here = table.where(wanted), outcomes.where(wanted)
     drop = here.where("outcome <> 'applied'").select(*COORDS)
     if fits_broadcast(drop):
         return ready.join(F.broadcast(drop), COORDS, "left_anti")
@@ -220,18 +222,17 @@ def routed_lines(
 ) -> DataFrame:
     """The lines to write, straight from a log, for one that is read only for its lines. Starts jobs while it is planned.
 
-    Which deliveries are first and new is settled from ids and coordinates; lines are made in another reading of the log. The copies to
+    The log is read once: what could be written is a table, with its lines. Which of it is first and new is settled from ids and coordinates. The copies to
     leave out are broadcast if their counted size allows, so no line is shuffled; else lines are shuffled once, by their coordinates.
     """
-    ready = judge(log, routing, how="inner").where(F.col("verdict") == READY)
-    narrow = ready.select(*COORDS, *RECORD)
-    path = new_folder(log.sparkSession, "winners")
-    winners = as_table(gate.applied_coords(narrow, seen, inherited).select(*COORDS), path)
-    lines = with_line(ready, routing).select(*COORDS, *RECORD, "target", "line", *extra)
-    copies = narrow.select(*COORDS).join(winners, COORDS, "left_anti")
+    spark = log.sparkSession
+    ready = with_line(judge(log, routing, how="inner").where(F.col("verdict") == READY), routing)
+    table = as_table(ready.select(*COORDS, *RECORD, "target", "line", *extra), new_folder(spark, "ready"))
+    winners = as_table(gate.applied_coords(table.select(*COORDS, *RECORD), seen, inherited).select(*COORDS), new_folder(spark, "winners"))
+    copies = table.select(*COORDS).join(winners, COORDS, "left_anti")
     if fits_broadcast(copies):
-        return lines.join(F.broadcast(copies), COORDS, "left_anti")
-    return lines.join(winners, COORDS, "left_semi")
+        return table.join(F.broadcast(copies), COORDS, "left_anti")
+    return table.join(winners, COORDS, "left_semi")
 
 
 def target_headers(lines: DataFrame) -> DataFrame:

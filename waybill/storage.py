@@ -63,6 +63,10 @@ class Folder:
         handle = self._jvm.org.apache.hadoop.fs.Path(path)
         return handle.getFileSystem(self._conf), handle
 
+    def system(self) -> str:
+        """The file system that the root is on."""
+        return self._on(self.root)[0].getUri().toString()
+
     def exists(self, *parts: str) -> bool:
         fs, handle = self._on(self.path(*parts))
         return fs.exists(handle)
@@ -75,6 +79,15 @@ class Folder:
         fs, handle = self._on(self.path(*parts))
         fs.delete(handle, True)
 
+    def move(self, parts: tuple[str, ...], destination: str) -> None:
+        """Moves a folder to another place of the same file system, in place of what is there."""
+        fs, source = self._on(self.path(*parts))
+        _, handle = self._on(destination)
+        fs.mkdirs(handle.getParent())
+        fs.delete(handle, True)
+        if not fs.rename(source, handle):
+            raise OSError(f"{self.path(*parts)} could not be moved to {destination}")
+
     def names(self, *parts: str) -> list[str]:
         fs, handle = self._on(self.path(*parts))
         return sorted(s.getPath().getName() for s in fs.listStatus(handle)) if fs.exists(handle) else []

@@ -14,7 +14,8 @@ import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import partial
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -27,8 +28,9 @@ from waybill.operators.validation import compile_rules
 from waybill.plans import delivery as P
 from waybill.schemas import CHANGES, DEAD_LETTER, OUTCOMES, STAGED
 from waybill.storage import Folder
-from waybill.streaming.gates import Gate, SeenTable
-from waybill.streaming.targets import DeadLetters, FileTarget, Target
+from waybill.streaming.gates import Gate
+from waybill.streaming.seen_index import IndexedSeenTable
+from waybill.streaming.targets import DeadLetters, Target, TogetherTarget
 
 log = logging.getLogger("waybill")
 
@@ -61,8 +63,8 @@ class DeliveryJob:
         self.spark, self.name, self.source, self.listing = spark, name, source, listing
         self.schema_text, self.settings = schema_text, settings
         self.folder = Folder(spark, root)
-        self.target = target or FileTarget(spark, self.folder.path("targets"))
-        self.gate = gate or SeenTable(spark, root)
+        self.target = target or TogetherTarget(spark, self.folder.path("targets"))
+        self.gate = gate or IndexedSeenTable(spark, root)
         self.formats = formats or default_formats()
         self.dead_letter_sink = dead_letters
         self.rules = compile_rules(schema_text)
@@ -153,16 +155,17 @@ class DeliveryJob:
         place = ("outcomes", f"commit={commit}")
         if lost or not self.folder.complete(*place):
             work = self.folder.path("work", f"commit={commit}")
-            rows = P.settle(table, self.gate.seen(commit), self.gate.inherited(), lost, work)
+            seen = partial(self.gate.known_among, commit=commit) if isinstance(self.gate, IndexedSeenTable) else self.gate.seen(commit)
+            rows = P.settle(table, seen, self.gate.inherited(), lost, work)
             rows.write.mode("overwrite").partitionBy("target").parquet(self.folder.path(*place))
             self.folder.remove("work", f"commit={commit}")
         return table.sparkSession.read.schema(OUTCOMES).parquet(self.folder.path(*place))
 
     def _write(self, table: DataFrame, outcomes: DataFrame, commit: str) -> list[P.TargetFailure]:
-        """Writes every target with bounded retry; a target that fails does not stop the others.
-
-        The targets of a batch come one by one from an iterator; there are at most as many as attachments.
-        """
+        """Writes every target with bounded retry; a target that fails does not stop the others."""
+        if isinstance(self.target, TogetherTarget):
+            return self._write_together(table, outcomes, commit)
+        # The targets of a batch come one by one from an iterator; there are at most as many as attachments.
         targets = outcomes.where("outcome = 'applied'").select("target").distinct()
         with ThreadPoolExecutor(self.settings.parallel_targets) as pool:
             tried = [pool.submit(self._write_one, table, outcomes, t.target, commit) for t in targets.toLocalIterator()]
@@ -171,10 +174,30 @@ class DeliveryJob:
     def _write_one(self, table: DataFrame, outcomes: DataFrame, target: str, commit: str) -> P.TargetFailure | None:
         lines = P.applied(table, outcomes, target)
         header = P.target_headers(lines).first().header
+        return self._tried(lambda: self.target.write(lines, target, header, commit), target)
+
+    def _write_together(self, table: DataFrame, outcomes: DataFrame, commit: str) -> list[P.TargetFailure]:
+        """One job for the headers and one for the lines of all targets, which then get their parts one after the other.
+
+        Header lines are configuration: there are at most as many as attachments.
+        """
+        lines, done = P.applied(table, outcomes), self.target.finished(commit)
+        headers = {r.target: r.header for r in P.target_headers(lines).collect() if r.target not in done}
+        if not headers:
+            return []
+        failed = self._tried(lambda: self.target.stage(lines, commit), "all")
+        if failed is not None:
+            return [replace(failed, target=target) for target in headers]
+        tried = {t: self._tried(lambda: self.target.publish(lines, t, h, commit), t) for t, h in headers.items()}
+        self.target.finish([*done, *(t for t, failure in tried.items() if failure is None)], commit)
+        return [failure for failure in tried.values() if failure is not None]
+
+    def _tried(self, write: Callable[[], None], target: str) -> P.TargetFailure | None:
+        """Does a write, again if that may help, and tells why it did not work in the end."""
         pauses = self.settings.retry.sleeps()
         for attempt in range(1, self.settings.retry.max_attempts + 1):
             try:
-                self.target.write(lines, target, header, commit)
+                write()
                 return None
             except Exception as error:  # noqa: BLE001 - classified below
                 retriable = failures.error_class(error) == failures.RETRIABLE
