@@ -118,3 +118,37 @@ def test_a_hot_passage_is_not_gathered(spark):
     docs = repeats.keyed(frame(spark, [(k, "the same passage " * 30) for k in range(50)]))
     plan = docs.mapInArrow(suffix_dedup._stretches(200), repeats.STRETCH).groupBy("anchor").count()._jdf.queryExecution().toString()
     assert plan.count("partial_count") >= 1
+
+
+def test_many_edited_copies_around_the_threshold(spark, monkeypatch):
+    """Members of one list that are not linked with its least meet in blocks; no link is lost and none made up."""
+    monkeypatch.setattr(minhash, "_MEMBERS", 40)
+    rng = random.Random(17)
+    base = sentence(rng, 150, 10**6).split()
+    docs = []
+    for k in range(400):
+        own = list(base)
+        for _ in range(rng.randrange(14)):
+            own[rng.randrange(len(own))] = f"e{rng.randrange(40)}"
+        docs.append((k, " ".join(own)))
+    same(rows(minhash.groups(frame(spark, docs)), *GROUPS), plain.near(docs))
+
+
+def morse(n, a, b):
+    """The Thue-Morse word of 2^n symbols: polynomials modulo a power of two take it and its complement for one, whatever the base."""
+    return "".join(b if bin(k).count("1") % 2 else a for k in range(1 << n))
+
+
+def test_texts_made_to_collide(spark):
+    one, other = morse(11, "a", "b"), morse(11, "b", "a")
+    docs = [(1, one), (2, other)]
+    assert {r.component_id for r in minhash.groups(frame(spark, docs)).collect()} == {1, 2}
+    same(rows(suffix_dedup.remove(frame(spark, docs), 1500), *BYTES), plain.byte_dedup(docs, 1500))
+    rng = random.Random(1)
+    lines = [sentence(rng, 34, 10**6) for _ in range(1)]
+    docs = [(1, f"{lines[0]} {one}"), (2, f"{lines[0]} {other}")]
+    same(rows(substring_dedup.remove(frame(spark, docs)), *WORDS), plain.word_dedup(docs, 35))
+    # Words of the same pattern, too.
+    docs = [(1, " ".join(morse(10, "a", "b"))), (2, " ".join(morse(10, "b", "a")))]
+    same(rows(minhash.groups(frame(spark, docs)), *GROUPS), plain.near(docs))
+    same(rows(substring_dedup.remove(frame(spark, docs), 600), *WORDS), plain.word_dedup(docs, 600))

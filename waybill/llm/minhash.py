@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from waybill.llm.components import components
 from waybill.llm.repeats import KEY, keyed
 from waybill.llm.text import LOWER, WORDS, blocks, mixed, words
+from waybill.operators.lookup import join_config, join_unique
 from waybill.storage import as_table, new_folder
 
 SHINGLE = 5
@@ -22,7 +23,7 @@ K = 32
 _SHARED = 8
 #: The estimate below which a pair is dropped, in values of K: fewer than 10 of 32 come up 3.4 times in 10^8 at the threshold.
 _ESTIMATE = 10
-#: Members that are compared with a copy of their leader's set in one place.
+#: Members of either side, about, that meet in one place.
 _MEMBERS = 500
 
 
@@ -74,69 +75,106 @@ def _posted(classes: DataFrame) -> DataFrame:
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose overlap in the sketch of their union leaves a link possible."""
+    """Pairs (a, b), a table, whose overlap in the sketch of their union leaves a link possible."""
     side = classes.select("cid", "n", "sketch")
     left = side.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = side.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    near = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where("4 * na >= 3 * nb AND 4 * nb >= 3 * na")
+    # A leader may have very many pairs, any other class has a few lists' leaders only.
+    near = join_unique(pairs, left, ["a"], ["b"]).join(right.hint("merge"), "b").where("4 * na >= 3 * nb AND 4 * nb >= 3 * na")
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, K)
     both = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
     return near.where(K * both >= _ESTIMATE * F.least(F.size(F.array_union("sa", "sb")), F.lit(K))).select("a", "b")
 
 
+def _packed(members: np.ndarray) -> bytes:
+    """Six bytes of each hash, which tell the members of two sets apart."""
+    return np.unique(members & np.uint64((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(x: bytes) -> np.ndarray:
+    out = np.zeros((len(x) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+_PLACES = "array<struct<g:bigint,i:int,j:int,side:int,c:bigint>>"
+_SETS = "g long, i int, j int, side int, c long, n long, members binary"
+
+
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A document's whole set for every pair that asks for it. Six bytes of each hash tell the members of two sets apart."""
+    """A document's whole set for every place that asks for it."""
     for batch in batches:
         for k in range(batch.num_rows):
             places = batch.column("places")[k].as_py()
             for _, data, offsets in blocks(batch.column("text").slice(k, 1)):
                 whole = next(_sets(data, offsets))
-            packed = np.unique(whole & np.uint64((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+            packed = _packed(whole)
             for at in range(0, len(places), 64):
                 part = places[at : at + 64]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p["a"] for p in part], pa.int64()), pa.array([p["salt"] for p in part], pa.int32()),
-                     pa.array([p["b"] for p in part], pa.int64()), pa.array([len(whole)] * len(part), pa.int64()), pa.array([packed] * len(part), pa.binary())],
-                    ["a", "salt", "b", "n", "members"],
-                )
+                columns = [pa.array([p[c] for p in part], t) for c, t in (("g", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("c", pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([len(whole)] * len(part), pa.int64()), pa.array([packed] * len(part), pa.binary())], ["g", "i", "j", "side", "c", "n", "members"])
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among rows in order of leader (its own set first, with b null) and salt."""
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the two sides of each place (g, i, j), whose rows follow each other, side 0 first.
 
-    def unpack(x: bytes) -> np.ndarray:
-        out = np.zeros((len(x) // 6, 8), np.uint8)
-        out[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
-        return out.view("<u8").ravel()
-
-    leader, n_leader = np.empty(0, np.uint64), 0
+    The sets of side 0 are one inverted list; each set of side 1 counts through it what it has in common with all of them at once. Only links leave the task.
+    """
+    place, ids, sizes, held, values, owners = None, [], [], [], None, None
     for batch in batches:
         u, v = [], []
-        for a, b, n, members in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "n", "members"))):
-            if b is None:
-                leader, n_leader = unpack(members), n
+        for *key, side, c, n, members in zip(*(batch.column(x).to_pylist() for x in ("g", "i", "j", "side", "c", "n", "members"))):
+            if key != place:
+                place, ids, sizes, held, values = key, [], [], [], None
+            if side == 0:
+                ids.append(c)
+                sizes.append(n)
+                held.append(_unpacked(members))
                 continue
-            both = len(np.intersect1d(leader, unpack(members), assume_unique=True))
-            if 100 * both >= 75 * (n + n_leader - both):
-                u.append(a)
-                v.append(b)
+            if not ids:
+                continue
+            if values is None:
+                together = np.concatenate(held)
+                order = np.argsort(together, kind="stable")
+                values, owners = together[order], np.repeat(np.arange(len(held)), [len(x) for x in held])[order]
+                of = np.array(sizes)
+            own = _unpacked(members)
+            lo, hi = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+            count = hi - lo
+            at = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+            both = np.bincount(owners[at], minlength=len(ids))
+            for k in np.flatnonzero(100 * both >= 75 * (n + of - both)).tolist():
+                if ids[k] != c:
+                    u.append(ids[k])
+                    v.append(c)
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold, as a table (u, v). A leader's set is copied for every _MEMBERS members."""
+def _links_at(places: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The links, as a table (u, v), between the sides of every place; places: cid, g, i, j, side. A set is worked out once and copied to its places."""
     spark = docs.sparkSession
-    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / _MEMBERS).cast("int").alias("salts"))
-    salted = pairs.join(counts.hint("merge"), "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
-    members = salted.select(F.col("b").alias("cid"), "a", "salt", "b")
-    leaders = counts.select(F.col("a").alias("cid"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"))
-    wanted = members.union(leaders).join(classes.select("cid", "one").hint("merge"), "cid")
-    asked = wanted.groupBy("one").agg(F.collect_list(F.struct("a", "salt", "b")).alias("places"))
+    wanted = places.join(classes.select("cid", "one").hint("merge"), "cid")
+    asked = wanted.groupBy("one").agg(F.collect_list(F.struct("g", "i", "j", "side", F.col("cid").alias("c"))).cast(_PLACES).alias("places"))
     asked = as_table(asked.select(*(F.col(f"one.{k}").alias(f"_{k}") for k in KEY), "places"), new_folder(spark, "asked"))
     found = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")))
-    sets = found.select("text", "places").mapInArrow(_with_sets, "a long, salt int, b long, n long, members binary")
-    ordered = sets.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return as_table(ordered.select("a", "b", "n", "members").mapInArrow(_verified, "u long, v long"), new_folder(spark, "links"))
+    sets = found.select("text", "places").mapInArrow(_with_sets, _SETS)
+    ordered = sets.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side")
+    return as_table(ordered.mapInArrow(_met, "u long, v long").distinct(), new_folder(spark, "links"))
+
+
+def _part(parts: str) -> Column:
+    return F.pmod(F.xxhash64("cid"), F.col(parts)).cast("int")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b), a table, whose whole sets reach the threshold. A leader meets its members in parts of about _MEMBERS."""
+    few = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / _MEMBERS).cast("int").alias("parts"))
+    # Only leaders with several parts need to be looked up, and there are few of them.
+    several = few.where("parts > 1")
+    salted = join_config(pairs, several, ["a"], ["b"]).fillna(1, ["parts"]).withColumn("cid", F.col("b"))
+    members = salted.select("cid", F.col("a").alias("g"), _part("parts").alias("i"), F.lit(0).alias("j"), F.lit(1).alias("side"))
+    leaders = few.select(F.col("a").alias("cid"), F.col("a").alias("g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
+    return _links_at(members.union(leaders), docs, classes)
 
 
 def _leaders(lists: DataFrame) -> DataFrame:
@@ -172,21 +210,25 @@ def _held_in_common(few: DataFrame, docs: DataFrame, classes: DataFrame) -> Data
 
 
 def _rest(lists: DataFrame, labels: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of a list's members that are not in one component yet, and that have enough in common with others to be linked.
+    """Links, as a table (u, v), among a list's members that are not in one component yet, and that have enough in common with others to be linked.
 
-    One side leaves out the list's largest component. A pair at the threshold shares 3/7 of the sum of its sizes.
+    Those outside the list's largest component (side 1) meet all members (side 0), block by block of either side: no pair is a row, and each place holds _MEMBERS sets about.
     """
     spark = lists.sparkSession
     labelled = lists.join(labels.hint("merge"), F.col("cid") == F.col("node"), "left").select("key", "cid", F.coalesce("label", "cid").alias("label"))
     sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
-    mixed_ = sizes.groupBy("key").agg(F.max(F.struct("k", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select("key", "most")
+    mixed_ = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select("key")
     labelled = as_table(labelled.join(mixed_.hint("merge"), "key"), new_folder(spark, "mixed"))
-    common = _held_in_common(labelled.select("cid").distinct(), docs, classes).where("4 * common >= 3 * n")
+    common = _held_in_common(labelled.select("cid").distinct(), docs, classes).where("4 * common >= 3 * n").select("cid")
     able = as_table(labelled.join(as_table(common, new_folder(spark, "able")).hint("merge"), "cid"), new_folder(spark, "able"))
-    few = able.where("label <> most").select("key", F.col("cid").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), F.col("common").alias("cx"))
-    enough = "7 * least(common, cx) >= 3 * (n + nx)"
-    met = few.join(able.hint("merge"), "key").where(f"lx <> label AND (label = most OR x < cid) AND {enough}")
-    return met.select(F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct()
+    left = able.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
+    parts = [F.ceil(x / _MEMBERS).cast("int") for x in (F.sum("k") - F.max("k"), F.sum("k"))]
+    blocks_ = left.groupBy("key").agg(F.max(F.struct("k", "label"))["label"].alias("most"), parts[0].alias("few"), parts[1].alias("all")).where("few > 0")
+    placed = as_table(join_unique(able, as_table(blocks_, new_folder(spark, "blocks")), ["key"], ["cid"]).where("few IS NOT NULL"), new_folder(spark, "placed"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    side0 = placed.select("cid", F.col("key").alias("g"), every("few").alias("i"), _part("all").alias("j"), F.lit(0).alias("side"))
+    side1 = placed.where("label <> most").select("cid", F.col("key").alias("g"), _part("few").alias("i"), every("all").alias("j"), F.lit(1).alias("side"))
+    return _links_at(side0.union(side1), docs, classes)
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -196,7 +238,8 @@ def groups(docs: DataFrame) -> DataFrame:
     Documents are linked if their sets' Jaccard similarity is 0.75 or more, by exact count; component_id is the least doc_id that links lead to.
 
     Equal sets are one class from the start. Inverted lists of retained values give candidates: first every member with its list's least, which joins most copies of
-    a group without making pairs of them all; then only members of one list that are still in different components. The sketch of a pair's union drops pairs, whole sets confirm the rest.
+    a group without making pairs of them all, and of which the sketch of a pair's union drops some; then members of one list that are still in different components meet in
+    blocks. Whole sets confirm all links.
 
     A null, empty or blank text has an empty set and is linked with nothing; a null doc_id takes part in links, but a component is named by an id if it has one;
     rows with one doc_id are one document as to `kept`; other columns are ignored; an empty table gives no rows.
@@ -210,11 +253,10 @@ def groups(docs: DataFrame) -> DataFrame:
     )
     classes = as_table(classes, new_folder(spark, "classes"))
     lists = as_table(_posted(classes), new_folder(spark, "lists"))
-    first = as_table(_estimated(_leaders(lists), classes), new_folder(spark, "pairs"))
+    first = as_table(_estimated(as_table(_leaders(lists), new_folder(spark, "pairs")), classes), new_folder(spark, "pairs"))
     links = _links(first, docs, classes)
-    second = _estimated(_rest(lists, as_table(components(links), new_folder(spark, "labels")), docs, classes), classes)
-    second = as_table(second.join(first.hint("merge"), ["a", "b"], "left_anti"), new_folder(spark, "pairs"))
-    labels = as_table(components(links.union(_links(second, docs, classes))), new_folder(spark, "labels"))
+    more = _rest(lists, as_table(components(links), new_folder(spark, "labels")), docs, classes)
+    labels = as_table(components(links.union(more)), new_folder(spark, "labels"))
     named = classes.select("cid", "least").join(labels.hint("merge"), F.col("cid") == F.col("node"), "left").select("cid", "least", F.coalesce("label", "cid").alias("label"))
     names = named.groupBy("label").agg(F.min("least").alias("component_id"))
     ids = as_table(named.join(names.hint("merge"), "label").select("cid", "component_id"), new_folder(spark, "names"))

@@ -54,37 +54,81 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+PRIME = np.uint64((1 << 61) - 1)
+_LOW30, _LOW31 = np.uint64((1 << 30) - 1), np.uint64((1 << 31) - 1)
+_1, _30, _31, _61 = (np.uint64(k) for k in (1, 30, 31, 61))
+#: Numbers multiplied at once: what comes in between stays near the processor.
+_CHUNK = 1 << 13
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit number modulo PRIME. Of x and x - PRIME the lesser one is right, as the latter wraps round below 0."""
+    x = (x & PRIME) + (x >> _61)
+    return np.minimum(x, x - PRIME)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME for numbers up to it, by halves: 2^61 counts as one."""
+    out = np.empty(len(a), np.uint64)
+    for lo in range(0, len(a), _CHUNK):
+        x, y = a[lo : lo + _CHUNK], b[lo : lo + _CHUNK] if len(b) > 1 else b
+        xh, xl, yh, yl = x >> _31, x & _LOW31, y >> _31, y & _LOW31
+        middle = xh * yl
+        middle += xl * yh
+        xh *= yh
+        xh <<= _1
+        xl *= yl
+        xh += xl
+        xh += middle >> _30
+        middle &= _LOW30
+        middle <<= _31
+        xh += middle
+        out[lo : lo + _CHUNK] = _reduced(xh)
+    return out
+
+
 class Polynomial:
-    """Hashes of any run of a sequence from prefix sums: sum of symbol * base^place modulo 2^64, moved to place 0."""
+    """Hashes of any run of a sequence from prefix sums: sum of symbol * base^place modulo 2^61 - 1, moved to place 0.
+
+    Modulo a prime no structure of a text makes two runs collide more often than chance does; modulo a power of two it can, whatever the base.
+    """
 
     def __init__(self, base: int):
-        self._base, self._inverse = base | 1, pow(base | 1, -1, 1 << 64)
+        p = int(PRIME)
+        self._base, self._inverse = base % p, pow(base % p, -1, p)
         self._powers = self._back = np.ones(1, np.uint64)
 
     def _grow(self, n: int) -> None:
-        if len(self._powers) < n:
-            n = max(n, 2 * len(self._powers))
-
-            def powers(x: int) -> np.ndarray:
-                steps = np.full(n, x, np.uint64)
-                steps[0] = 1
-                return np.cumprod(steps)
-
-            self._powers, self._back = powers(self._base), powers(self._inverse)
+        while len(self._powers) < n:
+            k = len(self._powers)
+            step, back = (np.array([pow(x, k, int(PRIME))], np.uint64) for x in (self._base, self._inverse))
+            self._powers = np.concatenate([self._powers, _times(self._powers, step)])
+            self._back = np.concatenate([self._back, _times(self._back, back)])
 
     def prefixes(self, symbols: np.ndarray) -> np.ndarray:
         self._grow(len(symbols) + 1)
+        terms = _times(symbols & PRIME, self._powers[: len(symbols)])
         out = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(symbols * self._powers[: len(symbols)], out=out[1:])
+        high = low = np.uint64(0)
+        for lo in range(0, len(terms), _CHUNK):
+            part = terms[lo : lo + _CHUNK]
+            # Summed by halves, which do not overflow; the upper one counts 2^30 times: turned round by 30 of 61 bits.
+            highs, lows = _reduced(np.cumsum(part >> _30) + high), _reduced(np.cumsum(part & _LOW30) + low)
+            high, low = highs[-1], lows[-1]
+            out[lo + 1 : lo + len(part) + 1] = _reduced((((highs << _30) & PRIME) | (highs >> _31)) + lows)
         return out
 
+    def _moved(self, after: np.ndarray, before: np.ndarray, back: np.ndarray) -> np.ndarray:
+        apart = after + (PRIME - before)
+        return _times(np.minimum(apart, apart - PRIME), back)
+
     def runs(self, prefixes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return (prefixes[ends] - prefixes[starts]) * self._back[starts]
+        return self._moved(prefixes[ends], prefixes[starts], self._back[starts])
 
     def windows(self, prefixes: np.ndarray, length: int) -> np.ndarray:
         """Of every run of this length."""
         n = max(0, len(prefixes) - length)
-        return (prefixes[length:] - prefixes[:n]) * self._back[:n]
+        return self._moved(prefixes[length:], prefixes[:n], self._back[:n])
 
 
 SYMBOLS = Polynomial(0x9E3779B97F4A7C15)
