@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,10 @@ from waybill.llm.components import components
 from waybill.llm.repeats import KEY, keyed
 from waybill.llm.text import LOWER, WORDS, blocks, mixed, words
 from waybill.operators.lookup import join_config, join_unique
-from waybill.storage import as_table, new_folder
+from waybill.storage import Folder, as_table, new_folder
+
+#: Names a table in between, all of which go when the result is written.
+Work = Callable[[str], str]
 
 SHINGLE = 5
 #: Retained values of a document: the least hashes of its set, or all of a smaller one.
@@ -56,15 +60,14 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _posted(classes: DataFrame) -> DataFrame:
+def _posted(classes: DataFrame, work: Work) -> DataFrame:
     """key, cid: the inverted lists, of retained values that two classes have, the rarest of each class first.
 
     Two sketches that share s of their values share at least one among all but their s-1 most frequent, in one order for all. So the values that very many documents
     have (common passages) are left out wherever a class has enough others. Sets in a ratio beyond 4:3 cannot be linked: lists are parted by size.
     """
-    spark = classes.sparkSession
     values = classes.select("cid", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("v"))
-    frequent = as_table(values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), new_folder(spark, "frequent"))
+    frequent = as_table(values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), work("frequent"))
     shared = values.join(frequent.hint("merge"), "v")
     own = Window.partitionBy("cid")
     needed = F.least(F.lit(_SHARED), F.ceil(F.col("n") * 0.75))
@@ -150,23 +153,22 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def _links_at(places: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _links_at(places: DataFrame, docs: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
     """The links, as a table (u, v), between the sides of every place; places: cid, g, i, j, side. A set is worked out once and copied to its places."""
-    spark = docs.sparkSession
     wanted = places.join(classes.select("cid", "one").hint("merge"), "cid")
     asked = wanted.groupBy("one").agg(F.collect_list(F.struct("g", "i", "j", "side", F.col("cid").alias("c"))).cast(_PLACES).alias("places"))
-    asked = as_table(asked.select(*(F.col(f"one.{k}").alias(f"_{k}") for k in KEY), "places"), new_folder(spark, "asked"))
+    asked = as_table(asked.select(*(F.col(f"one.{k}").alias(f"_{k}") for k in KEY), "places"), work("asked"))
     found = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")))
     sets = found.select("text", "places").mapInArrow(_with_sets, _SETS)
     ordered = sets.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side")
-    return as_table(ordered.mapInArrow(_met, "u long, v long").distinct(), new_folder(spark, "links"))
+    return as_table(ordered.mapInArrow(_met, "u long, v long").distinct(), work("links"))
 
 
 def _part(parts: str) -> Column:
     return F.pmod(F.xxhash64("cid"), F.col(parts)).cast("int")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
     """The pairs (a, b), a table, whose whole sets reach the threshold. A leader meets its members in parts of about _MEMBERS."""
     few = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / _MEMBERS).cast("int").alias("parts"))
     # Only leaders with several parts need to be looked up, and there are few of them.
@@ -174,7 +176,7 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     salted = join_config(pairs, several, ["a"], ["b"]).fillna(1, ["parts"]).withColumn("cid", F.col("b"))
     members = salted.select("cid", F.col("a").alias("g"), _part("parts").alias("i"), F.lit(0).alias("j"), F.lit(1).alias("side"))
     leaders = few.select(F.col("a").alias("cid"), F.col("a").alias("g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    return _links_at(members.union(leaders), docs, classes)
+    return _links_at(members.union(leaders), docs, classes, work)
 
 
 def _leaders(lists: DataFrame) -> DataFrame:
@@ -192,43 +194,41 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("cid").take(pa.array(whose)), pa.array(np.concatenate(sets).view(np.int64))], ["cid", "shingle"])
 
 
-def _held_in_common(few: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _held_in_common(few: DataFrame, docs: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
     """cid, n, common: how many of a class's shingles any other of these classes (a table of cid) has too.
 
     No set shares more with one other set than it shares with all of them. So a much edited copy, most of whose partners share the same part of it, is known to have no
     link without looking at its partners one by one. Counting combines before it shuffles.
     """
-    spark = docs.sparkSession
     wanted = few.join(classes.select("cid", "n", "one").hint("merge"), "cid")
-    asked = as_table(wanted.select("cid", "n", *(F.col(f"one.{k}").alias(f"_{k}") for k in KEY)), new_folder(spark, "asked"))
+    asked = as_table(wanted.select("cid", "n", *(F.col(f"one.{k}").alias(f"_{k}") for k in KEY)), work("asked"))
     found = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")))
     # A row that is there twice gives its shingles twice.
-    members = as_table(found.select("cid", "text").mapInArrow(_members, "cid long, shingle long").distinct(), new_folder(spark, "members"))
-    twice = as_table(members.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("shingle"), new_folder(spark, "common"))
+    members = as_table(found.select("cid", "text").mapInArrow(_members, "cid long, shingle long").distinct(), work("members"))
+    twice = as_table(members.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("shingle"), work("common"))
     common = members.join(twice.hint("merge"), "shingle", "left_semi").groupBy("cid").agg(F.count(F.lit(1)).alias("common"))
     return asked.select("cid", "n").join(common, "cid")
 
 
-def _rest(lists: DataFrame, labels: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _rest(lists: DataFrame, labels: DataFrame, docs: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
     """Links, as a table (u, v), among a list's members that are not in one component yet, and that have enough in common with others to be linked.
 
     Those outside the list's largest component (side 1) meet all members (side 0), block by block of either side: no pair is a row, and each place holds _MEMBERS sets about.
     """
-    spark = lists.sparkSession
     labelled = lists.join(labels.hint("merge"), F.col("cid") == F.col("node"), "left").select("key", "cid", F.coalesce("label", "cid").alias("label"))
     sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
     mixed_ = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select("key")
-    labelled = as_table(labelled.join(mixed_.hint("merge"), "key"), new_folder(spark, "mixed"))
-    common = _held_in_common(labelled.select("cid").distinct(), docs, classes).where("4 * common >= 3 * n").select("cid")
-    able = as_table(labelled.join(as_table(common, new_folder(spark, "able")).hint("merge"), "cid"), new_folder(spark, "able"))
+    labelled = as_table(labelled.join(mixed_.hint("merge"), "key"), work("mixed"))
+    common = _held_in_common(labelled.select("cid").distinct(), docs, classes, work).where("4 * common >= 3 * n").select("cid")
+    able = as_table(labelled.join(as_table(common, work("able")).hint("merge"), "cid"), work("able"))
     left = able.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
     parts = [F.ceil(x / _MEMBERS).cast("int") for x in (F.sum("k") - F.max("k"), F.sum("k"))]
     blocks_ = left.groupBy("key").agg(F.max(F.struct("k", "label"))["label"].alias("most"), parts[0].alias("few"), parts[1].alias("all")).where("few > 0")
-    placed = as_table(join_unique(able, as_table(blocks_, new_folder(spark, "blocks")), ["key"], ["cid"]).where("few IS NOT NULL"), new_folder(spark, "placed"))
+    placed = as_table(join_unique(able, as_table(blocks_, work("blocks")), ["key"], ["cid"]).where("few IS NOT NULL"), work("placed"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     side0 = placed.select("cid", F.col("key").alias("g"), every("few").alias("i"), _part("all").alias("j"), F.lit(0).alias("side"))
     side1 = placed.where("label <> most").select("cid", F.col("key").alias("g"), _part("few").alias("i"), every("all").alias("j"), F.lit(1).alias("side"))
-    return _links_at(side0.union(side1), docs, classes)
+    return _links_at(side0.union(side1), docs, classes, work)
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -244,27 +244,34 @@ def groups(docs: DataFrame) -> DataFrame:
     A null, empty or blank text has an empty set and is linked with nothing; a null doc_id takes part in links, but a component is named by an id if it has one;
     rows with one doc_id are one document as to `kept`; other columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
+    spark, numbers = docs.sparkSession, itertools.count()
+    root = new_folder(spark, "minhash")
+
+    def work(name: str) -> str:
+        return f"{root}/{next(numbers)}-{name}"
+
     docs = keyed(docs)
     schema = "doc_id long, text_hash long, n long, cid long, sketch array<long>"
-    sketched = as_table(docs.mapInArrow(_sketched, schema), new_folder(spark, "sketches"))
+    sketched = as_table(docs.mapInArrow(_sketched, schema), work("sketches"))
     classes = sketched.where("n > 0").groupBy("cid").agg(
         F.min("n").alias("n"), F.any_value("sketch").alias("sketch"), F.min(F.struct(*KEY)).alias("one"), F.min("doc_id").alias("least")
     )
-    classes = as_table(classes, new_folder(spark, "classes"))
-    lists = as_table(_posted(classes), new_folder(spark, "lists"))
-    first = as_table(_estimated(as_table(_leaders(lists), new_folder(spark, "pairs")), classes), new_folder(spark, "pairs"))
-    links = _links(first, docs, classes)
-    more = _rest(lists, as_table(components(links), new_folder(spark, "labels")), docs, classes)
-    labels = as_table(components(links.union(more)), new_folder(spark, "labels"))
+    classes = as_table(classes, work("classes"))
+    lists = as_table(_posted(classes, work), work("lists"))
+    first = as_table(_estimated(as_table(_leaders(lists), work("pairs")), classes), work("pairs"))
+    links = _links(first, docs, classes, work)
+    more = _rest(lists, as_table(components(links), work("labels")), docs, classes, work)
+    labels = as_table(components(links.union(more)), work("labels"))
     named = classes.select("cid", "least").join(labels.hint("merge"), F.col("cid") == F.col("node"), "left").select("cid", "least", F.coalesce("label", "cid").alias("label"))
     names = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    ids = as_table(named.join(names.hint("merge"), "label").select("cid", "component_id"), new_folder(spark, "names"))
+    ids = as_table(named.join(names.hint("merge"), "label").select("cid", "component_id"), work("names"))
     filled = sketched.where("n > 0").select("doc_id", "n", "cid").join(ids.hint("merge"), "cid")
     empty = sketched.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     rows = filled.select("doc_id", "n", "component_id").union(empty)
     kept: Column = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
+    out = as_table(rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept")), new_folder(spark, "groups"))
+    Folder(spark, root).remove()
+    return out
 
 
 def representatives(docs: DataFrame) -> DataFrame:
