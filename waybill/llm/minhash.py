@@ -118,17 +118,26 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([len(whole)] * len(part), pa.int64()), pa.array([packed] * len(part), pa.binary())], ["g", "i", "j", "side", "c", "n", "members"])
 
 
+def _top(above: dict[int, int], x: int) -> int:
+    """The member that stands for all that x is linked with so far."""
+    while (y := above.get(x, x)) != x:
+        above[x] = above.get(y, y)
+        x = y
+    return x
+
+
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between the two sides of each place (g, i, j), whose rows follow each other, side 0 first.
 
-    The sets of side 0 are one inverted list; each set of side 1 counts through it what it has in common with all of them at once. Only links leave the task.
+    The sets of side 0 are one inverted list; each set of side 1 counts through it what it has in common with all of them at once. Only links leave the task, and of
+    those that would close a circle within the place none: it has fewer links than members.
     """
-    place, ids, sizes, held, values, owners = None, [], [], [], None, None
+    place, ids, sizes, held, values, owners, above = None, [], [], [], None, None, {}
     for batch in batches:
         u, v = [], []
         for *key, side, c, n, members in zip(*(batch.column(x).to_pylist() for x in ("g", "i", "j", "side", "c", "n", "members"))):
             if key != place:
-                place, ids, sizes, held, values = key, [], [], [], None
+                place, ids, sizes, held, values, above = key, [], [], [], None, {}
             if side == 0:
                 ids.append(c)
                 sizes.append(n)
@@ -147,7 +156,9 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
             both = np.bincount(owners[at], minlength=len(ids))
             for k in np.flatnonzero(100 * both >= 75 * (n + of - both)).tolist():
-                if ids[k] != c:
+                a, b = _top(above, ids[k]), _top(above, c)
+                if a != b:
+                    above[a] = b
                     u.append(ids[k])
                     v.append(c)
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
