@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -216,6 +217,42 @@ def test_scan_and_redact(spark):
     assert secrets.scan(frame(spark, [])).count() == 0
 
 
+def _der(rng, depth=0):
+    """An element, mostly well formed, of tags that keys have and some that they have not."""
+    tag = rng.choice([2, 2, 2, 4, 5, 6, 0x30, 0x30, 0xA0, 0x13] if rng.random() < 0.2 else [2, 2, 4, 6, 0x30])
+    if tag & 0x20 and depth < 4:
+        inside = b"".join(_der(rng, depth + 1) for _ in range(rng.randrange(4)))
+    else:
+        inside = rng.choice([b"\0", b"\1", rng.randbytes(rng.randrange(300))])
+    size = bytes([len(inside)]) if len(inside) < 0x80 else bytes([0x82]) + len(inside).to_bytes(2, "big")
+    return bytes([tag]) + size + inside + (b"\0" if rng.random() < 0.02 else b"")
+
+
+def test_keys_are_those_of_a_plain_reader():
+    rng = random.Random(17)
+    kinds = {True: 0, False: 0}
+    for _ in range(4000):
+        inside = b"".join([rng.choice([b"\2\1\0", b"\2\1\1", b""]), *(_der(rng) for _ in range(rng.choice([1, 2, 2, 3, 6])))])
+        data = b"\x30\x82" + len(inside).to_bytes(2, "big") + inside
+        want = plain.is_private_key(data)
+        kinds[want] += 1
+        assert secrets.is_private_key(data) == want, data.hex()
+        found = [s for s in secrets.spans("\n".join(["x", *(body[k : k + 64] for body in [base64.b64encode(data).decode()] for k in range(0, len(body), 64)), "y z"])) if s[2] == "key"]
+        if want and len(data) > 30:
+            assert len(found) == 1, data.hex()
+    assert min(kinds.values()) > 100
+
+
+def test_lines_that_only_begin_like_keys_take_linear_time():
+    head = bytes.fromhex("308400ffffff020100308200ff") + b"\x05\0" * 17 + b"\1"
+    line = base64.b64encode(head).decode()
+    assert line.startswith("M") and len(line) == 64
+    text = "\n".join([line] * 160_000)
+    begin = time.perf_counter()
+    assert not [s for s in secrets.spans(text) if s[2] == "key"]
+    assert time.perf_counter() - begin < 60
+
+
 # --- html -----------------------------------------------------------------------------------------------------
 
 def test_blocks():
@@ -226,6 +263,69 @@ def test_blocks():
     assert found[0].linked == 5 and leaf_blocks("") == [] and leaf_blocks("<style>x") == []
 
 
+def _tree(rng, depth, expected, path):
+    """Markup of a random tree; what its blocks have to be goes to expected."""
+    out = []
+    for _ in range(rng.randrange(1, 4)):
+        name = rng.choice(["div", "section", "ul", "table", "h2"]) if depth < 5 else "p"
+        words = tuple(rng.sample(["menu", "story", "ad", "main"], rng.randrange(3)))
+        out.append(f'<{name} class="{" ".join(words)}">')
+        own = (*path, (name, words))
+        text = " ".join(rng.choice(["a", "bc", "<b>d</b>", "&lt;e"]) for _ in range(rng.randrange(4)))
+        if text:
+            out.append(text)
+            expected.append((text.replace("<b>", "").replace("</b>", "").replace("&lt;", "<"), own))
+        if depth < 5 and rng.random() < 0.6:
+            out.append(_tree(rng, depth + 1, expected, own))
+        out.append(f"</{name}>" + rng.choice(["", "</em>", "</article>"]))
+    return "".join(out)
+
+
+def test_blocks_and_features_are_those_of_a_plain_version():
+    rng = random.Random(23)
+    for _ in range(60):
+        expected = []
+        found = leaf_blocks(_tree(rng, 0, expected, ()))
+        assert [(b.text, tuple(p[:2] for p in b.path)) for b in found] == expected
+        got = block_labeller.vectors(found)
+        for row, block in zip(got, found):
+            assert set(np.flatnonzero(row[:256])) == plain.path_buckets(block.path, 256)
+
+
+def test_elements_end_others_as_in_a_plain_stack():
+    rng = random.Random(29)
+    for _ in range(300):
+        page = "".join(rng.choice(["<p>", "<li>", "<ul>", "</ul>", "<div>", "</div>", "<td>", "<tr>", "<table>", "</table>", "<dt>", "<dd>", "</p>", "</li>"]) + str(k) for k in range(25))
+        assert [[n for n, _, _ in b.path] for b in leaf_blocks(page)] == plain.open_elements(page)
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "deep", "<div>x" * 100_000, "<ul><li>" + "<div>y" * 50_000 + "</section><ul><li>z" * 50_000, "<p>" + "<b><div>" * 50_000 + "<p>q" * 50_000])
+def test_deep_pages_take_linear_time(page):
+    begin = time.perf_counter()
+    found = leaf_blocks(page)
+    block_labeller.scores(block_labeller.trained(), [block_labeller.vectors(found)])
+    assert found and time.perf_counter() - begin < 90
+
+
+def test_recurrence_and_gradient_are_those_of_plain_versions():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((5, 2, 7)).astype(np.float32)
+    w, u = (rng.standard_normal((n, 4 * block_labeller.HIDDEN)).astype(np.float32) * 0.3 for n in (7, block_labeller.HIDDEN))
+    states, kept = block_labeller._run(x, w, u)
+    for page in range(2):
+        assert np.allclose(states[:, page], plain.lstm(x[:, page].tolist(), w.tolist(), u.tolist(), block_labeller.HIDDEN), atol=1e-4)
+    d = rng.standard_normal(states.shape).astype(np.float32)
+    for grad, values in zip(block_labeller._back(x, u, kept, d), (w, u)):
+        for _ in range(12):
+            k = tuple(rng.integers(n) for n in values.shape)
+            was, sums = values[k], []
+            for step in (0.01, -0.01):
+                values[k] = was + step
+                sums.append(float((block_labeller._run(x, w, u)[0].astype(np.float64) * d).sum()))
+            values[k] = was
+            assert abs((sums[0] - sums[1]) / 0.02 - grad[k]) < 0.02 * (1 + abs(grad[k]))
+
+
 def test_labeller_on_pages_it_has_not_seen():
     weights, rng = block_labeller.trained(), np.random.default_rng(123)
     made = [block_labeller.example(rng) for _ in range(200)]

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import functools
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
 
-from waybill.llm.html_blocks import Block, leaf_blocks
+from waybill.llm.html_blocks import Block, Element, leaf_blocks
 from waybill.llm.text import LOWER, blocks as byte_blocks, words
 
 _PATH, _WORDS, _OTHER = 256, 32, 5
@@ -16,15 +17,46 @@ SIZE = _PATH + _WORDS + _OTHER
 HIDDEN = 20
 
 
-@functools.lru_cache(1 << 16)
-def _path_buckets(path: tuple[tuple[str, tuple[str, ...], str], ...]) -> np.ndarray:
-    tokens, above = set(), ""
-    for name, named, _ in path:
-        tokens |= {name, f"{above}>{name}", *(f".{w}" for w in named)}
-        above = name
-    # Once more by distance from the leaf: what is nearest says most.
-    tokens |= {f"{k}{t}" for k, (name, named, _) in enumerate(reversed(path[-2:])) for t in (name, *(f".{w}" for w in named))}
-    return np.array([zlib.crc32(t.encode()) % _PATH for t in sorted(tokens)], np.int64)
+def _bits(tokens: Iterable[str]) -> int:
+    """Buckets of tokens, as bits of a number."""
+    return functools.reduce(int.__or__, (1 << zlib.crc32(t.encode()) % _PATH for t in tokens), 0)
+
+
+@functools.lru_cache(1 << 14)
+def _own_bits(above: str, name: str, named: tuple[str, ...]) -> int:
+    return _bits([name, f"{above}>{name}", *(f".{w}" for w in named)])
+
+
+@functools.lru_cache(1 << 14)
+def _near_bits(distance: int, name: str, named: tuple[str, ...]) -> int:
+    """By distance from the leaf: what is nearest says most."""
+    return _bits(f"{distance}{t}" for t in (name, *(f".{w}" for w in named)))
+
+
+def _marks(element: Element | None) -> int:
+    """Buckets of an element and all above it; each is looked at once a page, however many blocks are below it."""
+    new = []
+    while element and element.marks < 0:
+        new.append(element)
+        element = element.above
+    marks = element.marks if element else 0
+    for e in reversed(new):
+        e.marks = marks = marks | _own_bits(e.above.name if e.above else "", e.name, e.named)
+    return marks
+
+
+@functools.lru_cache(1 << 14)
+def _listed(bits: int) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(bits.to_bytes(_PATH // 8, "little"), np.uint8), bitorder="little"))
+
+
+def _path_buckets(leaf: Element | None) -> np.ndarray:
+    bits = _marks(leaf)
+    for distance in range(2):
+        if leaf:
+            bits |= _near_bits(distance, leaf.name, leaf.named)
+            leaf = leaf.above
+    return _listed(bits)
 
 
 def vectors(page: list[Block]) -> np.ndarray:
@@ -43,7 +75,7 @@ def vectors(page: list[Block]) -> np.ndarray:
         out[row : row + len(counts), _PATH + _WORDS] = np.log1p(counts) / 5
         row += len(counts)
     for k, b in enumerate(page):
-        out[k, _path_buckets(b.path)] = 1
+        out[k, _path_buckets(b.leaf)] = 1
         out[k, _PATH + _WORDS + 1] = b.linked / len(b.text)
         out[k, _PATH + _WORDS + 2] = b.text[-1] in ".!?:;\"'"
     out[:, -2] = np.arange(len(page)) / len(page)
@@ -58,8 +90,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 Weights = dict[str, np.ndarray]
 
 
-def _run(x: np.ndarray, w: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, list]:
-    """Hidden states over steps of x (steps, pages, gates already weighted in), with what the way back needs."""
+def _run(x: np.ndarray, w: np.ndarray, u: np.ndarray, learning: bool = True) -> tuple[np.ndarray, list]:
+    """Hidden states over steps of x (steps, pages, gates already weighted in); when learning, with what the way back needs."""
     h = c = np.zeros((x.shape[1], HIDDEN), np.float32)
     states, kept = np.empty((*x.shape[:2], HIDDEN), np.float32), []
     weighted = x @ w
@@ -71,7 +103,8 @@ def _run(x: np.ndarray, w: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, list]
         c = f * c + i * g
         h = o * np.tanh(c)
         states[t] = h
-        kept.append((i, f, o, g, before, c, was))
+        if learning:
+            kept.append((i, f, o, g, before, c, was))
     return states, kept
 
 
@@ -118,7 +151,7 @@ def scores(weights: Weights, pages: list[np.ndarray]) -> list[np.ndarray]:
         chosen = order[at : at + n]
         ahead, back, _ = _padded([pages[k] for k in chosen])
         lengths = [len(pages[k]) for k in chosen]
-        states = np.concatenate([_run(ahead, weights["w1"], weights["u1"])[0], _turned(_run(back, weights["w2"], weights["u2"])[0], lengths)], axis=2)
+        states = np.concatenate([_run(ahead, weights["w1"], weights["u1"], False)[0], _turned(_run(back, weights["w2"], weights["u2"], False)[0], lengths)], axis=2)
         p = _sigmoid(states @ weights["v"] + weights["b"])[..., 0]
         for j, k in enumerate(chosen):
             out[k] = p[: lengths[j], j]
@@ -181,7 +214,7 @@ _MAIN = ("article", "main", 'div class="content"', 'div id="main-content"', 'div
 def example(rng: np.random.Generator) -> tuple[list[Block], np.ndarray]:
     """Blocks of one made page and which are its article's."""
     found = leaf_blocks(_page(rng))
-    return found, np.array([b.path[-1][2].endswith(" data-y") if b.path else False for b in found], np.float32)
+    return found, np.array([b.leaf.attributes.endswith(" data-y") if b.leaf else False for b in found], np.float32)
 
 
 def _page(rng: np.random.Generator) -> str:

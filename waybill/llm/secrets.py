@@ -37,51 +37,70 @@ _TAGS = {0x02, 0x03, 0x04, 0x05, 0x06, 0x30, 0x31, 0x81}
 _BY_PASSWORD = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 _OPENSSH = b"openssh-key-v1\0"
 _DEPTH = 16
+#: Elements of a key, and keys in a file of OpenSSH, at most: real ones have some twenty, and one. So a place where no key begins is left after few headers, however long it says it is.
+_ELEMENTS, _KEYS = 512, 64
 
 
-def _elements(data: bytes, depth: int = 0) -> list[tuple[int, bytes]] | None:
-    """Tag and content of every element, if the lengths of all of them, nested ones too, come out even."""
-    out, at = [], 0
-    while at < len(data):
-        if at + 2 > len(data):
+#: n bytes, or as many as there are, from a place on.
+Read = Callable[[int, int], bytes]
+
+
+def _elements(read: Read, at: int, end: int, left: list[int], depth: int = 0) -> list[tuple[int, int, int]] | None:
+    """Tag, start and end of the content of every element between two places, if the lengths of all of them, nested ones too, come out even. Only headers are read."""
+    out = []
+    while at < end:
+        left[0] -= 1
+        head = read(at, min(6, end - at))
+        if left[0] < 0 or len(head) < 2:
             return None
-        tag, n = data[at], data[at + 1]
+        tag, n = head[0], head[1]
         at += 2
         if n > 0x84 or n == 0x80:
             return None
         if n > 0x80:
             size = n - 0x80
-            if at + size > len(data):
+            if 2 + size > len(head):
                 return None
-            n, at = int.from_bytes(data[at : at + size], "big"), at + size
-        if at + n > len(data) or not (tag in _TAGS or 0xA0 <= tag <= 0xA3):
+            n, at = int.from_bytes(head[2 : 2 + size], "big"), at + size
+        if at + n > end or not (tag in _TAGS or 0xA0 <= tag <= 0xA3):
             return None
-        content = data[at : at + n]
-        if tag & _CONSTRUCTED and (depth >= _DEPTH or _elements(content, depth + 1) is None):
+        if tag & _CONSTRUCTED and (depth >= _DEPTH or _elements(read, at, at + n, left, depth + 1) is None):
             return None
-        out.append((tag, content))
+        out.append((tag, at, at + n))
         at += n
     return out
 
 
-def is_private_key(data: bytes) -> bool:
-    """One sequence that fills the data: a small version, then an algorithm and octets, or octets, or at least five more integers; or an encryption by password and octets."""
-    outer = _elements(data)
+def _is_private_key(read: Read, size: int) -> bool:
+    left = [_ELEMENTS]
+    outer = _elements(read, 0, size, left)
     if not outer or len(outer) != 1 or outer[0][0] != _SEQUENCE:
         return False
-    fields = _elements(outer[0][1])
+    fields = _elements(read, *outer[0][1:], [_ELEMENTS])
     if not fields or len(fields) < 2:
         return False
-    tags = [t for t, _ in fields]
+    tags = [t for t, _, _ in fields]
     if tags == [_SEQUENCE, _OCTETS]:
-        how = _elements(fields[0][1])
-        return [t for t, _ in how] == [_OBJECT, _SEQUENCE] and how[0][1].startswith(_BY_PASSWORD)
-    if tags[0] != _INTEGER or fields[0][1] not in (b"\0", b"\1"):
+        how = _elements(read, *fields[0][1:], [_ELEMENTS])
+        if [t for t, _, _ in how] != [_OBJECT, _SEQUENCE]:
+            return False
+        _, start, end = how[0]
+        return read(start, min(16, end - start)).startswith(_BY_PASSWORD)
+    _, start, end = fields[0]
+    if tags[0] != _INTEGER or end - start != 1 or read(start, 1) not in (b"\0", b"\1"):
         return False
     return tags[1:3] == [_SEQUENCE, _OCTETS] or tags[1] == _OCTETS or (len(tags) >= 6 and all(t == _INTEGER for t in tags[:6]))
 
 
-def _openssh_size(read: Callable[[int, int], bytes]) -> int:
+def is_private_key(data: bytes) -> bool:
+    """One sequence that fills the data: a small version, then an algorithm and octets, or octets, or at least five more integers; or an encryption by password and octets.
+
+    A key has _ELEMENTS elements at most, those inside others included.
+    """
+    return _is_private_key(lambda at, n: data[at : at + n], len(data))
+
+
+def _openssh_size(read: Read) -> int:
     """Bytes of the OpenSSH private key that begins where read(place, n) counts from; 0 if there is none. Of a key that is not encrypted the inner marks have to agree too."""
 
     def string(at: int) -> tuple[int, int]:
@@ -102,6 +121,8 @@ def _openssh_size(read: Callable[[int, int], bytes]) -> int:
             at += n
         keys, kinds = int.from_bytes(read(at, 4), "big"), []
         at += 4
+        if keys > _KEYS:
+            return 0
         for _ in range(keys):
             start, n = string(at)
             kind, size = string(start)
@@ -183,7 +204,7 @@ def _key_size(body: _Body, first: int) -> int:
     inner = 2 if head[1] < 0x80 else 2 + head[1] - 0x80
     if head[inner] not in (_INTEGER, _SEQUENCE) or first - (-4 * size // 3) > len(body.symbols):
         return 0
-    return size if is_private_key(body.read(first, 0, size)) else 0
+    return size if _is_private_key(lambda at, n: body.read(first, at, n), size) else 0
 
 
 def _keys(text: str) -> Iterator[tuple[int, int]]:
