@@ -6,6 +6,7 @@ import base64
 import json
 import random
 import time
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -18,6 +19,7 @@ from pyspark.core.broadcast import Broadcast
 from waybill.llm import block_labeller, chat, decontamination, html_extraction, quality_rules, secrets
 from waybill.llm.fm_index import FMIndex, suffix_order
 from waybill.llm.html_blocks import leaf_blocks
+from waybill.llm.text import IN_PLAIN_WORD, LOWER, blocks, words
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -103,6 +105,34 @@ def test_passes_do_not_pile_up(spark, corpus, monkeypatch, op):
         assert rows(made, *RESULT) == sorted(plain.hits([*corpus, *corpus[:9]], _benchmark(corpus)), key=repr)
 
 
+@pytest.mark.parametrize("window", [1, 2, 3, 4, 5, 8, 13])
+def test_patterns_are_the_distinct_windows(window):
+    rng = random.Random(window)
+    items = [(rng.randrange(12), " ".join(rng.choice("abc") for _ in range(rng.randrange(20)))) for _ in range(60)] + [(None, "a b"), (3, None), (99, "")]
+    p = decontamination.patterns_of(items, window)
+    _, data, offsets = next(iter(blocks(pa.array(["a b c"]), 1 << 20)))
+    named = dict(zip(words(data, offsets, IN_PLAIN_WORD).hashes(data, LOWER).tolist(), "abc"))
+    want = defaultdict(set)
+    for i, t in items:
+        own = (t or "").split() if i is not None else []
+        for k in range(max(1, len(own) - window + 1) if own else 0):
+            want[tuple(own[k : k + window])].add(str(i))
+    got = {tuple(named[int(p.vocabulary[s - 1])] for s in row[len(row) - n :]): {p.names[o] for o in p.owners[lo:hi]}
+           for row, n, lo, hi in zip(p.symbols, p.lengths.tolist(), p.bounds[:-1], p.bounds[1:])}
+    assert got == want and len(p.lengths) == len(want) and not p.symbols[np.arange(window) < window - p.lengths[:, None]].any()
+
+
+def test_patterns_of_a_large_benchmark_stay_small():
+    rng = np.random.default_rng(1)
+    items = [(k, " ".join(map(str, rng.integers(0, 50_000, 2_000)))) for k in range(300)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    p = decontamination.patterns_of(items, 13)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(p.lengths) == 300 * 1988 and peak < 60 * size
+
+
 def test_empty_benchmark_and_documents(spark, corpus):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.check(frame(spark, corpus), none).where("n_hit > 0").count() == 0
@@ -217,11 +247,11 @@ def test_scan_and_redact(spark):
     assert secrets.scan(frame(spark, [])).count() == 0
 
 
-def _der(rng, depth=0):
+def _random_der(rng, depth=0):
     """An element, mostly well formed, of tags that keys have and some that they have not."""
     tag = rng.choice([2, 2, 2, 4, 5, 6, 0x30, 0x30, 0xA0, 0x13] if rng.random() < 0.2 else [2, 2, 4, 6, 0x30])
     if tag & 0x20 and depth < 4:
-        inside = b"".join(_der(rng, depth + 1) for _ in range(rng.randrange(4)))
+        inside = b"".join(_random_der(rng, depth + 1) for _ in range(rng.randrange(4)))
     else:
         inside = rng.choice([b"\0", b"\1", rng.randbytes(rng.randrange(300))])
     size = bytes([len(inside)]) if len(inside) < 0x80 else bytes([0x82]) + len(inside).to_bytes(2, "big")
@@ -232,7 +262,7 @@ def test_keys_are_those_of_a_plain_reader():
     rng = random.Random(17)
     kinds = {True: 0, False: 0}
     for _ in range(4000):
-        inside = b"".join([rng.choice([b"\2\1\0", b"\2\1\1", b""]), *(_der(rng) for _ in range(rng.choice([1, 2, 2, 3, 6])))])
+        inside = b"".join([rng.choice([b"\2\1\0", b"\2\1\1", b""]), *(_random_der(rng) for _ in range(rng.choice([1, 2, 2, 3, 6])))])
         data = b"\x30\x82" + len(inside).to_bytes(2, "big") + inside
         want = plain.is_private_key(data)
         kinds[want] += 1

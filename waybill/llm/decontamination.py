@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,34 +25,78 @@ SHARD_BYTES = 1 << 20
 
 @dataclass
 class Patterns:
-    """Distinct windows of a block of a benchmark: symbols (from 1, by place in the vocabulary), right-aligned, and the items that have each."""
+    """Distinct windows of a block of a benchmark and the items that have each (`owners` between two `bounds`, numbers in `names`).
+
+    Sent to tasks as the text's symbols (from 1, by place in the vocabulary; 0 fills short items up) and where the windows begin in it.
+    """
 
     vocabulary: np.ndarray
-    symbols: np.ndarray
-    lengths: np.ndarray
-    items: list[tuple[str, ...]]
+    stream: np.ndarray
+    first: np.ndarray
+    window: int
+    bounds: np.ndarray
+    owners: np.ndarray
+    names: list[str]
+
+    @functools.cached_property
+    def symbols(self) -> np.ndarray:
+        """One row a window, right-aligned."""
+        if not len(self.first):
+            return np.zeros((0, self.window), np.int32)
+        return np.lib.stride_tricks.sliding_window_view(self.stream, self.window)[self.first]
+
+    @functools.cached_property
+    def lengths(self) -> np.ndarray:
+        return np.count_nonzero(self.symbols, axis=1)
+
+    def items(self, patterns: np.ndarray) -> set[str]:
+        n = self.bounds[patterns + 1] - self.bounds[patterns]
+        at = np.repeat(self.bounds[patterns] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return {self.names[k] for k in np.unique(self.owners[at]).tolist()}
+
+
+def _paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers that are equal where both a and b are."""
+    return np.unique(a.astype(np.int64) * (int(b.max(initial=0)) + 1) + b, return_inverse=True)[1]
+
+
+def _alike(stream: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
+    """For every start a number that is equal for equal windows: numbers of runs of 1, 2, 4, ... symbols, then of two that cover the window."""
+    runs, size = np.unique(stream, return_inverse=True)[1], 1
+    while 2 * size <= window:
+        runs = _paired(runs[: len(runs) - size], runs[size:])
+        size *= 2
+    return _paired(runs[starts], runs[starts + window - size])
 
 
 def patterns_of(items: list[tuple[object, str | None]], window: int) -> Patterns:
-    """Items without an id or without words have no windows."""
+    """Items without an id or without words have no windows. Arrays only: some forty bytes a word at a time."""
     named = [(str(i), t) for i, t in items if i is not None and t]
-    found: dict[tuple[int, ...], set[str]] = {}
+    names = sorted({i for i, _ in named})
+    number = {i: k for k, i in enumerate(names)}
+    hashes, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     if named:
-        row = 0
-        for _, data, offsets in blocks(pa.array([t for _, t in named], pa.string())):
+        for _, data, offsets in blocks(pa.array([t for _, t in named], pa.string()), SHARD_BYTES):
             w = words(data, offsets, IN_PLAIN_WORD)
-            hashes = w.hashes(data, LOWER).tolist()
-            for d in range(len(offsets) - 1):
-                own = hashes[w.offsets[d] : w.offsets[d + 1]]
-                for k in range(max(1, len(own) - window + 1) if own else 0):
-                    found.setdefault(tuple(own[k : k + window]), set()).add(named[row][0])
-                row += 1
-    vocabulary = np.unique(np.array([h for p in found for h in p], np.uint64))
-    lengths = np.array([len(p) for p in found], np.int64)
-    symbols = np.zeros((len(found), int(lengths.max()) if found else 1), np.int64)
-    for k, p in enumerate(found):
-        symbols[k, symbols.shape[1] - len(p) :] = np.searchsorted(vocabulary, np.array(p, np.uint64)) + 1
-    return Patterns(vocabulary, symbols, lengths, [tuple(sorted(v)) for v in found.values()])
+            hashes.append(w.hashes(data, LOWER))
+            counts.append(np.diff(w.offsets))
+    vocabulary, symbols = np.unique(np.concatenate(hashes), return_inverse=True)
+    counts = np.concatenate(counts)
+    # Items shorter than a window are filled up in front by a symbol of no word.
+    sizes = np.where(counts > 0, np.maximum(counts, window), 0)
+    ends = np.cumsum(sizes)
+    stream = np.zeros(int(sizes.sum()), np.int32)
+    stream[np.repeat(ends - np.cumsum(counts), counts) + np.arange(len(symbols))] = symbols + 1
+    windows = np.where(counts > 0, sizes - window + 1, 0)
+    starts = np.repeat(ends - sizes - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
+    whose = np.repeat(np.array([number[i] for i, _ in named], np.int64), windows)
+    if not len(starts):
+        return Patterns(vocabulary, stream, starts, window, np.zeros(1, np.int64), np.empty(0, np.int32), names)
+    alike = _alike(stream, starts, window)
+    of = np.unique(alike * len(names) + whose)
+    first = starts[np.unique(alike, return_index=True)[1]]
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(of // len(names), minlength=len(first)))])
+    return Patterns(vocabulary, stream, first, window, bounds, (of % len(names)).astype(np.int32), names)
 
 
 def search(hashes: np.ndarray, offsets: np.ndarray, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +105,7 @@ def search(hashes: np.ndarray, offsets: np.ndarray, p: Patterns) -> tuple[np.nda
     Words the benchmark doesn't have part the text; runs too short for any window can't hold one and aren't indexed.
     """
     none = np.empty(0, np.int64), np.empty(0, np.int64)
-    if not len(p.lengths) or not len(hashes):
+    if not len(p.first) or not len(hashes):
         return none
     place = np.minimum(np.searchsorted(p.vocabulary, hashes), len(p.vocabulary) - 1)
     known = p.vocabulary[place] == hashes
@@ -103,7 +147,7 @@ def _verdicts(column: pa.Array, p: Patterns, spans: pa.Array | None, items: pa.A
             own = np.unique(pattern[lo:hi])
             a = start[lo:hi] - w.offsets[d]
             b = a + p.lengths[pattern[lo:hi]]
-            names = {i for k in own for i in p.items[k]}
+            names = p.items(own)
             if spans is not None:
                 earlier = spans[row].as_py()
                 a, b = np.append(a, [s["start"] for s in earlier]).astype(np.int64), np.append(b, [s["end"] for s in earlier]).astype(np.int64)
@@ -174,7 +218,7 @@ def _searched(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: i
             earlier.append(as_table(once, new_folder(spark, "hits")))
             held.destroy()
     if earlier:
-        hits = reduce(DataFrame.union, earlier).groupBy("key").agg(*(F.flatten(F.collect_list(c)).alias(n) for c, n in zip(("spans", "items"), state)))
+        hits = functools.reduce(DataFrame.union, earlier).groupBy("key").agg(*(F.flatten(F.collect_list(c)).alias(n) for c, n in zip(("spans", "items"), state)))
         found = docs.withColumn(f"{mark}key", key).join(hits.withColumnRenamed("key", f"{mark}key"), f"{mark}key", "left")
         docs = found.select(*(f"`{c}`" for c in docs.columns), *(F.coalesce(n, F.array().cast(hits.schema[n].dataType)).alias(n) for n in state))
     return docs.mapInArrow(_pass(load, state, last), schema)
