@@ -49,3 +49,9 @@ def test_settling_reads_narrow_columns_only(spark):
 def test_topics_are_pruned_as_partitions(spark):
     plan = registry.queries()["topic_scan"](spark, SF)._jdf.queryExecution().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*RLIKE", plan)
+
+
+def test_configs_are_read_where_a_small_file_was_spread(spark):
+    plan = QUERIES["config_errors"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "variant" in plan and "Repartition" in plan
+    assert "variant" not in plan[plan.index("Repartition"):]

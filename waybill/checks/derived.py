@@ -47,10 +47,15 @@ EVENT_ATTACHMENTS = [
 
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; one that is read in fewer tasks than there are cores is spread over them first."""
+    """A given table; one that is read in fewer tasks than there are cores is spread over them first.
+
+    Where tasks are only a few more, row groups may fall to some of them: such a table is spread over more.
+    """
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    cores, tasks = spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()
+    if tasks >= 4 * cores:
+        return rows
+    return rows.repartition(cores if tasks < cores else 4 * cores)
 
 
 def _select(spark: SparkSession, sf_dir: str, name: str, sql: str) -> DataFrame:

@@ -16,13 +16,15 @@ def active(listing: DataFrame, adapter_type: str = ADAPTER_TYPE) -> DataFrame:
     # A repeated key makes a text no variant; read as a map, its last value counts.
     repeated = F.to_variant_object(J.last_wins(F.from_json("config", "map<string,variant>", J.STRICT)))
     parsed = F.coalesce(F.try_parse_json("config"), repeated)
-    is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
-    return listing.where((F.col("adapter_type") == adapter_type) & F.col("enabled")).select(
+    # Read a single time, where the rows are: a filter on what comes of it would else be moved below the shuffle that spreads a small file.
+    read = J.once(listing.where((F.col("adapter_type") == adapter_type) & F.col("enabled")), "_parsed", parsed)
+    is_object = F.coalesce(F.schema_of_variant(F.col("_parsed")).startswith("OBJECT"), F.lit(False))
+    return read.select(
         "pos",
         F.coalesce("attachment_id", F.lit("null")).alias("attachment_id"),
         F.coalesce("contract_id", F.lit("null")).alias("contract_id"),
         # Variants print their keys in order, so equal configs have equal text.
-        F.when(is_object, parsed.cast("string")).otherwise("{}").alias("config"),
+        F.when(is_object, F.col("_parsed").cast("string")).otherwise("{}").alias("config"),
     )
 
 
@@ -70,14 +72,12 @@ def configured(attachments: DataFrame, default_path: str, formats: FormatRegistr
     """Adds path, format, columns, target, what the format makes of the columns (header, cells), and config_error
     (NULL when the attachment can be written)."""
     formats = formats or default_formats()
-    config = F.try_parse_json("config")
+    read = J.once(attachments, "_c", F.try_parse_json("config")).withColumns({
+        "path": config_string(F.col("_c"), "path", ""),
+        "format": config_string(F.col("_c"), "format", DEFAULT_FORMAT),
+    })
     return (
-        attachments.withColumn("_c", config)
-        .withColumns({
-            "path": config_string(F.col("_c"), "path", ""),
-            "format": config_string(F.col("_c"), "format", DEFAULT_FORMAT),
-            "columns": _columns(F.col("_c")),
-        })
+        J.once(read, "columns", _columns(F.col("_c")))
         .withColumns({
             "target": target_path(F.col("path"), default_path),
             "header": formats.header(F.col("format")),
