@@ -4,9 +4,10 @@ import re
 
 import pytest
 from core import COLUMNS, deliveries, envelope, routing
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from waybill.checks.queries import QUERIES
+from waybill.checks.queries import QUERIES, _job
 from waybill.plans import delivery as P
 from waybill.schemas import SEEN
 from waybill.storage import as_table, new_folder
@@ -55,3 +56,12 @@ def test_configs_are_read_where_a_small_file_was_spread(spark):
     plan = QUERIES["config_errors"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "variant" in plan and "Repartition" in plan
     assert "variant" not in plan[plan.index("Repartition"):]
+
+
+def test_log_of_the_job_is_not_bound_to_its_topic_partitions(spark):
+    """Few files mean few tasks for all that reads them; and a topic partition in two commits would lose its order."""
+    job = _job(spark, SF)
+    log = spark.read.parquet(f"{job.folder.root}/log")
+    assert len(log.inputFiles()) == 2 * spark.sparkContext.defaultParallelism
+    commits = job.outcomes().groupBy("partition").agg(F.count_distinct("commit").alias("n"))
+    assert {r.n for r in commits.collect()} == {1} and job.outcomes().select("commit").distinct().count() == 2
