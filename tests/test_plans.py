@@ -65,3 +65,7 @@ def test_log_of_the_job_is_not_bound_to_its_topic_partitions(spark):
     assert len(log.inputFiles()) == 2 * spark.sparkContext.defaultParallelism
     commits = job.outcomes().groupBy("partition").agg(F.count_distinct("commit").alias("n"))
     assert {r.n for r in commits.collect()} == {1} and job.outcomes().select("commit").distinct().count() == 2
+
+
+def test_the_exported_file_is_not_read_whole_by_one_task(spark):
+    assert "FileScan csv" not in QUERIES["single_file_export"](spark, SF)._jdf.queryExecution().toString()

@@ -11,7 +11,7 @@ from waybill.operators.failures import RetryPolicy
 from waybill.schemas import READBACK
 from waybill.sources.config import read_schema_text
 from waybill.sources.delivery_log import stream_log
-from waybill.sources.stores import import_ids, read_back
+from waybill.sources.stores import import_ids, read_back, read_single_file
 from waybill.streaming.gates import SeenTable
 from waybill.streaming.job import DeliveryJob, Settings
 from waybill.streaming.targets import FileTarget, JsonDeadLetters
@@ -371,3 +371,23 @@ def test_a_topic_that_appears_later_is_found(setup):
     setup.send(envelope(1, "other"), topic="brand-new.created")
     job.run_available()
     assert setup.lines("other.csv") == [line(1)]
+
+
+@pytest.mark.parametrize("split", [1 << 27, 150])
+def test_a_single_file_is_read_by_splits(spark, tmp_path, split):
+    """Quoted line feeds and quotes, also where splits end within a record that is longer than several of them."""
+    texts = ["plain", "", 'a, "b"', "two\nlines", '\n"\n', "x\r\ny", "é, ü\n" * 50, '""', "tail\n"]
+    cell = lambda x: '"' + x.replace('"', '""') + '"' if any(c in x for c in ',"\n') else x
+    rows = [[f"id{i}", *(texts[(i + k) % len(texts)] for k in range(len(READBACK) - 2)), "at"] for i in range(9)]
+    file = tmp_path / "one.csv"
+    header = ",".join(["it's 5\"", *(["h"] * (len(READBACK) - 1))])
+    file.write_bytes("".join(line + "\n" for line in [header, *(",".join(map(cell, r)) for r in rows)]).encode())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, str(split))
+        got = read_single_file(spark, str(file))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -15,7 +15,7 @@ from waybill.plans import delivery as P
 from waybill.schemas import COORDS, LOG, RECORD
 from waybill.sources.config import read_listing
 from waybill.sources.delivery_log import read_log, stream_log, topic_matches
-from waybill.sources.stores import import_ids, read_back
+from waybill.sources.stores import import_ids, read_back, read_single_file
 from waybill.storage import as_table, new_folder
 from waybill.streaming.job import DeliveryJob, Settings
 from waybill.streaming.seen_index import IndexedSeenTable
@@ -125,11 +125,11 @@ def csv_readback(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def single_file_export(spark: SparkSession, sf: str) -> DataFrame:
-    """The delivered target as one file with its header line, read as a file with a header."""
+    """The delivered target as one file with its header line, read as a file with a header, split by split."""
     job, target = _delivered_documents(spark, sf)
     file = f"{job.folder.root}/export/interns.csv"
     job.target.export_single_file(target, file)
-    return read_back(spark, file, header=True)
+    return read_single_file(spark, file)
 
 
 # --- reading envelopes ---------------------------------------------------------------------------------------
