@@ -7,7 +7,7 @@ from core import COLUMNS, deliveries, envelope, routing
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from waybill.checks.queries import QUERIES, _job
+from waybill.checks.queries import QUERIES, _job, _staged
 from waybill.plans import delivery as P
 from waybill.schemas import SEEN
 from waybill.storage import as_table, new_folder
@@ -69,3 +69,8 @@ def test_log_of_the_job_is_not_bound_to_its_topic_partitions(spark):
 
 def test_the_exported_file_is_not_read_whole_by_one_task(spark):
     assert "FileScan csv" not in QUERIES["single_file_export"](spark, SF)._jdf.queryExecution().toString()
+
+
+def test_outcomes_alone_make_no_lines(spark):
+    assert _staged(spark, SF).columns == P.NARROW
+    assert not {"line", "header"} & set(_staged(spark, SF, "key", "value", "failure_text").columns)
