@@ -152,3 +152,43 @@ def test_texts_made_to_collide(spark):
     docs = [(1, " ".join(morse(10, "a", "b"))), (2, " ".join(morse(10, "b", "a")))]
     same(rows(minhash.groups(frame(spark, docs)), *GROUPS), plain.near(docs))
     same(rows(substring_dedup.remove(frame(spark, docs), 600), *WORDS), plain.word_dedup(docs, 600))
+
+
+def test_the_same_members_meet_once(spark, monkeypatch):
+    """Copies that are alike share most of their values and so most of their lists; a set is not sent to each of these, nor twice to one place."""
+    rng = random.Random(23)
+    base = sentence(rng, 300, 10**6).split()
+    # 0 and 1 are linked; 2 and 3 are with none, but share enough of their shingles with the others to be looked at.
+    docs = [(0, " ".join(base)), (1, " ".join([*base[:-1], "x"])), (2, " ".join([*base[:250], *(f"y{k}" for k in range(60))])), (3, " ".join([*base[60:], *(f"z{k}" for k in range(60))]))]
+    docs += [(10 + k, sentence(rng, 80, 10**6)) for k in range(20)]
+    asked, links_at = [], minhash._links_at
+    monkeypatch.setattr(minhash, "_links_at", lambda places, *a: asked.append(places) or links_at(places, *a))
+    monkeypatch.setattr(minhash.Folder, "remove", lambda *a: None)
+    same(rows(minhash.groups(frame(spark, docs)), *GROUPS), plain.near(docs))
+    most = max(r["count"] for r in asked[1].groupBy("cid").count().collect())
+    assert most <= 16
+
+
+def test_a_place_compares_those_on_either_side_and_on_both():
+    """Sets that are listed and looked up are sent once; the links are those of every listed set with every one looked up."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 47, 60)
+    sets = [np.unique(np.concatenate([base[: 60 - k], rng.integers(0, 1 << 47, k)]).astype(np.uint64)) for k in (0, 2, 5, 9, 25, 30)]
+    sides = [minhash._LISTED, minhash._BOTH, minhash._BOTH, minhash._LOOKED_UP, minhash._LISTED, minhash._LOOKED_UP]
+    found = sorted((g, side, c, len(sets[c]), minhash._packed(sets[c])) for g in (1, 2) for c, side in enumerate(sides))
+    names = ("g", "side", "c", "n", "members")
+    columns = dict(zip(names, zip(*found))) | {"i": [0] * len(found), "j": [0] * len(found)}
+    rows_ = pa.RecordBatch.from_pydict({k: list(v) for k, v in columns.items()})
+    batches = minhash._met(iter([rows_.slice(0, 3), rows_.slice(3, 5), rows_.slice(8)]))
+    got = [x for b in batches for x in zip(b.column("u").to_pylist(), b.column("v").to_pylist())]
+    alike = lambda a, b: (k := len(np.intersect1d(sets[a], sets[b]))) * 100 >= 75 * (len(sets[a]) + len(sets[b]) - k)
+    wanted = {(a, b) for a in range(6) for b in range(6) if a != b and sides[a] <= minhash._BOTH <= sides[b] and alike(a, b)}
+    assert set(got) <= wanted and len(got) == 2 * len(set(got))
+    label = list(range(6))
+    for pairs in (got, wanted):
+        of = list(range(6))
+        for _ in range(6):
+            for a, b in pairs:
+                of[a] = of[b] = min(of[a], of[b])
+        label = of if pairs is got else label
+        assert pairs is got or of == label

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from waybill.llm.components import components
-from waybill.llm.repeats import KEY, keyed
+from waybill.llm.repeats import KEY, keyed, once
 from waybill.llm.text import LOWER, WORDS, blocks, mixed, words
 from waybill.operators.lookup import join_config, join_unique
 from waybill.storage import Folder, as_table, new_folder
@@ -100,22 +100,32 @@ def _unpacked(x: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-_PLACES = "array<struct<g:bigint,i:int,j:int,side:int,c:bigint>>"
+_PLACES = "array<struct<g:bigint,i:int,j:int,side:int>>"
 _SETS = "g long, i int, j int, side int, c long, n long, members binary"
+#: What a member of a place is compared as: one of those in the inverted list, one that is looked up in it, or both, which takes its set there once.
+_LISTED, _BOTH, _LOOKED_UP = 0, 1, 2
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A document's whole set for every place that asks for it."""
+    """A class's whole set for every place that asks for it."""
     for batch in batches:
         for k in range(batch.num_rows):
-            places = batch.column("places")[k].as_py()
+            sides: dict[tuple[int, int, int], int] = {}
+            for p in batch.column("places")[k].as_py():
+                place = p["g"], p["i"], p["j"]
+                sides[place] = p["side"] if sides.get(place, p["side"]) == p["side"] else _BOTH
+            places = [(*place, side) for place, side in sides.items()]
+            cid = batch.column("cid")[k].as_py()
             for _, data, offsets in blocks(batch.column("text").slice(k, 1)):
                 whole = next(_sets(data, offsets))
             packed = _packed(whole)
             for at in range(0, len(places), 64):
                 part = places[at : at + 64]
-                columns = [pa.array([p[c] for p in part], t) for c, t in (("g", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("c", pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([len(whole)] * len(part), pa.int64()), pa.array([packed] * len(part), pa.binary())], ["g", "i", "j", "side", "c", "n", "members"])
+                columns = [pa.array(x, t) for x, t in zip(zip(*part), (pa.int64(), pa.int32(), pa.int32(), pa.int32()))]
+                n = len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array([cid] * n, pa.int64()), pa.array([len(whole)] * n, pa.int64()), pa.array([packed] * n, pa.binary())], ["g", "i", "j", "side", "c", "n", "members"]
+                )
 
 
 def _top(above: dict[int, int], x: int) -> int:
@@ -126,51 +136,88 @@ def _top(above: dict[int, int], x: int) -> int:
     return x
 
 
+class _Place:
+    """The sets that are listed in one place, as one inverted list, and what they have been linked with so far."""
+
+    def __init__(self) -> None:
+        self.ids: list[int] = []
+        self.sizes: list[int] = []
+        self.held: list[np.ndarray] = []
+        self.both: list[int] = []
+        self._above: dict[int, int] = {}
+        self._values: np.ndarray | None = None
+
+    def add(self, side: int, c: int, n: int, members: np.ndarray) -> None:
+        if side == _BOTH:
+            self.both.append(len(self.ids))
+        self.ids.append(c)
+        self.sizes.append(n)
+        self.held.append(members)
+
+    def links(self, c: int, n: int, own: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Links of a set with those listed, but none that would close a circle."""
+        if not self.ids:
+            return
+        if self._values is None:
+            together = np.concatenate(self.held)
+            order = np.argsort(together, kind="stable")
+            self._values, self._owners = together[order], np.repeat(np.arange(len(self.held)), [len(x) for x in self.held])[order]
+            self._of = np.array(self.sizes)
+        lo, hi = np.searchsorted(self._values, own, "left"), np.searchsorted(self._values, own, "right")
+        count = hi - lo
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+        shared = np.bincount(self._owners[at], minlength=len(self.ids))
+        for k in np.flatnonzero(100 * shared >= 75 * (n + self._of - shared)).tolist():
+            a, b = _top(self._above, self.ids[k]), _top(self._above, c)
+            if a != b:
+                self._above[a] = b
+                yield self.ids[k], c
+
+    def own_links(self) -> Iterator[tuple[int, int]]:
+        """Links of those listed that are looked up too. To be asked for when all are listed."""
+        for k in self.both:
+            yield from self.links(self.ids[k], self.sizes[k], self.held[k])
+
+
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between the two sides of each place (g, i, j), whose rows follow each other, side 0 first.
+    """Links between the two sides of each place (g, i, j), whose rows follow each other, those listed first.
 
-    The sets of side 0 are one inverted list; each set of side 1 counts through it what it has in common with all of them at once. Only links leave the task, and of
+    Each set that is looked up counts through the inverted list what it has in common with all listed ones at once. Only links leave the task, and of
     those that would close a circle within the place none: it has fewer links than members.
     """
-    place, ids, sizes, held, values, owners, above = None, [], [], [], None, None, {}
+    at, place = None, _Place()
     for batch in batches:
-        u, v = [], []
+        links = []
         for *key, side, c, n, members in zip(*(batch.column(x).to_pylist() for x in ("g", "i", "j", "side", "c", "n", "members"))):
-            if key != place:
-                place, ids, sizes, held, values, above = key, [], [], [], None, {}
-            if side == 0:
-                ids.append(c)
-                sizes.append(n)
-                held.append(_unpacked(members))
-                continue
-            if not ids:
-                continue
-            if values is None:
-                together = np.concatenate(held)
-                order = np.argsort(together, kind="stable")
-                values, owners = together[order], np.repeat(np.arange(len(held)), [len(x) for x in held])[order]
-                of = np.array(sizes)
-            own = _unpacked(members)
-            lo, hi = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
-            count = hi - lo
-            at = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            both = np.bincount(owners[at], minlength=len(ids))
-            for k in np.flatnonzero(100 * both >= 75 * (n + of - both)).tolist():
-                a, b = _top(above, ids[k]), _top(above, c)
-                if a != b:
-                    above[a] = b
-                    u.append(ids[k])
-                    v.append(c)
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-
-
-def _links_at(places: DataFrame, docs: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
+            if key != at:
+                links += place.own_links()
+                at, place = key, _Place()
+            if side == _LOOKED_UP:
+                links += place.links(c, n, _unpacked(members))
+            else:
+                place.add(side, c, n, _unpacked(members))
+        yield _linked(links)
+    yield _linked(list(place.own_links()))
+
+
+def _linked(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+
+def _texts(pairs: DataFrame, docs: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
+    """cid, text, a table: a text of every class that is in a pair (a, b) of list members. No other is looked at again, so whole texts of the corpus are shuffled here only."""
+    met = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+    wanted = met.join(classes.select("cid", "one").hint("merge"), "cid").select("cid", *(F.col(f"one.{k}").alias(f"_{k}") for k in KEY))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
+    found = docs.join(as_table(wanted, work("wanted")).hint("merge"), same).select(*KEY, "cid", "text")
+    return as_table(found.mapInArrow(once, "doc_id long, text_hash long, cid long, text string").select("cid", "text"), work("texts"))
+
+
+def _links_at(places: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
     """The links, as a table (u, v), between the sides of every place; places: cid, g, i, j, side. A set is worked out once and copied to its places."""
-    wanted = places.join(classes.select("cid", "one").hint("merge"), "cid")
-    asked = wanted.groupBy("one").agg(F.collect_list(F.struct("g", "i", "j", "side", F.col("cid").alias("c"))).cast(_PLACES).alias("places"))
-    asked = as_table(asked.select(*(F.col(f"one.{k}").alias(f"_{k}") for k in KEY), "places"), work("asked"))
-    found = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")))
-    sets = found.select("text", "places").mapInArrow(_with_sets, _SETS)
+    asked = places.groupBy("cid").agg(F.collect_list(F.struct("g", "i", "j", "side")).cast(_PLACES).alias("places"))
+    found = texts.join(as_table(asked, work("asked")).hint("merge"), "cid")
+    sets = found.select("cid", "text", "places").mapInArrow(_with_sets, _SETS)
     ordered = sets.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side")
     return as_table(ordered.mapInArrow(_met, "u long, v long").distinct(), work("links"))
 
@@ -179,15 +226,15 @@ def _part(parts: str) -> Column:
     return F.pmod(F.xxhash64("cid"), F.col(parts)).cast("int")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
     """The pairs (a, b), a table, whose whole sets reach the threshold. A leader meets its members in parts of about _MEMBERS."""
     few = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / _MEMBERS).cast("int").alias("parts"))
     # Only leaders with several parts need to be looked up, and there are few of them.
     several = few.where("parts > 1")
     salted = join_config(pairs, several, ["a"], ["b"]).fillna(1, ["parts"]).withColumn("cid", F.col("b"))
-    members = salted.select("cid", F.col("a").alias("g"), _part("parts").alias("i"), F.lit(0).alias("j"), F.lit(1).alias("side"))
-    leaders = few.select(F.col("a").alias("cid"), F.col("a").alias("g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    return _links_at(members.union(leaders), docs, classes, work)
+    members = salted.select("cid", F.col("a").alias("g"), _part("parts").alias("i"), F.lit(0).alias("j"), F.lit(_LOOKED_UP).alias("side"))
+    leaders = few.select(F.col("a").alias("cid"), F.col("a").alias("g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.lit(0).alias("j"), F.lit(_LISTED).alias("side"))
+    return _links_at(members.union(leaders), texts, work)
 
 
 def _leaders(lists: DataFrame) -> DataFrame:
@@ -205,41 +252,53 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("cid").take(pa.array(whose)), pa.array(np.concatenate(sets).view(np.int64))], ["cid", "shingle"])
 
 
-def _held_in_common(few: DataFrame, docs: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
+def _held_in_common(few: DataFrame, texts: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
     """cid, n, common: how many of a class's shingles any other of these classes (a table of cid) has too.
 
     No set shares more with one other set than it shares with all of them. So a much edited copy, most of whose partners share the same part of it, is known to have no
     link without looking at its partners one by one. Counting combines before it shuffles.
     """
-    wanted = few.join(classes.select("cid", "n", "one").hint("merge"), "cid")
-    asked = as_table(wanted.select("cid", "n", *(F.col(f"one.{k}").alias(f"_{k}") for k in KEY)), work("asked"))
-    found = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")))
+    found = texts.join(few.hint("merge"), "cid", "left_semi")
     # A row that is there twice gives its shingles twice.
-    members = as_table(found.select("cid", "text").mapInArrow(_members, "cid long, shingle long").distinct(), work("members"))
+    members = as_table(found.mapInArrow(_members, "cid long, shingle long").distinct(), work("members"))
     twice = as_table(members.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("shingle"), work("common"))
     common = members.join(twice.hint("merge"), "shingle", "left_semi").groupBy("cid").agg(F.count(F.lit(1)).alias("common"))
-    return asked.select("cid", "n").join(common, "cid")
+    return common.join(classes.select("cid", "n").hint("merge"), "cid")
+
+
+def _once(lists: DataFrame) -> DataFrame:
+    """lists, a table of key and cid among others, without those that have just the members of another.
+
+    Copies share most of their values, so the same members meet in a list for each of them. Lists are told apart by how many members they have and by two sums
+    of hashes, which combine before they are shuffled.
+    """
+    sums = [F.sum(F.xxhash64(*x).cast("decimal(38,0)")) for x in (["cid"], [F.lit(1), "cid"])]
+    of = lists.groupBy("key").agg(F.count(F.lit(1)).alias("k"), sums[0].alias("x"), sums[1].alias("y"))
+    stay = of.groupBy("k", "x", "y").agg(F.min("key").alias("key")).where("k > 1").select("key")
+    return lists.join(stay.hint("merge"), "key", "left_semi")
 
 
-def _rest(lists: DataFrame, labels: DataFrame, docs: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
+def _rest(lists: DataFrame, labels: DataFrame, texts: DataFrame, classes: DataFrame, work: Work) -> DataFrame:
     """Links, as a table (u, v), among a list's members that are not in one component yet, and that have enough in common with others to be linked.
 
-    Those outside the list's largest component (side 1) meet all members (side 0), block by block of either side: no pair is a row, and each place holds _MEMBERS sets about.
+    Those outside the list's largest component meet all members, block by block of either side: no pair is a row, and each place holds _MEMBERS sets about. Of lists
+    with the same members one is worked on.
     """
     labelled = lists.join(labels.hint("merge"), F.col("cid") == F.col("node"), "left").select("key", "cid", F.coalesce("label", "cid").alias("label"))
     sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
     mixed_ = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select("key")
     labelled = as_table(labelled.join(mixed_.hint("merge"), "key"), work("mixed"))
-    common = _held_in_common(labelled.select("cid").distinct(), docs, classes, work).where("4 * common >= 3 * n").select("cid")
+    common = _held_in_common(labelled.select("cid").distinct(), texts, classes, work).where("4 * common >= 3 * n").select("cid")
     able = as_table(labelled.join(as_table(common, work("able")).hint("merge"), "cid"), work("able"))
+    able = as_table(_once(able), work("once"))
     left = able.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
     parts = [F.ceil(x / _MEMBERS).cast("int") for x in (F.sum("k") - F.max("k"), F.sum("k"))]
     blocks_ = left.groupBy("key").agg(F.max(F.struct("k", "label"))["label"].alias("most"), parts[0].alias("few"), parts[1].alias("all")).where("few > 0")
     placed = as_table(join_unique(able, as_table(blocks_, work("blocks")), ["key"], ["cid"]).where("few IS NOT NULL"), work("placed"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    side0 = placed.select("cid", F.col("key").alias("g"), every("few").alias("i"), _part("all").alias("j"), F.lit(0).alias("side"))
-    side1 = placed.where("label <> most").select("cid", F.col("key").alias("g"), _part("few").alias("i"), every("all").alias("j"), F.lit(1).alias("side"))
-    return _links_at(side0.union(side1), docs, classes, work)
+    listed = placed.select("cid", F.col("key").alias("g"), every("few").alias("i"), _part("all").alias("j"), F.lit(_LISTED).alias("side"))
+    looked_up = placed.where("label <> most").select("cid", F.col("key").alias("g"), _part("few").alias("i"), every("all").alias("j"), F.lit(_LOOKED_UP).alias("side"))
+    return _links_at(listed.union(looked_up), texts, work)
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -269,9 +328,10 @@ def groups(docs: DataFrame) -> DataFrame:
     )
     classes = as_table(classes, work("classes"))
     lists = as_table(_posted(classes, work), work("lists"))
-    first = as_table(_estimated(as_table(_leaders(lists), work("pairs")), classes), work("pairs"))
-    links = _links(first, docs, classes, work)
-    more = _rest(lists, as_table(components(links), work("labels")), docs, classes, work)
+    pairs = as_table(_leaders(lists), work("pairs"))
+    texts = _texts(pairs, docs, classes, work)
+    links = _links(as_table(_estimated(pairs, classes), work("pairs")), texts, work)
+    more = _rest(lists, as_table(components(links), work("labels")), texts, classes, work)
     labels = as_table(components(links.union(more)), work("labels"))
     named = classes.select("cid", "least").join(labels.hint("merge"), F.col("cid") == F.col("node"), "left").select("cid", "least", F.coalesce("label", "cid").alias("label"))
     names = named.groupBy("label").agg(F.min("least").alias("component_id"))
