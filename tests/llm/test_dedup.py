@@ -192,3 +192,16 @@ def test_a_place_compares_those_on_either_side_and_on_both():
                 of[a] = of[b] = min(of[a], of[b])
         label = of if pairs is got else label
         assert pairs is got or of == label
+
+
+def test_a_hot_passage_is_not_counted_string_by_string(spark, monkeypatch):
+    """Strings inside a passage that many texts share go by slices; only those of slices at its ends are counted one by one."""
+    rng = random.Random(31)
+    passage = sentence(rng, 70, 10**6)
+    docs = [(k, f"{sentence(rng, 40, 10**6)} {passage} {sentence(rng, 40, 10**6)}") for k in range(30)]
+    monkeypatch.setattr(repeats, "HOT", 3)
+    hashed, counted = [], repeats.counted
+    monkeypatch.setattr(repeats, "counted", lambda of, *a: hashed.append(of) or counted(of, *a))
+    want = plain.byte_dedup(docs, 200)
+    same(rows(suffix_dedup.remove(frame(spark, docs), 200), *BYTES), want)
+    assert 0 < hashed[0].count() <= 30 * 64

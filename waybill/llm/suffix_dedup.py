@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, functions as F
 from waybill.llm import repeats as R
 from waybill.llm.suffix_sort import Suffixes
 from waybill.llm.text import BYTES, SYMBOLS, WORDS, blocks, mixed, raw
+from waybill.storage import as_table, new_folder
 
 #: Bytes of the runs that anchor strings.
 _GRAM = 48
 #: Strings whose distances from their anchor differ by less than this are sorted together.
 _SLICE = 32
+#: The same for strings of hot anchors, whose slices are counted whole before their strings are.
+_BLOCK = 16
 #: Bytes of slices that one sort takes at least, if there are more.
 _SORT = 1 << 21
 _SLICES = "doc_id long, text_hash long, start long, n int, first int, part binary, core long, alone boolean"
@@ -31,8 +34,25 @@ def _stretches(length: int):
     return run
 
 
+def _cut(data: np.ndarray, start: np.ndarray, n: np.ndarray, off: np.ndarray, length: int, width: int) -> R.Stretches:
+    """A document's stretches cut by distance from the anchor; the slices' anchor is their core. All strings of a slice hold its core, so equal strings are in slices with one core."""
+    sums = SYMBOLS.prefixes(BYTES[data])
+    start, n, off = (x.astype(np.int64) for x in (start, n, off))
+    anchor = start + off
+    highest, lowest = off // width, (off - n + 1) // width
+    many = highest - lowest + 1
+    which = np.repeat(np.arange(len(start)), many)
+    number = np.repeat(highest, many) - (np.arange(len(which)) - np.repeat(np.concatenate([[0], np.cumsum(many)[:-1]]), many))
+    lo = np.maximum(start[which], anchor[which] - number * width - width + 1)
+    hi = np.minimum(start[which] + n[which] - 1, anchor[which] - number * width)
+    core = anchor[which] - number * width
+    key = mixed(SYMBOLS.runs(sums, core, core + length - width + 1) + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    whole = mixed(mixed(SYMBOLS.runs(sums, lo, hi + length)) + ((hi - lo + 1) * 1_000_003 + core - lo).astype(np.uint64))
+    return R.Stretches(which, lo, hi - lo + 1, core - lo, key, whole)
+
+
 def _slices(length: int):
-    """Open stretches cut by distance from the anchor. All strings of a slice hold its core, so equal strings are in slices with one core."""
+    """Open stretches cut by distance from the anchor, with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in R.once(batches):
@@ -40,29 +60,35 @@ def _slices(length: int):
                 row = batch.slice(k, 1)
                 data, offsets = raw(row.column("text"))
                 data = data[offsets[0] : offsets[1]]
-                sums = SYMBOLS.prefixes(BYTES[data])
-                anchor = start + off
-                highest, lowest = off // _SLICE, (off - n + 1) // _SLICE
-                many = highest - lowest + 1
-                which = np.repeat(np.arange(len(start)), many)
-                number = np.repeat(highest, many) - (np.arange(len(which)) - np.repeat(np.concatenate([[0], np.cumsum(many)[:-1]]), many))
-                lo = np.maximum(start[which], anchor[which] - number * _SLICE - _SLICE + 1)
-                hi = np.minimum(start[which] + n[which] - 1, anchor[which] - number * _SLICE)
-                core = anchor[which] - number * _SLICE
-                key = mixed(SYMBOLS.runs(sums, core, core + length - _SLICE + 1) + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                parts = [data[a : b + length].tobytes() for a, b in zip(lo.tolist(), hi.tolist())]
-                take = pa.array(np.zeros(len(which), np.int64))
+                cut = _cut(data, start, n, off, length, _SLICE)
+                parts = [data[a : a + m + length - 1].tobytes() for a, m in zip(cut.start.tolist(), cut.n.tolist())]
+                take = pa.array(np.zeros(len(parts), np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [*(row.column(c).take(take) for c in R.KEY), pa.array(lo), pa.array((hi - lo + 1).astype(np.int32)), pa.array((core - lo).astype(np.int32)),
-                     pa.array(parts, pa.binary()), pa.array(key.view(np.int64)), pa.array(alone[which])],
+                    [*(row.column(c).take(take) for c in R.KEY), pa.array(cut.start), pa.array(cut.n.astype(np.int32)), pa.array(cut.off.astype(np.int32)),
+                     pa.array(parts, pa.binary()), pa.array(cut.anchor.view(np.int64)), pa.array(alone[cut.document])],
                     ["doc_id", "text_hash", "start", "n", "first", "part", "core", "alone"],
                 )
 
     return run
 
 
+def _hot_slices(length: int):
+    """Stretches of hot anchors cut by distance from the anchor, as stretches of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in R.once(batches):
+            for k, spans in enumerate(R.spans_of(batch.column("spans"), "start", "n", "off")):
+                row = batch.slice(k, 1)
+                data, offsets = raw(row.column("text"))
+                cut = _cut(data[offsets[0] : offsets[1]], *spans, length, _BLOCK)
+                cut.document = np.zeros(len(cut.n), np.int64)
+                yield R.batch_of(row, 0, cut)
+
+    return run
+
+
 def _strings(length: int):
-    """Two hashes of every string of the open stretches: of hot anchors, whose strings are counted and not sorted."""
+    """Two hashes of every string of the open slices of hot anchors, which are counted and not sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in R.once(batches):
@@ -128,16 +154,20 @@ def _sorted_spans(length: int):
 def repeated_strings(docs: DataFrame, length: int) -> DataFrame:
     """KEY, start, end (in bytes) of runs that repeated strings cover; they may overlap.
 
-    Suffixes are sorted where an anchor has few different surroundings. Where very many texts share a passage, slices with one core would meet in one place, so
-    each string is on its own there, counted by 128 bits of hashes.
+    Suffixes are sorted where an anchor has few different surroundings. Where very many texts share a passage, slices with one core would meet in one place. So stretches
+    are cut there into slices of _BLOCK strings, which are compared as stretches are: those inside the passage are repeated as a whole, one row each. Of the others
+    each string is on its own, counted by 128 bits of hashes.
     """
     found = R.compare(docs.mapInArrow(_stretches(length), R.STRETCH), length)
-    hot = R.by_document(docs, found.open.where("hot"), "inner", "start", "n", "alone").select(*R.KEY, "text", "spans")
-    frequent = R.counted(hot.mapInArrow(_strings(length), "doc_id long, text_hash long, start long, hash long, check long, alone boolean"), length, found.folders, "hash", "check")
+    hot = R.by_document(docs, found.open.where("hot"), "inner", "start", "n", "off").select(*R.KEY, "text", "spans")
+    hot = as_table(hot, new_folder(docs.sparkSession, "hot"))
+    inside = R.compare(hot.mapInArrow(_hot_slices(length), R.STRETCH), length)
+    edges = R.by_document(hot.select(*R.KEY, "text"), inside.open, "inner", "start", "n", "alone").select(*R.KEY, "text", "spans")
+    frequent = R.counted(edges.mapInArrow(_strings(length), "doc_id long, text_hash long, start long, hash long, check long, alone boolean"), length, found.folders, "hash", "check")
     opened = R.by_document(docs, found.open.where("NOT hot"), "inner", "start", "n", "off", "alone")
     slices = opened.select(*R.KEY, "text", "spans").mapInArrow(_slices(length), _SLICES)
     sorted_ = slices.repartition("core").sortWithinPartitions("core").mapInArrow(_sorted_spans(length), "doc_id long, text_hash long, start long, end long")
-    return found.covered.union(frequent).union(sorted_)
+    return found.covered.union(inside.covered).union(frequent).union(sorted_)
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
