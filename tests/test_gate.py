@@ -229,3 +229,19 @@ def test_only_enabled_attachments_of_the_type(spark):
     assert [r.contract_id for r in A.active(off).collect()] == ["c"]
     assert [r.contract_id for r in A.null_settings(off).collect()] == ["c"]
     assert A.null_settings(listing(spark, ("a", {"x": {"y": None}}))).count() == 0
+
+
+def test_routed_lines_of_copies_and_seen_records(spark):
+    """First deliveries of new records, with their lines; ids of a former store count for all contracts but exempt ones."""
+    r = routing(spark, ("a", {"columns": COLUMNS, "format": "json", "path": "a"}), ("b", {"columns": COLUMNS, "path": "b"}))
+    sent = [(1, "a"), (2, "a"), (1, "a"), (1, "b"), (3, "b"), (3, "a"), (4, "a"), (3, "b")]
+    log = deliveries(spark, [envelope(i, contract) for i, contract in sent])
+    seen = spark.createDataFrame([("a", UUIDS[2])], SEEN)
+    former = gate.Inherited(spark.createDataFrame([(UUIDS[3],)], "record_id string"), ("b",))
+
+    def lines(inherited):
+        return {row.offset: (row.contract_id, row.record_id, row.target, UUIDS.index(row.record_id), row.line.count("Ada")) for row in P.routed_lines(log, r, seen, inherited).collect()}
+
+    new = {at: (contract, UUIDS[i], contract, i, 1) for at, (i, contract) in enumerate(sent) if at in (0, 3, 4, 5, 6)}
+    assert lines(None) == new
+    assert lines(former) == {at: line for at, line in new.items() if at != 5}

@@ -74,3 +74,23 @@ def test_the_exported_file_is_not_read_whole_by_one_task(spark):
 def test_outcomes_alone_make_no_lines(spark):
     assert _staged(spark, SF).columns == P.NARROW
     assert not {"line", "header"} & set(_staged(spark, SF, "key", "value", "failure_text").columns)
+
+
+def test_types_of_a_payload_are_read_once_a_record(spark):
+    """Not inside the line, which looks into them cell by cell."""
+    r = routing(spark, ("interns", {"columns": COLUMNS, "format": "json"}))
+    plan = P.with_line(P.judge(deliveries(spark, [envelope()]), r), r)._jdf.queryExecution().optimizedPlan().toString()
+    typed = [part for part in plan.splitlines() if "MapType(StringType,VariantType,true)" in part and "StructField(payload" in part]
+    assert typed and not any("array_join(" in part for part in typed)
+
+
+def test_lines_are_shuffled_once_and_written_nowhere(spark, monkeypatch):
+    """Also where nothing is small enough to be broadcast; a record delivered often is cut down before the shuffle."""
+    monkeypatch.setattr(P, "as_table", lambda *_: pytest.fail("a table was written"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(QUERIES["routed_lines"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"Exchange hashpartitioning\(record_id", plan)) == 2  # lines, seen records
+    assert re.search(r"Exchange hashpartitioning\(record_id[^\n]*\n[^\n]*WindowGroupLimit[^\n]*Partial", plan)
