@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ from helpers import frame, rows
 from pyspark.sql import functions as F
 
 from waybill.llm import collocations, fingerprints, prefix_trie
-from waybill.llm.double_array import DoubleArray
+from waybill.llm.double_array import DoubleArray, TooLarge
 
 # --- 11 phrases ------------------------------------------------------------------------------------------------
 
@@ -105,6 +106,45 @@ def test_double_array_accepts_what_it_was_made_of():
     assert DoubleArray.build(np.zeros((0, 5), np.int64)).walk(text, 2) is not None
 
 
+def wide_pairs():
+    """40 nodes with 500 children each, far apart."""
+    rng = np.random.default_rng(7)
+    return np.array([(1 + p, c) for p in range(40) for c in np.sort(rng.choice(np.arange(1, 400_000), 500, replace=False))])
+
+
+def test_double_array_of_children_far_apart_is_small():
+    table = wide_pairs()
+    trie = DoubleArray.build(table)
+    assert trie.nbytes <= 64 * len(table)
+    (_, _), (places, states) = trie.walk(table.flatten(), 2)
+    assert trie.accepts[states][places % 2 == 0].tolist() == list(range(len(table)))
+
+
+def test_double_array_is_given_up_where_it_grows_beyond_its_bytes():
+    table = wide_pairs()
+    whole = DoubleArray.build(table).nbytes
+    assert DoubleArray.build(table, whole).nbytes == whole
+    tracemalloc.start()
+    with pytest.raises(TooLarge):
+        DoubleArray.build(table, whole // 8)
+    assert tracemalloc.get_traced_memory()[1] < 4 * whole
+    tracemalloc.stop()
+
+
+def test_tries_together_have_all_phrases(spark, monkeypatch):
+    """Of a bound in bytes that only a part of the phrases keeps."""
+    table = wide_pairs()[::4]
+    monkeypatch.setattr(collocations, "TRIE_BYTES", 64 * len(table) // 4)
+    phrases = spark.createDataFrame([(k, list(map(int, p))) for k, p in enumerate(table, 1)], "id long, codes array<int>")
+    made = list(collocations._tries(phrases, 2))
+    assert len(made) > 1 and max(trie.nbytes for trie, _, _ in made) <= collocations.TRIE_BYTES and not any(alone for _, _, alone in made)
+    assert sorted(np.concatenate([ids for _, ids, _ in made]).tolist()) == list(range(1, len(table) + 1))
+    for at, pair in list(enumerate(table, 1))[::200]:
+        found = [ids[trie.accepts[states]].tolist() for trie, ids, _ in made for places, states in list(trie.walk(pair, 2))[1:] if len(places)]
+        assert found == [[at]]
+    assert [alone for *_, alone in collocations._tries(phrases.where("id <= 20"), 2)] == [True]
+
+
 # --- 12 fingerprints -------------------------------------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from waybill.llm.double_array import BREAK, DoubleArray
+from waybill.llm.double_array import BREAK, DoubleArray, TooLarge
 from waybill.llm.text import blocks
 from waybill.operators.lookup import join_config
 from waybill.storage import Folder, as_table, new_folder
@@ -31,7 +31,7 @@ VOCABULARY_BYTES = 64 << 20
 TRIE_PHRASES = 1 << 20
 TRIE_BYTES = 64 << 20
 #: Numbers of words that are walked at once, and occurrences that a task adds up before it hands them on.
-_TOGETHER, _HELD = 1 << 20, 1 << 22
+_TOGETHER, _HELD = 1 << 18, 1 << 22
 
 _PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _ENDS_PIECE = np.isin(np.arange(256), list(_PIECE_ENDS))
@@ -121,6 +121,14 @@ def _encoded(words: Broadcast, known: bool) -> Callable:
     return run
 
 
+def _by_language(vocabulary: DataFrame) -> dict[str, tuple[pa.Array, np.ndarray]]:
+    part, held = vocabulary.select("lang", "word", "id").toArrow(), {}
+    for lang in pc.unique(part.column("lang")).to_pylist():
+        own = part.filter(pc.equal(part.column("lang"), lang))
+        held[lang] = (own.column("word").combine_chunks().cast(pa.large_binary()), own.column("id").to_numpy().astype(np.int64))
+    return held
+
+
 def _encode(docs: DataFrame, vocabulary: DataFrame, folders: list[str]) -> DataFrame:
     """codes of every text, as a table. Words go to the tasks in blocks of a bounded number of bytes; texts are read again for each."""
     spark = docs.sparkSession
@@ -129,13 +137,7 @@ def _encode(docs: DataFrame, vocabulary: DataFrame, folders: list[str]) -> DataF
     step = max(1, -(-last // passes))
     now, schema = docs, "lang string, text string, codes array<int>"
     for k in range(passes):
-        part = vocabulary.where(F.col("id").between(k * step + 1, (k + 1) * step)).select("lang", "word", "id").toArrow()
-        held = {}
-        langs = part.column("lang").to_pylist()
-        for lang in dict.fromkeys(langs):
-            own = part.filter(pa.array([x == lang for x in langs]))
-            held[lang] = (own.column("word").combine_chunks().cast(pa.large_binary()), own.column("id").to_numpy().astype(np.int64))
-        words = spark.sparkContext.broadcast(held)
+        words = spark.sparkContext.broadcast(_by_language(vocabulary.where(F.col("id").between(k * step + 1, (k + 1) * step))))
         done = now.mapInArrow(_encoded(words, k > 0), schema)
         now = as_table(done.select("codes") if k == passes - 1 else done, _new(spark, folders, "codes"))
         words.unpersist()
@@ -211,23 +213,31 @@ def _new(spark: SparkSession, folders: list[str], name: str) -> str:
     return folders[-1]
 
 
+def _trie(phrases: DataFrame, length: int, most: int | None) -> tuple[DoubleArray, np.ndarray]:
+    """A trie of phrases (id, codes) and the ids of what it accepts; what it is made of is given up on return."""
+    rows = phrases.select("id", "codes").toArrow()
+    codes, ids = rows.column("codes").combine_chunks(), rows.column("id").to_numpy().astype(np.int64)
+    sizes = np.diff(codes.offsets.to_numpy())
+    table = np.zeros((len(codes), length), np.int32)
+    table[np.arange(length) < sizes[:, None]] = codes.flatten().to_numpy(zero_copy_only=False)
+    del rows, codes
+    order = np.lexsort(table.T[::-1])
+    table = table[order]
+    return DoubleArray.build(table, most), ids[order]
+
+
 def _tries(phrases: DataFrame, length: int) -> Iterator[tuple[DoubleArray, np.ndarray, bool]]:
-    """Tries of phrases (id, codes), the ids of what they accept, and whether there is only one. A trie beyond its bound is made of half as many."""
+    """Tries of phrases (id, codes), the ids of what they accept, and whether there is only one. A trie that grows to its bound is given up there and made of half as many."""
     last = phrases.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     lo, step = 1, TRIE_PHRASES
     while lo <= last:
-        rows = phrases.where(F.col("id").between(lo, lo + step - 1)).select("id", "codes").toArrow()
-        codes = rows.column("codes").combine_chunks()
-        sizes = np.diff(codes.offsets.to_numpy())
-        table = np.zeros((len(codes), length), np.int64)
-        table[np.arange(length) < sizes[:, None]] = codes.flatten().to_numpy(zero_copy_only=False)
-        ids = rows.column("id").to_numpy().astype(np.int64)
-        order = np.lexsort(table.T[::-1])
-        trie = DoubleArray.build(table[order])
-        if trie.nbytes > TRIE_BYTES and step > 1:
+        try:
+            made = _trie(phrases.where(F.col("id").between(lo, lo + step - 1)), length, TRIE_BYTES if step > 1 else None)
+        except TooLarge:
             step //= 2
             continue
-        yield trie, ids[order], lo == 1 and lo + step > last
+        yield *made, lo == 1 and lo + step > last
+        del made
         lo += step
 
 
@@ -236,6 +246,7 @@ def _passes(codes: DataFrame, phrases: DataFrame, length: int, task: Callable[[B
     spark, out = codes.sparkSession, None
     for trie, ids, alone in _tries(phrases, length):
         held = spark.sparkContext.broadcast((trie, ids))
+        del trie, ids
         keys = [f.split()[0] for f in schema.split(", ")][:-1]
         rows = codes.mapInArrow(task(held, alone), schema).groupBy(*keys).agg(F.sum("n").alias("n"))
         rows = as_table(rows if keys == ["id"] else rows.where(F.col("n") >= LEAST), _new(spark, folders, "counts"))
