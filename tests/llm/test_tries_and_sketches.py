@@ -145,6 +145,15 @@ def test_tries_together_have_all_phrases(spark, monkeypatch):
     assert [alone for *_, alone in collocations._tries(phrases.where("id <= 20"), 2)] == [True]
 
 
+def test_counts_come_from_fewer_tasks_than_there_are_parts(spark):
+    """A task hands on a count for each phrase, so there are fewer tasks where there are many phrases."""
+    codes = spark.range(200, numPartitions=100)
+    parts = lambda words, phrases: collocations._fewer_tasks(codes, words, phrases).rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    assert [parts(64 * 1000 * 50, n) for n in (0, 100, 1000, 2000, 10**9)] == [100, 100, 50, 25, cores]
+    assert parts(0, 0) == cores
+
+
 # --- 12 fingerprints -------------------------------------------------------------------------------------------
 
 

@@ -32,6 +32,8 @@ TRIE_PHRASES = 1 << 20
 TRIE_BYTES = 64 << 20
 #: Numbers of words that are walked at once, and occurrences that a task adds up before it hands them on.
 _TOGETHER, _HELD = 1 << 18, 1 << 22
+#: Words that a task walks for each phrase it may hand on a count of.
+_WORDS_EACH = 64
 
 _PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _ENDS_PIECE = np.isin(np.arange(256), list(_PIECE_ENDS))
@@ -255,6 +257,11 @@ def _passes(codes: DataFrame, phrases: DataFrame, length: int, task: Callable[[B
     return out
 
 
+def _fewer_tasks(codes: DataFrame, words: int, phrases: int) -> DataFrame:
+    """codes in so few parts that the tasks' counts, one a part and phrase, stay far below the number of words; no fewer than the cores."""
+    return codes.coalesce(max(codes.sparkSession.sparkContext.defaultParallelism, words // (_WORDS_EACH * max(1, min(phrases, TRIE_PHRASES)))))
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """lang, word, n of all words."""
     return docs.mapInArrow(_counted, _COUNTED).groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -317,7 +324,8 @@ def collocations(docs: DataFrame) -> DataFrame:
     for rows in levels[1:]:
         together = together.union(rows.select("codes"))
     candidates = _numbered(together, _new(spark, folders, "candidates"), F.col("codes"))
-    counts = _passes(codes, candidates, LONGEST, lambda held, alone: _accepted(held), "id long, n long", folders)
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counts = _passes(_fewer_tasks(codes, total, candidates.count()), candidates, LONGEST, lambda held, alone: _accepted(held), "id long, n long", folders)
     schema = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
     if counts is None:
         return spark.createDataFrame([], schema)
